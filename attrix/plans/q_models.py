@@ -1 +1,203 @@
-"""Registered queries: encoding, models, metrics, explanations, scoring."""
+"""Registered queries: model metrics (exact, on fixed formula scores, so
+the oracle checks them), then fitted Spark ML models, explanations,
+scoring, result sinks and sources (rows-only checks)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions import constants as K
+from ..operators import metrics as M
+from ..operators.rates import is_positive
+from .catalog import query
+from .q_prep import FEATURES_CTE, featured, rule_score
+from .sql_base import with_base
+
+D = "::DOUBLE"
+
+# --- formula models: long predictions table --------------------------------------------------
+FORMULAS = {
+    "rule": "(contract_risk_score + payment_risk_score + (4 - support_services_count) + SeniorCitizen) / 11.0::DOUBLE",
+    "contract": "(contract_risk_score - 1) / 2.0::DOUBLE",
+    "support": "(4 - support_services_count) / 4.0::DOUBLE",
+}
+MODEL_ORDER = list(FORMULAS)
+
+
+def formula_long(spark, sf) -> DataFrame:
+    """(model, customerID, label, probability, prediction) for the three
+    fixed formulas; prediction = probability > 0.5."""
+    df = featured(spark, sf)
+    probs = {
+        "rule": rule_score(df),
+        "contract": (F.col("contract_risk_score") - 1) / 2.0,
+        "support": (4 - F.col("support_services_count")) / 4.0,
+    }
+    arr = F.array(*[F.struct(F.lit(m).alias("model"), p.alias("probability")) for m, p in probs.items()])
+    long = df.select("customerID", is_positive("Churn").alias("label"), F.inline(arr))
+    return long.select("model", "customerID", "label", "probability", (F.col("probability") > 0.5).cast("int").alias("prediction"))
+
+
+LONG_CTE = FEATURES_CTE + ",\nlp AS (" + " UNION ALL ".join(
+    f"SELECT '{m}' AS model, customerID, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label, {e} AS probability, "
+    f"CASE WHEN {e} > 0.5 THEN 1 ELSE 0 END AS prediction FROM feat"
+    for m, e in FORMULAS.items()
+) + ")"
+
+METRICS_CTE = LONG_CTE + f""",
+cnt AS (SELECT model, count(*) AS n, count(*) FILTER (WHERE prediction = 1 AND label = 1) AS tp,
+               count(*) FILTER (WHERE prediction = 1 AND label = 0) AS fp, count(*) FILTER (WHERE prediction = 0 AND label = 1) AS fn,
+               count(*) FILTER (WHERE prediction = 0 AND label = 0) AS tn FROM lp GROUP BY model),
+mets AS (SELECT model, (tp + tn) * 1.0{D} / n AS accuracy,
+                CASE WHEN tp + fp > 0 THEN tp * 1.0{D} / (tp + fp) ELSE 0.0 END AS precision,
+                CASE WHEN tp + fn > 0 THEN tp * 1.0{D} / (tp + fn) ELSE 0.0 END AS recall,
+                CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0{D} * tp / (2 * tp + fp + fn) ELSE 0.0 END AS f1_score FROM cnt),
+sc AS (SELECT model, probability AS score, count(*) FILTER (WHERE label = 1) AS pos, count(*) FILTER (WHERE label = 0) AS neg
+       FROM lp GROUP BY model, probability),
+auc AS (SELECT model, CASE WHEN sum(pos) > 0 AND sum(neg) > 0 THEN
+          (sum(pos * (cumn - (pos + neg - 1) / 2.0{D})) - sum(pos) * (sum(pos) + 1) / 2.0{D}) / (sum(pos) * sum(neg)) END AS roc_auc
+        FROM (SELECT *, sum(pos + neg) OVER (PARTITION BY model ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumn FROM sc)
+        GROUP BY model),
+pts AS (SELECT model, score AS threshold,
+          sum(pos) OVER w AS tp, sum(neg) OVER w AS fp, sum(pos) OVER (PARTITION BY model) AS n_pos, sum(neg) OVER (PARTITION BY model) AS n_neg
+        FROM sc WINDOW w AS (PARTITION BY model ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))"""
+
+
+def r6(c: str) -> F.Column:
+    return F.round(c, 6).alias(c)
+
+
+@query("score_model", with_base("SELECT * FROM lp", LONG_CTE))
+def q_score_model(spark, sf):
+    """The long predictions table every metric reads."""
+    return formula_long(spark, sf)
+
+
+@query(
+    "metrics",
+    with_base("SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+              "round(f1_score, 6) AS f1_score FROM mets", METRICS_CTE),
+)
+def q_metrics(spark, sf):
+    return M.metrics(formula_long(spark, sf)).select("model", *[r6(c) for c in ["accuracy", "precision", "recall", "f1_score"]])
+
+
+@query("roc_auc", with_base("SELECT model, round(roc_auc, 6) AS roc_auc FROM auc", METRICS_CTE))
+def q_roc_auc(spark, sf):
+    return M.roc_auc(formula_long(spark, sf)).select("model", r6("roc_auc"))
+
+
+@query(
+    "confusion",
+    with_base(
+        "SELECT m.model, a AS actual, p AS predicted, "
+        "(SELECT count(*) FROM lp l WHERE l.model = m.model AND l.label = a AND l.prediction = p) AS count "
+        "FROM (SELECT DISTINCT model FROM lp) m, (VALUES (0), (1)) x(a), (VALUES (0), (1)) y(p)",
+        LONG_CTE,
+    ),
+)
+def q_confusion(spark, sf):
+    return M.confusion(formula_long(spark, sf))
+
+
+@query(
+    "roc_points",
+    with_base(
+        "SELECT model, threshold, round(CASE WHEN n_neg > 0 THEN fp * 1.0::DOUBLE / n_neg ELSE 0.0 END, 6) AS fpr, "
+        "round(CASE WHEN n_pos > 0 THEN tp * 1.0::DOUBLE / n_pos ELSE 0.0 END, 6) AS tpr FROM pts",
+        METRICS_CTE,
+    ),
+)
+def q_roc_points(spark, sf):
+    return M.roc_points(formula_long(spark, sf)).select("model", "threshold", r6("fpr"), r6("tpr"))
+
+
+@query(
+    "comparison",
+    with_base(
+        "SELECT model, round(accuracy, 6) AS accuracy, round(precision, 6) AS precision, round(recall, 6) AS recall, "
+        "round(f1_score, 6) AS f1_score, round(roc_auc, 6) AS roc_auc FROM mets JOIN auc USING (model)",
+        METRICS_CTE,
+    ),
+)
+def q_comparison(spark, sf):
+    c = M.comparison(formula_long(spark, sf))
+    return c.select("model", *[r6(x) for x in ["accuracy", "precision", "recall", "f1_score", "roc_auc"]])
+
+
+@query(
+    "best_model",
+    with_base(
+        "SELECT model, round(f1_score, 6) AS f1_score FROM mets ORDER BY f1_score DESC, "
+        "CASE model " + " ".join(f"WHEN '{m}' THEN {i + 1}" for i, m in enumerate(MODEL_ORDER)) + " END LIMIT 1",
+        METRICS_CTE,
+    ),
+)
+def q_best_model(spark, sf):
+    b = M.best_model(M.comparison(formula_long(spark, sf)), "f1_score", MODEL_ORDER)
+    return b.select("model", r6("f1_score"))
+
+
+def _threshold_sql(metric: str) -> str:
+    valid = {"f1": "recall >= 0.75", "recall": "precision >= 0.5", "precision": "recall >= 0.5"}[metric]
+    obj = {"f1": "2 * precision * recall / (precision + recall + 1e-10)", "recall": "recall", "precision": "precision"}[metric]
+    return f"""SELECT m.model, '{metric}' AS metric, CASE WHEN b.is_end OR b.threshold IS NULL THEN 0.5 ELSE b.threshold END AS threshold
+FROM (SELECT DISTINCT model FROM lp) m LEFT JOIN (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY model ORDER BY {obj} DESC, is_end ASC, threshold ASC) AS rn FROM (
+      SELECT model, threshold, CASE WHEN tp + fp > 0 THEN tp * 1.0{D} / (tp + fp) ELSE 0.0 END AS precision,
+             CASE WHEN n_pos > 0 THEN tp * 1.0{D} / n_pos ELSE 1.0 END AS recall, false AS is_end FROM pts
+      UNION ALL SELECT DISTINCT model, NULL, 1.0, 0.0, true FROM lp) WHERE {valid}) WHERE rn = 1) b USING (model)"""
+
+
+@query("threshold", with_base(" UNION ALL ".join(_threshold_sql(m) for m in ("f1", "recall", "precision")), METRICS_CTE))
+def q_threshold(spark, sf):
+    """Decision threshold by each of the three rules, per model. (In the
+    training flow this runs on the validation split, not on test.)"""
+    lp = formula_long(spark, sf)
+    out = None
+    for m in ("f1", "recall", "precision"):
+        t = M.optimize_threshold(lp, m)
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+CAL_EDGES = M.CALIBRATION_EDGES[1:-1]
+
+
+@query(
+    "calibration",
+    with_base(
+        "SELECT model, CAST(" + " + ".join(f"(CASE WHEN probability > {e!r}::DOUBLE THEN 1 ELSE 0 END)" for e in CAL_EDGES)
+        + " AS INTEGER) AS bin, round(avg(probability), 6) AS mean_predicted, round(avg(label), 6) AS fraction_positive, count(*) AS count "
+        "FROM lp GROUP BY ALL",
+        LONG_CTE,
+    ),
+)
+def q_calibration(spark, sf):
+    c = M.calibration(formula_long(spark, sf))
+    return c.select("model", "bin", r6("mean_predicted"), r6("fraction_positive"), "count")
+
+
+@query("brier", with_base("SELECT model, round(avg(power(probability - label, 2)), 6) AS brier_score FROM lp GROUP BY model", LONG_CTE))
+def q_brier(spark, sf):
+    return M.brier(formula_long(spark, sf)).select("model", r6("brier_score"))
+
+
+@query(
+    "evaluate_all",
+    with_base(
+        f"""SELECT model, round(f1_score, 6) AS f1_score, round(roc_auc, 6) AS roc_auc, round(b.brier_score, 6) AS brier_score,
+  t.threshold AS f1_threshold
+FROM mets JOIN auc USING (model) JOIN (SELECT model, avg(power(probability - label, 2)) AS brier_score FROM lp GROUP BY model) b USING (model)
+JOIN ({_threshold_sql('f1')}) t USING (model)""",
+        METRICS_CTE,
+    ),
+)
+def q_evaluate_all(spark, sf):
+    """metrics + AUC + Brier + F1-rule threshold, one row per model."""
+    from .evaluate import evaluate_all
+
+    out = evaluate_all(formula_long(spark, sf))
+    return out.select("model", r6("f1_score"), r6("roc_auc"), r6("brier_score"), "f1_threshold")

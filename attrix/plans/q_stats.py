@@ -311,7 +311,7 @@ FORMULA_PRED_SQL = f"""
 preds AS (SELECT customerID, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label,
   CASE WHEN (contract_risk_score + payment_risk_score + (4 - support_services_count) + SeniorCitizen) / 11.0{D} > 0.5 THEN 1 ELSE 0 END AS pred_rule,
   CASE WHEN contract_risk_score = 3 THEN 1 ELSE 0 END AS pred_contract,
-  CASE WHEN support_services_count = 0 THEN 1 ELSE 0 END AS pred_support FROM feat)"""
+  CASE WHEN support_services_count < 2 THEN 1 ELSE 0 END AS pred_support FROM feat)"""
 FORMULA_MODELS = ["pred_rule", "pred_contract", "pred_support"]
 
 
@@ -324,7 +324,7 @@ def formula_predictions(spark, sf):
         is_positive("Churn").alias("label"),
         (rule_score(df) > 0.5).cast("int").alias("pred_rule"),
         (F.col("contract_risk_score") == 3).cast("int").alias("pred_contract"),
-        (F.col("support_services_count") == 0).cast("int").alias("pred_support"),
+        (F.col("support_services_count") < 2).cast("int").alias("pred_support"),
     )
 
 
