@@ -201,3 +201,445 @@ def q_evaluate_all(spark, sf):
 
     out = evaluate_all(formula_long(spark, sf))
     return out.select("model", r6("f1_score"), r6("roc_auc"), r6("brier_score"), "f1_threshold")
+
+
+# =============================================================================
+# Encoding, fitted models, explanations, scoring, sinks
+# =============================================================================
+from ..functions import columns as C  # noqa: E402
+from ..models import encode as E  # noqa: E402
+from ..operators import split as SP  # noqa: E402
+from ..session import shared_path  # noqa: E402
+from ..sources import snapshot as S  # noqa: E402
+from .q_eda import RATES_CTE, eda_frame  # noqa: E402
+from .q_prep import SPEC, _split_sql, clean, raw  # noqa: E402
+
+NUMS = S.NUMERIC_COLUMNS
+CAT_TEXT = ["Region", "Contract", "PaymentMethod", "InternetService", *K.SUPPORT_SERVICES]
+# Domains of the TPC-H-derived snapshot columns (fixed by the generator's spec)
+DOMAINS = {
+    "Region": ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"],
+    "Contract": ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"],
+    "PaymentMethod": ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"],
+    "InternetService": ["F", "O", "P"],
+    **{c: ["No", "Yes"] for c in K.SUPPORT_SERVICES},
+}
+
+# Search budget of the *registered* training queries, so the check finishes
+# in minutes on one machine; the library defaults are the reference's
+# (LR 6-point grid, RF 20 and GBT 50 sampled points, 5 folds).
+CHECK_BUDGET = {"folds": 3, "rf_iter": 3, "gbt_iter": 2,
+                "gbt_space": {**K.GBT_SPACE, "n_estimators": [20, 30, 40]}}
+
+
+@query(
+    "scale",
+    with_base(
+        "SELECT customerID, " + ", ".join(
+            f"round(({c} - avg({c}) OVER ()) / stddev_pop({c}) OVER (), 6) AS {c}" for c in NUMS
+        ) + " FROM clean"
+    ),
+)
+def q_scale(spark, sf):
+    """Standardisation with the population standard deviation."""
+    df = clean(spark, sf)
+    enc = E.fit_encoding(df, E.Roles(NUMS, [], "customerID"), scale=True)
+    out = E.encode(df, enc)
+    from pyspark.ml.functions import vector_to_array
+
+    a = vector_to_array("features")
+    return out.select("customerID", *[F.round(a[i], 6).alias(c) for i, c in enumerate(NUMS)])
+
+
+def _onehot_sql() -> str:
+    cols = []
+    for c in CAT_TEXT:
+        for v in DOMAINS[c][1:]:
+            cols.append(f"CAST(coalesce({c} = '{v}', false) AS DOUBLE) AS \"{c}_{v}\"")
+    return "SELECT customerID, " + ", ".join(cols) + " FROM clean"
+
+
+@query("onehot_drop_first", with_base(_onehot_sql()))
+def q_onehot(spark, sf):
+    """Indicator per category after the first (sorted); unknown -> zeros."""
+    df = clean(spark, sf)
+    enc = E.fit_encoding(df, E.Roles([], CAT_TEXT, "customerID"), scale=False)
+    out = E.preprocessor(enc).transform(df)
+    return out.select("customerID", *[F.col(f"`f__{n}`").alias(n) for n in enc.feature_names()])
+
+
+def _featured_split(spark, sf):
+    from .q_prep import featured
+
+    return SP.stratified_split(featured(spark, sf), "Churn", "customerID", test_pct=20, val_pct=20)
+
+
+def model_roles(df) -> E.Roles:
+    return E.feature_roles(df.drop("split"), "customerID", "Churn")
+
+
+def _roles_sql() -> str:
+    from .q_prep import FEATURES_SQL  # noqa: F401
+
+    num = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges", "contract_risk_score", "payment_risk_score",
+           "support_services_count", "charge_per_month", "senior_high_charge", "fiber_optic_no_support"]
+    cat = ["Region", "Contract", "PaymentMethod", "InternetService", *K.SUPPORT_SERVICES, "tenure_group"]
+    parts = [f"SELECT '{c}' AS column_name, 'numeric' AS role, (SELECT count(DISTINCT {c}) FROM feat) AS n_distinct" for c in num]
+    parts += [f"SELECT '{c}', 'categorical', (SELECT count(DISTINCT {c}) FROM feat)" for c in cat]
+    return " UNION ALL ".join(parts)
+
+
+@query("feature_roles", with_base(_roles_sql(), FEATURES_CTE))
+def q_feature_roles(spark, sf):
+    """Typed roles of the model inputs (numerics stay numeric) with their
+    distinct counts."""
+    from .q_prep import featured
+
+    df = featured(spark, sf)
+    roles = model_roles(df)
+    pairs = [(c, "numeric") for c in roles.numeric] + [(c, "categorical") for c in roles.categorical]
+    arr = F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("role"), F.col(c).cast("string").alias("v")) for c, r in pairs])
+    long = df.select(F.inline(arr))
+    return long.groupBy("column_name", "role").agg(F.count_distinct("v").alias("n_distinct"))
+
+
+def _names_sql() -> str:
+    num = ["SeniorCitizen", "tenure", "MonthlyCharges", "TotalCharges", "contract_risk_score", "payment_risk_score",
+           "support_services_count", "charge_per_month", "senior_high_charge", "fiber_optic_no_support"]
+    cat = ["Region", "Contract", "PaymentMethod", "InternetService", *K.SUPPORT_SERVICES, "tenure_group"]
+    nums = " UNION ALL ".join(f"SELECT {i} AS idx, '{c}' AS feature" for i, c in enumerate(num))
+    cats = " UNION ALL ".join(
+        f"SELECT {j} AS o, v, row_number() OVER (ORDER BY v) AS r FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM tr WHERE {c} IS NOT NULL), "
+        f"(SELECT '{c}' AS cname) q" for j, c in enumerate(cat)
+    ).replace(" AS o, v,", " AS o, v,")
+    catsq = " UNION ALL ".join(
+        f"SELECT {j} AS o, '{c}' AS cname, v, row_number() OVER (ORDER BY v) AS r FROM (SELECT DISTINCT CAST({c} AS VARCHAR) AS v FROM tr WHERE {c} IS NOT NULL)"
+        for j, c in enumerate(cat)
+    )
+    return f"""SELECT CAST(idx AS INTEGER) AS idx, feature FROM ({nums})
+UNION ALL
+SELECT CAST({len(num)} - 1 + row_number() OVER (ORDER BY o, v) AS INTEGER), cname || '_' || v FROM ({catsq}) WHERE r > 1"""
+
+
+@query(
+    "feature_names",
+    with_base(_names_sql(), FEATURES_CTE + "," + _split_sql(20, 20)
+              + ",\ntr AS (SELECT f.* FROM feat f JOIN cut c USING (customerID) WHERE c.r >= c.n_test + c.n_val)"),
+)
+def q_feature_names(spark, sf):
+    """Names of the assembled vector's slots, fitted on the training split."""
+    df = _featured_split(spark, sf)
+    train = df.where(F.col("split") == "train")
+    enc = E.fit_encoding(train, model_roles(df), scale=False)
+    rows = list(enumerate(enc.feature_names()))
+    return spark.createDataFrame(rows, "idx int, feature string")
+
+
+@query(
+    "class_weight",
+    with_base(
+        "SELECT CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label, count(*) AS n, "
+        "round((SELECT count(*) FROM clean) * 1.0::DOUBLE / (2 * count(*)), 6) AS weight FROM clean GROUP BY ALL"
+    ),
+)
+def q_class_weight(spark, sf):
+    """'balanced' weights n / (2 n_c) per class."""
+    from ..models.train import class_weights
+
+    df = clean(spark, sf).withColumn("label", is_positive("Churn"))
+    w = class_weights(df, "label")
+    counts = df.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    wmap = F.create_map(*[x for k, v in w.items() for x in (F.lit(k), F.lit(v))])
+    return counts.select("label", "n", F.round(wmap[F.col("label")], 6).alias("weight"))
+
+
+_TRAINED: dict = {}
+
+
+def trained(spark, sf):
+    """Train the three searches once per session and input folder."""
+    from ..models.train import train_all
+
+    key = (id(spark), sf)
+    if key not in _TRAINED:
+        df = _featured_split(spark, sf).cache()
+        train, val, test = (df.where(F.col("split") == s) for s in ("train", "val", "test"))
+        roles = model_roles(df)
+        models = train_all(train, roles, val=val, budget=CHECK_BUDGET)
+        _TRAINED[key] = (models, train, val, test, roles)
+    return _TRAINED[key]
+
+
+def _params_df(spark, res):
+    rows = [(res.name, k, str(v)) for k, v in sorted(res.params.items())] + [(res.name, "cv_f1", repr(res.cv_f1))]
+    return spark.createDataFrame(rows, "model string, param string, value string")
+
+
+@query("train_lr")
+def q_train_lr(spark, sf):
+    return _params_df(spark, trained(spark, sf)[0]["Logistic Regression"])
+
+
+@query("train_rf")
+def q_train_rf(spark, sf):
+    return _params_df(spark, trained(spark, sf)[0]["Random Forest"])
+
+
+@query("train_gbt")
+def q_train_gbt(spark, sf):
+    return _params_df(spark, trained(spark, sf)[0]["Gradient Boosting"])
+
+
+@query("search")
+def q_search(spark, sf):
+    """Every evaluated parameter point of every search with its mean CV F1."""
+    models = trained(spark, sf)[0]
+    rows = [(name, i, str(p), float(m)) for name, r in models.items() for i, (p, m) in enumerate(r.cv_table)]
+    return spark.createDataFrame(rows, "model string, point int, params string, mean_cv_f1 double")
+
+
+def model_predictions(spark, sf, split: str = "test") -> DataFrame:
+    """Long predictions (model, customerID, label, probability, prediction)
+    of every fitted model on a split: one union, one pass per model."""
+    from pyspark.ml.functions import vector_to_array
+
+    models, train, val, test = trained(spark, sf)[:4]
+    data = {"train": train, "val": val, "test": test}[split]
+    out = None
+    for name, r in models.items():
+        s = r.model.transform(data).select(
+            F.lit(name).alias("model"), "customerID", is_positive("Churn").alias("label"),
+            vector_to_array("probability")[1].alias("probability"), F.col("prediction").cast("int").alias("prediction"),
+        )
+        out = s if out is None else out.unionByName(s)
+    return out
+
+
+@query("train_all")
+def q_train_all(spark, sf):
+    """CV F1 and test metrics of the three fitted models."""
+    models = trained(spark, sf)[0]
+    cv = spark.createDataFrame([(n, float(r.cv_f1)) for n, r in models.items()], "model string, cv_f1 double")
+    return cv.join(M.comparison(model_predictions(spark, sf)), "model")
+
+
+@query("tree_importance")
+def q_tree_importance(spark, sf):
+    from ..models.explain import tree_importance
+
+    r = trained(spark, sf)[0]["Random Forest"]
+    return tree_importance(spark, r.model, r.encoding.feature_names())
+
+
+def _lr_contribs(spark, sf):
+    from ..models.explain import feature_means, linear_contributions
+
+    models, train, val, test, _ = trained(spark, sf)
+    r = models["Logistic Regression"]
+    pre = E.preprocessor(r.encoding)
+    means = feature_means(pre.transform(train), len(r.encoding.feature_names()))
+    return linear_contributions(pre.transform(test), r.model, means, "customerID"), r
+
+
+@query("shap_linear")
+def q_shap_linear(spark, sf):
+    """Exact linear contributions for every test row; their sum is the
+    margin minus the margin at the training means."""
+    c, _ = _lr_contribs(spark, sf)
+    return c.select("customerID", "margin", F.aggregate("contrib", F.lit(0.0), lambda a, v: a + v).alias("sum_contrib"))
+
+
+@query("top_shap")
+def q_top_shap(spark, sf):
+    from ..models.explain import top_contributors
+
+    c, r = _lr_contribs(spark, sf)
+    return top_contributors(c, r.encoding.feature_names(), 10)
+
+
+@query("shap_tree")
+def q_shap_tree(spark, sf):
+    """Permutation importance (AUC drop) of the random forest's inputs."""
+    from ..models.explain import permutation_importance
+
+    models, _, _, test, roles = trained(spark, sf)
+    r = models["Random Forest"]
+    return permutation_importance(r.model, test, [*roles.numeric, *roles.categorical], "customerID", "Churn")
+
+
+@query("explain_all")
+def q_explain_all(spark, sf):
+    """Importance tables of all models; 'best' is the best test F1."""
+    from ..models.explain import linear_importance, tree_importance
+
+    models = trained(spark, sf)[0]
+    comp = M.comparison(model_predictions(spark, sf))
+    best = M.best_model(comp, "f1_score", list(models)).first()["model"]
+    out = None
+    for name, r in models.items():
+        f = linear_importance if name == "Logistic Regression" else tree_importance
+        t = f(spark, r.model, r.encoding.feature_names()).select(F.lit(name).alias("model"), "*", F.lit(name == best).alias("is_best"))
+        out = t if out is None else out.unionByName(t)
+    return out
+
+
+@query("score")
+def q_score(spark, sf):
+    """Batch scoring of the test split with the best model: probability,
+    decision, band, gauge and the snapshot's risk-factor rules."""
+    from ..models.score import score
+    from ..operators.features import fit_feature_params
+    from .q_prep import snapshot_risk_rules
+
+    models, train, _, test, _ = trained(spark, sf)
+    comp = M.comparison(model_predictions(spark, sf))
+    best = M.best_model(comp, "f1_score", list(models)).first()["model"]
+    spec = fit_feature_params(train, SPEC)  # median from training rows only
+    base = test.select(*S.SNAPSHOT_COLUMNS)
+    out = score(models[best].model, base, spec, snapshot_risk_rules())
+    return out.withColumn("risk_factors", F.concat_ws("; ", "risk_factors"))
+
+
+@query(
+    "defaults",
+    with_base(
+        "SELECT customerID, coalesce(TRY_CAST(CASE WHEN trim(TotalCharges) = '' THEN NULL ELSE TotalCharges END AS DOUBLE), "
+        "MonthlyCharges * tenure) AS TotalCharges, 'Male' AS gender, 'Yes' AS PaperlessBilling FROM snap"
+    ),
+)
+def q_defaults(spark, sf):
+    """Form defaults for inputs the scoring form does not ask for; a
+    missing total becomes monthly x tenure."""
+    from ..models.score import FORM_DEFAULTS, with_defaults
+
+    out = with_defaults(raw(spark, sf), FORM_DEFAULTS)
+    return out.select("customerID", "TotalCharges", "gender", "PaperlessBilling")
+
+
+@query(
+    "home_kpis",
+    with_base(
+        "SELECT (SELECT count(*) FROM snap) AS total_customers, "
+        "(SELECT round(accuracy, 6) FROM mets ORDER BY f1_score DESC, CASE model "
+        + " ".join(f"WHEN '{m}' THEN {i + 1}" for i, m in enumerate(MODEL_ORDER)) + " END LIMIT 1) AS best_accuracy",
+        METRICS_CTE,
+    ),
+)
+def q_home_kpis(spark, sf):
+    """Total customers (overview table) and the accuracy of the first row
+    of the model comparison (F1 order)."""
+    from ..operators.profile import overview
+
+    total = overview(raw(spark, sf)).where(F.col("Metric") == "Total Rows").select(F.col("Value").alias("total_customers"))
+    best = M.best_model(M.comparison(formula_long(spark, sf)), "f1_score", MODEL_ORDER).select(F.round("accuracy", 6).alias("best_accuracy"))
+    return total.withColumn("_k", F.lit(0)).join(best.withColumn("_k", F.lit(0)), "_k").drop("_k")
+
+
+# --- sinks and sources ---------------------------------------------------------------
+@query(
+    "sink_tables",
+    with_base(
+        "SELECT 'churn_rates' AS table_name, count(*) AS n_rows FROM rates "
+        "UNION ALL SELECT 'churn_distribution', count(DISTINCT Churn) FROM snap",
+        RATES_CTE,
+    ),
+)
+def q_sink_tables(spark, sf):
+    """Write result tables (parquet) to the shared folder; read them back."""
+    from ..operators import rates as R
+    from ..sources.results import write_results, load_results
+
+    base = shared_path(spark, "results")
+    write_results({"churn_rates": R.rate_by_category(clean(spark, sf), "Churn", S.CATEGORICAL_COLUMNS),
+                   "churn_distribution": R.target_dist(raw(spark, sf), "Churn")}, base)
+    back = load_results(spark, base)
+    rows = [(n, d.count()) for n, d in back.items()]
+    return spark.createDataFrame(rows, "table_name string, n_rows long")
+
+
+@query("sink_pivots", with_base("SELECT Feature, count(*) AS n_categories FROM rates GROUP BY Feature", RATES_CTE))
+def q_sink_pivots(spark, sf):
+    """One rate table per feature: written partitioned by Feature."""
+    from ..operators import rates as R
+
+    path = shared_path(spark, "pivots")
+    R.rate_by_category(clean(spark, sf), "Churn", S.CATEGORICAL_COLUMNS).write.mode("overwrite").partitionBy("Feature").parquet(path)
+    return spark.read.parquet(path).groupBy("Feature").agg(F.count(F.lit(1)).alias("n_categories"))
+
+
+@query("load_results", with_base("SELECT * FROM rates", RATES_CTE))
+def q_load_results(spark, sf):
+    """Re-read a written result table (the report's input)."""
+    from ..operators import rates as R
+    from ..sources.results import load_results, write_results
+
+    base = shared_path(spark, "results")
+    write_results({"churn_rates": R.rate_by_category(clean(spark, sf), "Churn", S.CATEGORICAL_COLUMNS)}, base)
+    return load_results(spark, base)["churn_rates"]
+
+
+@query("sink_model")
+def q_sink_model(spark, sf):
+    """Save every fitted pipeline, load it back, and check it scores the
+    test split exactly as before (max |probability difference|)."""
+    from pyspark.ml import PipelineModel
+    from pyspark.ml.functions import vector_to_array
+
+    models, _, _, test, _ = trained(spark, sf)
+    rows = []
+    for name, r in models.items():
+        path = shared_path(spark, "models", name.replace(" ", "_"))
+        r.model.write().overwrite().save(path)
+        back = PipelineModel.load(path)
+        a = r.model.transform(test).select("customerID", vector_to_array("probability")[1].alias("p1"))
+        b = back.transform(test).select("customerID", vector_to_array("probability")[1].alias("p2"))
+        d = a.join(b, "customerID").agg(F.max(F.abs(F.col("p1") - F.col("p2")))).first()[0]
+        rows.append((name, len(back.stages), float(d)))
+    return spark.createDataFrame(rows, "model string, n_stages int, max_abs_diff double")
+
+
+@query("src_model")
+def q_src_model(spark, sf):
+    """Load a saved model (absent path -> no model) and score with it."""
+    from ..sources.results import load_model
+
+    models, _, _, test, _ = trained(spark, sf)
+    path = shared_path(spark, "models", "lr")
+    models["Logistic Regression"].model.write().overwrite().save(path)
+    model = load_model(path)
+    missing = load_model(shared_path(spark, "models", "absent"))
+    assert missing is None
+    return model.transform(test).select("customerID", "prediction")
+
+
+@query("src_app", with_base("SELECT * FROM snap"))
+def q_src_app(spark, sf):
+    """The raw customer file as the app reads it: written as CSV with a
+    header, read back with the declared schema (blanks preserved)."""
+    from ..sources.tables import load_customers
+
+    path = shared_path(spark, "customers_csv")
+    r = raw(spark, sf)
+    (r.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return load_customers(spark, path, schema=r.schema, csv_options={"ignoreLeadingWhiteSpace": False,
+                                                                     "ignoreTrailingWhiteSpace": False})
+
+
+def _round_sql() -> str:
+    def mag(e):
+        return f"CASE WHEN abs({e}) < 1000 THEN round({e}, 2) ELSE round({e}, 1) END"
+
+    return f"""SELECT Contract, round(avg(CASE WHEN Churn = 'Yes' THEN 1.0 ELSE 0.0 END) * 100, 2) AS churn_rate_pct,
+  {mag('avg(TotalCharges)')} AS avg_total, {mag('avg(tenure)')} AS avg_tenure FROM clean GROUP BY Contract"""
+
+
+@query("round_table", with_base(_round_sql()))
+def q_round_table(spark, sf):
+    """The table formatter: rate 2 dp; other numbers 2 dp below 1000, else 1 dp."""
+    df = clean(spark, sf).groupBy("Contract").agg(
+        (F.avg(is_positive("Churn")) * 100).alias("churn_rate_pct"),
+        F.avg("TotalCharges").alias("avg_total"),
+        F.avg("tenure").alias("avg_tenure"),
+    )
+    return C.round_table(df)

@@ -64,12 +64,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
-def load_customers(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def load_customers(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                   csv_options: dict | None = None) -> DataFrame:
     """Read a customer file (CSV with header, or parquet) with a declared
     schema; fail early when it is missing. Used for the raw (EDA) view and
     the training view alike: cleaning is a separate operator."""
     if not _exists(spark, path):
         raise FileNotFoundError(f"Data file not found at {path}")
-    if path.endswith(".parquet") or os.path.isdir(path.replace("file:", "", 1)):
+    if path.endswith(".parquet"):
         return spark.read.parquet(path)
-    return spark.read.schema(schema or CUSTOMER_FILE_SCHEMA).option("header", True).csv(path)
+    reader = spark.read.schema(schema or CUSTOMER_FILE_SCHEMA).option("header", True)
+    for k, v in (csv_options or {}).items():
+        reader = reader.option(k, v)
+    return reader.csv(path)
