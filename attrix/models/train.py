@@ -152,7 +152,8 @@ def train_gbt(data: DataFrame, enc: E.FittedEncoding, val: DataFrame | None = No
     if val is not None:
         both = data.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True)))
         best = gbt.copy(dict(zip([getattr(gbt, k) for k in params], params.values())))
-        best = best.setValidationIndicatorCol("is_val").setValidationTol(tol)
+        best = best.setValidationIndicatorCol("is_val")
+        best.set(best.validationTol, tol)
         model = best.fit(both)
         params = {**params, "early_stopped_trees": len(model.trees)}
     return TrainResult("Gradient Boosting", PipelineModel([*E.preprocessor(enc).stages, model]), params, f1, enc, table)
@@ -171,8 +172,9 @@ def train_all(train: DataFrame, roles: E.Roles, val: DataFrame | None = None, po
     key, label = roles.key, roles.label
     enc_s = E.fit_encoding(train, roles, scale=True)
     enc_u = E.fit_encoding(train, roles, scale=False)
-    data_s = prepare(train, enc_s, label, key, positive)
-    data_u = prepare(train, enc_u, label, key, positive)
+    folds = budget.get("folds", K.CV_FOLDS)
+    data_s = prepare(train, enc_s, label, key, positive, folds=folds)
+    data_u = prepare(train, enc_u, label, key, positive, folds=folds)
     out = {"Logistic Regression": train_lr(data_s, enc_s, folds=budget.get("folds", K.CV_FOLDS))}
     out["Random Forest"] = train_rf(data_u, enc_u, n_iter=budget.get("rf_iter", K.RF_SEARCH_ITER),
                                     folds=budget.get("folds", K.CV_FOLDS))

@@ -643,3 +643,83 @@ def q_round_table(spark, sf):
         F.avg("tenure").alias("avg_tenure"),
     )
     return C.round_table(df)
+
+
+# --- ranking, top-k, evaluator definitions, the preprocessor --------------------------
+@query(
+    "rank_insert",
+    with_base(
+        "SELECT CAST(row_number() OVER (ORDER BY Churn_Rate_Percentage DESC, Feature, Category) AS INTEGER) AS Rank, "
+        "Feature, Category, Churn_Rate_Percentage FROM rates",
+        RATES_CTE,
+    ),
+)
+def q_rank_insert(spark, sf):
+    """Rank 1..n after the sort, on the reduced (feature, category) table;
+    keys break ties so the ranking is stable."""
+    from pyspark.sql import Window
+
+    from ..operators import rates as R
+
+    rates = R.rate_by_category(clean(spark, sf), "Churn", S.CATEGORICAL_COLUMNS)
+    w = Window.orderBy(F.desc("Churn_Rate_Percentage"), "Feature", "Category")  # ~30 rows: bounded
+    return rates.select(F.row_number().over(w).alias("Rank"), "Feature", "Category", "Churn_Rate_Percentage")
+
+
+@query(
+    "topk",
+    with_base(
+        "SELECT customerID, Churn, round(charge_per_month, 6) AS charge_per_month FROM feat "
+        "ORDER BY charge_per_month DESC, customerID LIMIT 20",
+        FEATURES_CTE,
+    ),
+)
+def q_topk(spark, sf):
+    """The 20 customers with the highest lifetime charge per month: a
+    distributed top-k (each partition keeps 20, one small merge)."""
+    from .q_prep import featured
+
+    df = featured(spark, sf)
+    top = df.orderBy(F.desc("charge_per_month"), "customerID").limit(20)
+    return top.select("customerID", "Churn", F.round("charge_per_month", 6).alias("charge_per_month"))
+
+
+@query(
+    "scoring_defs",
+    with_base(
+        "SELECT model, round(CASE WHEN tp + fn > 0 THEN tp * 1.0::DOUBLE / (tp + fn) ELSE 0.0 END, 6) AS recall, "
+        "round(CASE WHEN 2 * tp + fp + fn > 0 THEN 2.0::DOUBLE * tp / (2 * tp + fp + fn) ELSE 0.0 END, 6) AS f1, "
+        "round((tp + tn) * 1.0::DOUBLE / n, 6) AS accuracy FROM cnt",
+        METRICS_CTE,
+    ),
+)
+def q_scoring_defs(spark, sf):
+    """The three search scorers (recall and F1 of the positive class,
+    accuracy) as Spark ML evaluators, applied to each formula model."""
+    from ..models.train import scoring_defs
+
+    lp = formula_long(spark, sf).select(
+        "model", F.col("label").cast("double").alias("label"), F.col("prediction").cast("double").alias("prediction")
+    ).cache()
+    rows = []
+    for m in MODEL_ORDER:
+        part = lp.where(F.col("model") == m)
+        vals = {k: round(float(ev.evaluate(part)), 6) for k, ev in scoring_defs().items()}
+        rows.append((m, vals["recall"], vals["f1"], vals["accuracy"]))
+    return spark.createDataFrame(rows, "model string, recall double, f1 double, accuracy double")
+
+
+@query("preprocessor")
+def q_preprocessor(spark, sf):
+    """Fit the preprocessor on the training split only, transform every
+    split: (split, rows, vector size, mean of the first scaled slot)."""
+    from pyspark.ml.functions import vector_to_array
+
+    df = _featured_split(spark, sf)
+    train = df.where(F.col("split") == "train")
+    enc = E.fit_encoding(train, model_roles(df), scale=True)
+    out = E.encode(df, enc)
+    a = vector_to_array("features")
+    return out.groupBy("split").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size(a)).alias("n_features"), F.round(F.avg(a[0]), 6).alias("mean_slot0")
+    )
