@@ -79,7 +79,10 @@ def feature_columns(spec: FeatureSpec) -> dict[str, F.Column]:
     }
 
 
-ENGINEERED = list(feature_columns(FeatureSpec()).keys())
+ENGINEERED = [
+    "contract_risk_score", "tenure_group", "payment_risk_score", "support_services_count",
+    "charge_per_month", "senior_high_charge", "fiber_optic_no_support",
+]
 
 
 def add_features(df: DataFrame, spec: FeatureSpec | None = None, fit: bool = True) -> DataFrame:
