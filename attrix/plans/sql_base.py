@@ -76,12 +76,65 @@ clean AS (
 """
 
 
+def _split_args(inner: str) -> tuple[str, str] | None:
+    """Split 'expr, digits' at the last top-level comma."""
+    depth, cut = 0, -1
+    for i, ch in enumerate(inner):
+        if ch == "(":
+            depth += 1
+        elif ch == ")":
+            depth -= 1
+        elif ch == "," and depth == 0:
+            cut = i
+    if cut < 0:
+        return None
+    return inner[:cut], inner[cut + 1:]
+
+
+def decimal_rounding(sql: str) -> str:
+    """Rewrite every ``round(x, d)`` to round the shortest decimal text of x
+    half-up, which is how Spark rounds a double (DuckDB rounds the binary
+    value, so ties such as 72.225 would otherwise come out differently)."""
+    out, i = [], 0
+    low = sql.lower()
+    while True:
+        j = low.find("round(", i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        if j > 0 and (low[j - 1].isalnum() or low[j - 1] == "_"):
+            out.append(sql[i:j + 6])
+            i = j + 6
+            continue
+        depth, k = 1, j + 6
+        while depth:
+            if sql[k] == "(":
+                depth += 1
+            elif sql[k] == ")":
+                depth -= 1
+            k += 1
+        inner = sql[j + 6:k - 1]
+        parts = _split_args(inner)
+        out.append(sql[i:j])
+        if parts is None:
+            out.append(sql[j:k])
+        else:
+            expr, digits = parts
+            expr = decimal_rounding(expr)
+            v = f"CAST(({expr}) AS DOUBLE)"
+            out.append(
+                f"(CASE WHEN isfinite({v}) THEN CAST(round(CAST({v} AS VARCHAR)::DECIMAL(38, 12), {digits.strip()}) AS DOUBLE) "
+                f"ELSE {v} END)"
+            )
+        i = k
+
+
 def with_base(body: str, extra_ctes: str = "") -> str:
-    """``WITH <snapshot CTEs>[, extra] <body>``."""
+    """``WITH <snapshot CTEs>[, extra] <body>``, with Spark's rounding."""
     ctes = SNAPSHOT_CTES.strip()
     if extra_ctes.strip():
         ctes += ",\n" + extra_ctes.strip()
-    return f"WITH {ctes}\n{body.strip()}"
+    return decimal_rounding(f"WITH {ctes}\n{body.strip()}")
 
 
 def unpivot_sql(table: str, cols, keep: str = "") -> str:
