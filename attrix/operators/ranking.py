@@ -40,16 +40,20 @@ def running_sum(
     single_task_limit: int = SINGLE_TASK_LIMIT,
     rows_per_bucket: int = ROWS_PER_BUCKET,
     tiebreak: Sequence[str] = (),
+    with_total: bool = False,
 ) -> DataFrame:
     """Add ``prefix+c`` = inclusive running sum of ``c`` within ``by``, in
-    ascending (``order_col``, *``tiebreak``) order. ``df`` should already
+    ascending (``order_col``, *``tiebreak``) order (and, with
+    ``with_total``, ``tot_+c`` = the group's total). ``df`` should already
     hold one row per distinct order key (or the tiebreak must make the
     order total)."""
     order = [F.col(order_col), *[F.col(t) for t in tiebreak]]
     n = df.count()
     if n <= single_task_limit:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.select("*", *[F.sum(c).over(w).alias(prefix + c) for c in sum_cols])
+        wt = Window.partitionBy(*by)
+        tot = [F.sum(c).over(wt).alias("tot_" + c) for c in sum_cols] if with_total else []
+        return df.select("*", *[F.sum(c).over(w).alias(prefix + c) for c in sum_cols], *tot)
 
     from pyspark.ml.feature import Bucketizer
 
@@ -63,8 +67,10 @@ def running_sum(
     bucketed = bucketed.drop("_ov")
     totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias("_t_" + c) for c in sum_cols])
     wb = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    wt = Window.partitionBy(*by)
     offsets = totals.select(
-        *by, "_bucket", *[F.coalesce(F.sum("_t_" + c).over(wb), F.lit(0)).alias("_o_" + c) for c in sum_cols]
+        *by, "_bucket", *[F.coalesce(F.sum("_t_" + c).over(wb), F.lit(0)).alias("_o_" + c) for c in sum_cols],
+        *[F.sum("_t_" + c).over(wt).alias("tot_" + c) for c in sum_cols],
     )
     # offsets hold (|by| x buckets) rows: bounded by the bucket count, so the
     # broadcast is size-checked by construction
@@ -75,6 +81,7 @@ def running_sum(
     out = joined.select(
         *[F.col(c) for c in df.columns],
         *[(F.sum(c).over(w) + F.col("_o_" + c)).alias(prefix + c) for c in sum_cols],
+        *([F.col("tot_" + c) for c in sum_cols] if with_total else []),
     )
     return out
 
@@ -97,13 +104,8 @@ def exact_quantiles(
     (*by, ``q``, ``value``). Distributed: running counts over distinct
     values, then only the rows straddling each target rank are kept."""
     counts = value_counts(df, col, by)
-    ranked = running_sum(counts, col, ["_n"], by=by, single_task_limit=single_task_limit)
-    if by:
-        tot = ranked.groupBy(*by).agg(F.max("cum__n").alias("_total"))
-        ranked = ranked.join(tot, on=list(by))
-    else:
-        total = counts.agg(F.sum("_n")).first()[0] or 0
-        ranked = ranked.withColumn("_total", F.lit(total))
+    ranked = running_sum(counts, col, ["_n"], by=by, single_task_limit=single_task_limit, with_total=True)
+    ranked = ranked.withColumnRenamed("tot__n", "_total")
     ps = F.array(*[F.lit(float(p)) for p in probs])
     exploded = ranked.select("*", F.explode(ps).alias("q"))
     h = F.col("q") * (F.col("_total") - 1)

@@ -132,11 +132,14 @@ def snapshot_cached(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> D
     key = (id(spark), sf_dir, "clean" if cleaned else "raw")
     df = _CACHE.get(key)
     if df is None:
-        df = customer_snapshot(spark, sf_dir)
         if cleaned:
             from ..operators.clean import clean_table
 
-            df = clean_table(df, id_col=None)
+            # cleaned from the persisted raw table: the join and the
+            # lineitem aggregation run once per session
+            df = clean_table(snapshot_cached(spark, sf_dir, cleaned=False), id_col=None)
+        else:
+            df = customer_snapshot(spark, sf_dir)
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
         _CACHE[key] = df
     return df
