@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
@@ -129,10 +129,13 @@ def optimize_threshold(
         valid, obj = r >= 0.5, p
     else:
         raise ValueError(metric)
-    cand = pts.where(valid).select(*by, "threshold", "precision", "recall", "is_end", obj.alias("objective"))
-    # one winner per group: best objective, then lowest threshold, end point last
-    w = Window.partitionBy(*by).orderBy(F.desc("objective"), F.col("is_end").asc(), F.col("threshold").asc())
-    best = cand.select("*", F.row_number().over(w).alias("_rn")).where(F.col("_rn") == 1)
+    cand = pts.where(valid).select(*by, "threshold", "is_end", obj.alias("objective"))
+    # one winner per group: best objective, then the curve point before the
+    # end point, then the lowest threshold -- a max over a struct, which is
+    # partially aggregated map-side (no task holds a group's thresholds)
+    key = F.struct(F.col("objective"), (~F.col("is_end")).alias("not_end"), (-F.col("threshold")).alias("neg_t"),
+                   F.col("threshold").alias("t"), F.col("is_end").alias("e"))
+    best = cand.groupBy(*by).agg(F.max(key).alias("b")).select(*by, F.col("b.t").alias("threshold"), F.col("b.e").alias("is_end"))
     groups = preds.select(*by).distinct()
     out = groups.join(best, list(by), "left")
     return out.select(

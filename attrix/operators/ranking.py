@@ -55,8 +55,33 @@ def running_sum(
         tot = [F.sum(c).over(wt).alias("tot_" + c) for c in sum_cols] if with_total else []
         return df.select("*", *[F.sum(c).over(w).alias(prefix + c) for c in sum_cols], *tot)
 
+    if by:
+        # each group gets its own bucket edges: edges over a mixed column
+        # could leave a narrow-ranged group inside one bucket (one task)
+        groups = df.select(*by).distinct()
+        n_groups = groups.count()
+        if n_groups > MAX_GROUPS:
+            raise ValueError(f"running_sum: {n_groups} groups > {MAX_GROUPS}; pass fewer grouping keys")
+        parts = []
+        for g in groups.collect():
+            cond = F.lit(True)
+            for c in by:
+                cond = cond & (F.col(c).eqNullSafe(F.lit(g[c])))
+            parts.append(_bucketed(df.where(cond), order, order_col, sum_cols, by, prefix, rows_per_bucket, with_total))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+    return _bucketed(df, order, order_col, sum_cols, by, prefix, rows_per_bucket, with_total, n)
+
+
+MAX_GROUPS = 1000
+
+
+def _bucketed(df, order, order_col, sum_cols, by, prefix, rows_per_bucket, with_total, n=None):
     from pyspark.ml.feature import Bucketizer
 
+    n = df.count() if n is None else n
     n_buckets = min(MAX_BUCKETS, max(2, math.ceil(n / rows_per_bucket)))
     probs = [i / n_buckets for i in range(1, n_buckets)]
     edges_row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10 * n_buckets).alias("e")).first()
@@ -72,18 +97,15 @@ def running_sum(
         *by, "_bucket", *[F.coalesce(F.sum("_t_" + c).over(wb), F.lit(0)).alias("_o_" + c) for c in sum_cols],
         *[F.sum("_t_" + c).over(wt).alias("tot_" + c) for c in sum_cols],
     )
-    # offsets hold (|by| x buckets) rows: bounded by the bucket count, so the
-    # broadcast is size-checked by construction
-    if len(by) == 0:
-        offsets = F.broadcast(offsets)
-    joined = bucketed.join(offsets, on=[*by, "_bucket"], how="inner")
+    # offsets hold one row per bucket of this group: bounded by MAX_BUCKETS,
+    # so this broadcast is size-checked by construction
+    joined = bucketed.join(F.broadcast(offsets), on=[*by, "_bucket"], how="inner")
     w = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = joined.select(
+    return joined.select(
         *[F.col(c) for c in df.columns],
         *[(F.sum(c).over(w) + F.col("_o_" + c)).alias(prefix + c) for c in sum_cols],
         *([F.col("tot_" + c) for c in sum_cols] if with_total else []),
     )
-    return out
 
 
 def value_counts(df: DataFrame, col: str, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
