@@ -106,6 +106,7 @@ def optimize_threshold(
     min_recall: float = K.THRESHOLD_MIN_RECALL,
     by: Sequence[str] = ("model",),
     default: float = K.THRESHOLD_DEFAULT,
+    pr: DataFrame | None = None,
     **kw,
 ) -> DataFrame:
     """The threshold the reference's rule picks: f1 -> best F1 with recall
@@ -114,7 +115,7 @@ def optimize_threshold(
     (argmax over ascending thresholds). The curve's end point (precision 1,
     recall 0, no threshold) can win only for 'recall'; then, as when no
     point qualifies, the default is returned."""
-    pr = pr_points(preds, by, **kw).withColumn("is_end", F.lit(False))
+    pr = (pr if pr is not None else pr_points(preds, by, **kw)).withColumn("is_end", F.lit(False))
     ends = preds.select(*by).distinct().select(
         *by, F.lit(None).cast("double").alias("threshold"), F.lit(1.0).alias("precision"), F.lit(0.0).alias("recall"),
         F.lit(True).alias("is_end"),

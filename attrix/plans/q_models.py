@@ -156,9 +156,10 @@ def q_threshold(spark, sf):
     """Decision threshold by each of the three rules, per model. (In the
     training flow this runs on the validation split, not on test.)"""
     lp = formula_long(spark, sf)
+    pr = M.pr_points(lp)  # one curve, three rules
     out = None
     for m in ("f1", "recall", "precision"):
-        t = M.optimize_threshold(lp, m)
+        t = M.optimize_threshold(lp, m, pr=pr)
         out = t if out is None else out.unionByName(t)
     return out
 

@@ -9,7 +9,7 @@ from ..functions import constants as K
 from ..operators import stats as ST
 from ..operators.rates import is_positive
 from ..sources import snapshot as S
-from .catalog import query
+from .catalog import alias, query
 from .q_eda import eda_frame
 from .q_prep import FEATURES_CTE, clean, featured
 from .sql_base import with_base
@@ -403,3 +403,7 @@ def q_paired_t(spark, sf):
     t = ST.paired_t(scores, "model", "fold", "f1", FORMULA_MODELS)
     return t.select("Model_1", "Model_2", "Test_Type", F.round("Mean_Difference", 6).alias("Mean_Difference"),
                     F.round("Statistic", 4).alias("Statistic"), "dof")
+
+
+# the reference's stub has this name; here it is the real paired t above
+alias("paired_t_stub", "paired_t")
