@@ -21,7 +21,7 @@ def test_quantile_property(spark, xs, q):
 
 def test_hypotheses_verdicts(spark):
     rows = ([("Month-to-month", 10.0, 1, "No", "Yes")] * 60 + [("Month-to-month", 90.0, 5, "No", "No")] * 20
-            + [("Two year", 50.0, 60, "Yes", "No")] * 80 + [("Two year", 95.0, 70, "Yes", "No")] * 5)
+            + [("Two year", 50.0, 60, "Yes", "No")] * 80 + [("Two year", 95.0, 70, "Yes", "No")] * 40)
     df = spark.createDataFrame(rows, "Contract string, MonthlyCharges double, tenure int, TechSupport string, Churn string")
     out = {r.Hypothesis[:2]: r for r in hypotheses(df).collect()}
     h1 = out["H1"]
