@@ -137,7 +137,7 @@ def train_rf(data: DataFrame, enc: E.FittedEncoding, n_iter=K.RF_SEARCH_ITER, fo
 
 
 def train_gbt(data: DataFrame, enc: E.FittedEncoding, val: DataFrame | None = None, n_iter=K.GBT_SEARCH_ITER,
-              folds=K.CV_FOLDS, parallelism=4, seed=K.SEED, space=K.GBT_SPACE, tol: float = 0.01) -> TrainResult:
+              folds=K.CV_FOLDS, parallelism=4, seed=K.SEED, space=K.GBT_SPACE, tol: float = 1e-4) -> TrainResult:
     """Random search by CV, then -- with a validation set -- a refit of the
     best parameters with early stopping on it. Positives weigh neg/pos."""
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=seed)
