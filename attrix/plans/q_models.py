@@ -28,6 +28,12 @@ MODEL_ORDER = list(FORMULAS)
 def formula_long(spark, sf) -> DataFrame:
     """(model, customerID, label, probability, prediction) for the three
     fixed formulas; prediction = probability > 0.5."""
+    from ..sources.snapshot import session_cached
+
+    return session_cached(spark, (sf, "formula_long"), lambda: _formula_long(spark, sf))
+
+
+def _formula_long(spark, sf) -> DataFrame:
     df = featured(spark, sf)
     probs = {
         "rule": rule_score(df),

@@ -31,7 +31,9 @@ def clean(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def featured(spark: SparkSession, sf: str) -> DataFrame:
-    return FE.add_features(clean(spark, sf), SPEC)
+    """Cleaned snapshot + the seven features (median fitted on it, as the
+    reference's feature step does), persisted once per session."""
+    return S.session_cached(spark, (sf, "featured"), lambda: FE.add_features(clean(spark, sf), SPEC))
 
 
 # --- SQL fragments mirroring the operators -------------------------------

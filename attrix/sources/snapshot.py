@@ -145,6 +145,19 @@ def snapshot_cached(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> D
     return df
 
 
+def session_cached(spark: SparkSession, key: tuple, build) -> DataFrame:
+    """Persist a derived table once per session (same storage level and
+    recovery story as the snapshot)."""
+    from pyspark import StorageLevel
+
+    k = (id(spark), *key)
+    df = _CACHE.get(k)
+    if df is None:
+        df = build().persist(StorageLevel.MEMORY_AND_DISK)
+        _CACHE[k] = df
+    return df
+
+
 def clear_cache() -> None:
     for df in _CACHE.values():
         try:
