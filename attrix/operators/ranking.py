@@ -151,3 +151,13 @@ def scalar_quantiles(df: DataFrame, col: str, probs: Sequence[float], **kw) -> l
     """Exact quantiles as Python floats (one small collect)."""
     rows = {r["q"]: r["value"] for r in exact_quantiles(df, col, probs, **kw).collect()}
     return [rows.get(float(p)) for p in probs]
+
+
+def column_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float], **kw) -> dict[str, list]:
+    """Exact quantiles of several columns in one distributed pass (the
+    columns are unpivoted and ranked per column)."""
+    arr = F.array(*[F.struct(F.lit(c).alias("_c"), F.col(c).cast("double").alias("_x")) for c in cols])
+    long = df.select(F.inline(arr))
+    rows = exact_quantiles(long, "_x", probs, by=["_c"], **kw).collect()
+    got = {(r["_c"], r["q"]): r["value"] for r in rows}
+    return {c: [got.get((c, float(p))) for p in probs] for c in cols}

@@ -133,10 +133,11 @@ def hypotheses(
 ) -> DataFrame:
     """H1 contract chi2, H2 charges t, H3 tenure t, H4 support chi2, as
     one tidy table: group rates (%), difference, statistic, p, verdict."""
-    from .ranking import scalar_quantiles
+    from .ranking import column_quantiles
 
     y = is_positive(label, positive)
-    med_charge, med_tenure = scalar_quantiles(df, monthly, [0.5])[0], scalar_quantiles(df, tenure, [0.5])[0]
+    meds = column_quantiles(df, [monthly, tenure], [0.5])
+    med_charge, med_tenure = meds[monthly][0], meds[tenure][0]
 
     def rates(in_a, in_b):
         return df.agg(F.avg(F.when(in_a, y)).alias("ra"), F.avg(F.when(in_b, y)).alias("rb"))
