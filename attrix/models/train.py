@@ -85,10 +85,22 @@ def prepare(train: DataFrame, enc: E.FittedEncoding, label_src: str, key: str, p
     """Encoded training set with label, weight and fold columns, cached
     once and shared by every fit of a search."""
     df = train.withColumn("label", (F.col(label_src) == positive).cast("double"))
-    weights = weights or class_weights(df)
+    counts = {int(r["label"]): r["n"] for r in df.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(counts.values())
+    weights = weights or {c: n / (len(counts) * k) for c, k in counts.items()}
     df = df.withColumn("weight", weight_col(weights))
     df = stratified_folds(df, "label", key, folds)
-    return E.encode(df, enc).select(key, "label", "weight", "fold", "features").cache()
+    out = E.encode(df, enc).select(key, "label", "weight", "fold", "features")
+    # iterative learners run one job per iteration: size partitions to the
+    # data (>= ROWS_PER_PARTITION rows each) so small sets do not pay for
+    # idle tasks; large sets keep their partitioning
+    want = max(1, -(-n // ROWS_PER_PARTITION))
+    if out.rdd.getNumPartitions() > want:
+        out = out.coalesce(want)
+    return out.cache()
+
+
+ROWS_PER_PARTITION = 500_000
 
 
 def _search(est, grid, data: DataFrame, folds: int, parallelism: int, seed: int):
@@ -106,7 +118,8 @@ def _search(est, grid, data: DataFrame, folds: int, parallelism: int, seed: int)
 def train_lr(data: DataFrame, enc: E.FittedEncoding, folds=K.CV_FOLDS, parallelism=4, seed=K.SEED,
              c_grid: Sequence[float] = K.LR_C_GRID) -> TrainResult:
     total_w = data.agg(F.sum("weight")).first()[0]
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=1000,
+    # max_iter 1000 and tol 1e-4 as the reference's learner (sklearn's lbfgs defaults)
+    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=1000, tol=1e-4,
                             standardization=False, elasticNetParam=0.0)
     grid = [{lr.regParam: 1.0 / (c * total_w)} for c in c_grid]
     model, params, f1, table = _search(lr, grid, data, folds, parallelism, seed)
@@ -125,7 +138,8 @@ def sample_space(space: dict, n_iter: int, seed: int) -> list[dict]:
 
 def train_rf(data: DataFrame, enc: E.FittedEncoding, n_iter=K.RF_SEARCH_ITER, folds=K.CV_FOLDS, parallelism=4,
              seed=K.SEED, space=K.RF_SPACE) -> TrainResult:
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=seed)
+    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=seed,
+                                maxMemoryInMB=1024)
     picks = sample_space(space, n_iter, seed)
     grid = [
         {rf.numTrees: p["n_estimators"], rf.maxDepth: min(p["max_depth"] or 30, 30),
