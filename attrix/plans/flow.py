@@ -60,8 +60,11 @@ def run(
     train = split.where(F.col("split") == "train")
     spec = FE.fit_feature_params(train, spec)  # the median comes from training rows only
     summary["monthly_median"] = spec.monthly_median
-    feats = FE.add_features(split, spec, fit=False).cache()
-    SP.save_splits(feats, f"{out}/splits")
+    feats = FE.add_features(split, spec, fit=False)
+    # the written split table cuts the lineage: every later stage (three
+    # searches, scoring, explanations) rereads it from the shared folder
+    # instead of recomputing clean -> rank -> split after a lost executor
+    feats = spark.read.parquet(SP.save_splits(feats, f"{out}/splits")).cache()
     tr, va, te = (feats.where(F.col("split") == s) for s in ("train", "val", "test"))
 
     roles = E.feature_roles(feats.drop("split"), key, label)
