@@ -24,8 +24,11 @@ MUL2, ADD2 = 69621, 17
 
 
 def seeded_hash(key: str | Column, seed: int = K.SEED) -> Column:
+    """Integral keys go straight into the mix (reproducible in SQL); other
+    keys (e.g. text ids) are first mapped to 64 bits with ``xxhash64``."""
     k = F.col(key) if isinstance(key, str) else key
-    k = F.pmod(k.cast("long"), F.lit(PRIME))
+    as_long = k.try_cast("long")
+    k = F.pmod(F.coalesce(as_long, F.xxhash64(k)), F.lit(PRIME))
     h1 = F.pmod((k + F.lit(seed)) * F.lit(MUL1) + F.lit(ADD1), F.lit(PRIME))
     return F.pmod(h1 * F.lit(MUL2) + F.lit(ADD2 + seed), F.lit(PRIME))
 
