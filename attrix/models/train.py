@@ -76,7 +76,7 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = K.CV_FOLDS, s
     """fold in [0, k): rank within label by seeded hash, modulo k -- equal
     class shares per fold, without a per-label single-task sort."""
     h = df.withColumn("_h", seeded_hash(key, seed + 1)).withColumn("_one", F.lit(1))
-    ranked = running_sum(h, "_h", ["_one"], by=[label], tiebreak=[key])
+    ranked = running_sum(h, "_h", ["_one"], by=[label], tiebreak=[key], persist=False)
     return ranked.select(*df.columns, F.pmod(F.col("cum__one") - 1, F.lit(k)).cast("int").alias("fold"))
 
 

@@ -41,6 +41,7 @@ def running_sum(
     rows_per_bucket: int = ROWS_PER_BUCKET,
     tiebreak: Sequence[str] = (),
     with_total: bool = False,
+    persist: bool = True,
 ) -> DataFrame:
     """Add ``prefix+c`` = inclusive running sum of ``c`` within ``by``, in
     ascending (``order_col``, *``tiebreak``) order (and, with
@@ -48,6 +49,13 @@ def running_sum(
     hold one row per distinct order key (or the tiebreak must make the
     order total)."""
     order = [F.col(order_col), *[F.col(t) for t in tiebreak]]
+    if persist:
+        # the size check, the bucket edges and the window pass all read
+        # ``df``; persisting the (pre-aggregated) input means the source is
+        # aggregated once, not once per pass
+        from pyspark import StorageLevel
+
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
     n = df.count()
     if n <= single_task_limit:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -52,7 +52,9 @@ def stratified_split(
     whole; validation is carved from what remains after test, like two
     successive stratified splits (80/20, then 75/25 of the 80)."""
     hashed = df.withColumn("_h", seeded_hash(key, seed)).withColumn("_one", F.lit(1))
-    ranked = running_sum(hashed, "_h", ["_one"], by=[label], tiebreak=[key], **ranking_kw)
+    # the input is a projection of an already materialised table: cheaper
+    # to re-read than to persist a second copy
+    ranked = running_sum(hashed, "_h", ["_one"], by=[label], tiebreak=[key], persist=False, **ranking_kw)
     sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
     # one entry per class: bounded by the number of labels
     n_l = F.create_map(*[x for k, v in sizes.items() if k is not None for x in (F.lit(k), F.lit(v))])[F.col(label)]

@@ -38,3 +38,17 @@ def test_hot_value_collapses(spark):
     xs = [5.0] * 1000 + [float(i) for i in range(2000)]
     df = spark.createDataFrame([(x,) for x in xs], "x double")
     assert scalar_quantiles(df, "x", [0.5], single_task_limit=0)[0] == float(np.quantile(xs, 0.5))
+
+
+def test_auc_and_curves_bucketed_path(spark):
+    from attrix.operators import metrics as M
+
+    rng = np.random.default_rng(11)
+    rows = [("m" + str(i % 2), int(rng.random() < 0.3), float(np.round(rng.random(), 3))) for i in range(4000)]
+    preds = spark.createDataFrame(rows, "model string, label int, probability double")
+    a = {r.model: r.roc_auc for r in M.roc_auc(preds).collect()}
+    b = {r.model: r.roc_auc for r in M.roc_auc(preds, single_task_limit=0, rows_per_bucket=100).collect()}
+    assert a.keys() == b.keys() and all(abs(a[k] - b[k]) < 1e-12 for k in a)
+    pa = M.roc_points(preds).orderBy("model", "threshold").toPandas()
+    pb = M.roc_points(preds, single_task_limit=0, rows_per_bucket=100).orderBy("model", "threshold").toPandas()
+    pd.testing.assert_frame_equal(pa, pb)
