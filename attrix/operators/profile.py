@@ -73,7 +73,10 @@ def types_report(df: DataFrame, sample: int = 3) -> DataFrame:
             .select(F.lit(c).alias("Column"), F.array_join(F.transform("a", lambda e: e["s"]), ", ").alias("Sample_Values"))
         )
         samples = top if samples is None else samples.unionByName(top)
-    return distinct.join(samples, "Column")
+    types = df.sparkSession.createDataFrame(
+        [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "Column string, Data_Type string"
+    )  # one row per column
+    return types.join(distinct, "Column").join(samples, "Column")
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:

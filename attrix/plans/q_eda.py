@@ -187,7 +187,10 @@ def _types_sql() -> str:
     parts = []
     for c in _TYPES_COLS:
         parts.append(
-            f"""SELECT '{c}' AS Column, (SELECT count(DISTINCT CAST({c} AS VARCHAR)) FROM snap) AS Unique_Values,
+            f"""SELECT '{c}' AS Column,
+  (SELECT CASE typeof(any_value({c})) WHEN 'BIGINT' THEN 'bigint' WHEN 'INTEGER' THEN 'int' WHEN 'VARCHAR' THEN 'string'
+          WHEN 'DOUBLE' THEN 'double' ELSE lower(typeof(any_value({c}))) END FROM snap) AS Data_Type,
+  (SELECT count(DISTINCT CAST({c} AS VARCHAR)) FROM snap) AS Unique_Values,
   (SELECT string_agg(CAST(v AS VARCHAR), ', ' ORDER BY v) FROM
      (SELECT DISTINCT {c} AS v FROM snap WHERE {c} IS NOT NULL ORDER BY v LIMIT 3)) AS Sample_Values"""
         )

@@ -218,7 +218,7 @@ from ..models import encode as E  # noqa: E402
 from ..operators import split as SP  # noqa: E402
 from ..session import shared_path  # noqa: E402
 from ..sources import snapshot as S  # noqa: E402
-from .q_eda import RATES_CTE, eda_frame  # noqa: E402
+from .q_eda import BIV_CTE, RATES_CTE, eda_frame  # noqa: E402
 from .q_prep import SPEC, _split_sql, clean, raw  # noqa: E402
 
 NUMS = S.NUMERIC_COLUMNS
@@ -346,18 +346,23 @@ def q_feature_names(spark, sf):
     "class_weight",
     with_base(
         "SELECT CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS label, count(*) AS n, "
-        "round((SELECT count(*) FROM clean) * 1.0::DOUBLE / (2 * count(*)), 6) AS weight FROM clean GROUP BY ALL"
+        "round((SELECT count(*) FROM clean) * 1.0::DOUBLE / (2 * count(*)), 6) AS weight, "
+        "round((SELECT count(*) FILTER (WHERE Churn != 'Yes') FROM clean) * 1.0::DOUBLE / "
+        "(SELECT count(*) FILTER (WHERE Churn = 'Yes') FROM clean), 6) AS scale_pos_weight FROM clean GROUP BY ALL"
     ),
 )
 def q_class_weight(spark, sf):
-    """'balanced' weights n / (2 n_c) per class."""
+    """'balanced' weights n / (2 n_c) per class, and the boosting weight of
+    positives (negatives / positives)."""
     from ..models.train import class_weights
 
     df = clean(spark, sf).withColumn("label", is_positive("Churn"))
     w = class_weights(df, "label")
     counts = df.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     wmap = F.create_map(*[x for k, v in w.items() for x in (F.lit(k), F.lit(v))])
-    return counts.select("label", "n", F.round(wmap[F.col("label")], 6).alias("weight"))
+    spw = w[1] and w[1] / w[0]  # (n / 2 n1) / (n / 2 n0) = n0 / n1
+    return counts.select("label", "n", F.round(wmap[F.col("label")], 6).alias("weight"),
+                         F.round(F.lit(spw), 6).alias("scale_pos_weight"))
 
 
 _TRAINED: dict = {}
@@ -564,14 +569,28 @@ def q_sink_tables(spark, sf):
     return spark.createDataFrame(rows, "table_name string, n_rows long")
 
 
-@query("sink_pivots", with_base("SELECT Feature, count(*) AS n_categories FROM rates GROUP BY Feature", RATES_CTE))
+@query(
+    "sink_pivots",
+    with_base(
+        "SELECT 'feature' AS kind, Feature AS name, count(*) AS n_rows FROM rates GROUP BY Feature "
+        "UNION ALL SELECT 'pair', Feature_1 || ' x ' || Feature_2, count(*) FROM bfull GROUP BY Feature_1, Feature_2",
+        RATES_CTE + "," + BIV_CTE,
+    ),
+)
 def q_sink_pivots(spark, sf):
-    """One rate table per feature: written partitioned by Feature."""
+    """One rate table per feature and one cell table per bivariate pair:
+    written partitioned by Feature and by (Feature_1, Feature_2), read back."""
     from ..operators import rates as R
-
-    path = shared_path(spark, "pivots")
-    R.rate_by_category(clean(spark, sf), "Churn", S.CATEGORICAL_COLUMNS).write.mode("overwrite").partitionBy("Feature").parquet(path)
-    return spark.read.parquet(path).groupBy("Feature").agg(F.count(F.lit(1)).alias("n_categories"))
+    from .q_eda import BIV_PAIRS, _biv_frame
+
+    fpath, ppath = shared_path(spark, "pivots"), shared_path(spark, "pair_pivots")
+    R.rate_by_category(clean(spark, sf), "Churn", S.CATEGORICAL_COLUMNS).write.mode("overwrite").partitionBy("Feature").parquet(fpath)
+    R.bivariate_cells(_biv_frame(spark, sf), "Churn", BIV_PAIRS).write.mode("overwrite").partitionBy("Feature_1", "Feature_2").parquet(ppath)
+    feats = spark.read.parquet(fpath).groupBy("Feature").agg(F.count(F.lit(1)).alias("n_rows"))
+    pairs = spark.read.parquet(ppath).groupBy("Feature_1", "Feature_2").agg(F.count(F.lit(1)).alias("n_rows"))
+    return feats.select(F.lit("feature").alias("kind"), F.col("Feature").alias("name"), "n_rows").unionByName(
+        pairs.select(F.lit("pair").alias("kind"), F.concat_ws(" x ", "Feature_1", "Feature_2").alias("name"), "n_rows")
+    )
 
 
 @query("load_results", with_base("SELECT * FROM rates", RATES_CTE))

@@ -320,11 +320,24 @@ def q_sink_splits(spark, sf):
 
 @query(
     "sample_n",
-    with_base(f"SELECT customerID, Churn FROM clean ORDER BY {SP.seeded_hash_sql('customerID')}, customerID LIMIT 100"),
+    with_base(
+        f"""(SELECT 'explained' AS role, customerID, Churn FROM cut WHERE r < n_test
+   ORDER BY {SP.seeded_hash_sql('customerID')}, customerID LIMIT 100)
+UNION ALL
+(SELECT 'background', customerID, Churn FROM cut WHERE r >= n_test + n_val
+   ORDER BY {SP.seeded_hash_sql('customerID')}, customerID LIMIT 300)""",
+        _split_sql(20, 20),
+    ),
 )
 def q_sample_n(spark, sf):
-    """The seeded 100-row explanation sample."""
-    return SP.seeded_sample(clean(spark, sf), "customerID", 100).select("customerID", "Churn")
+    """The seeded explanation samples: at most 100 test rows to explain and
+    300 training rows as background (each a distributed top-k by hash)."""
+    df = SP.stratified_split(clean(spark, sf), "Churn", "customerID", test_pct=20, val_pct=20)
+    explained = SP.seeded_sample(df.where(F.col("split") == "test"), "customerID", 100)
+    background = SP.seeded_sample(df.where(F.col("split") == "train"), "customerID", 300)
+    return explained.select(F.lit("explained").alias("role"), "customerID", "Churn").unionByName(
+        background.select(F.lit("background").alias("role"), "customerID", "Churn")
+    )
 
 
 @query(
