@@ -24,9 +24,12 @@ def numeric_long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -
 
 def overview(df: DataFrame) -> DataFrame:
     """Rows, columns, duplicate rows (all columns), missing cells."""
-    n = df.count()
-    distinct = df.distinct().count()
-    nulls = df.select(sum(F.col(c).isNull().cast("long") for c in df.columns).alias("m")).agg(F.sum("m")).first()[0] or 0
+    facts = df.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(sum(F.col(c).isNull().cast("long") for c in df.columns)).alias("nulls"),
+    ).first()
+    n, nulls = facts["n"], facts["nulls"] or 0
+    distinct = df.distinct().count()  # duplicates: one full-row aggregate
     spark = df.sparkSession
     return spark.createDataFrame(
         [("Total Rows", n), ("Total Columns", len(df.columns)), ("Duplicate Rows", n - distinct),
@@ -57,26 +60,37 @@ def blank_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def types_report(df: DataFrame, sample: int = 3) -> DataFrame:
-    """Per column: distinct count and its ``sample`` smallest values.
+    """Per column: type, distinct count and its ``sample`` smallest values.
     Distinct counts come from one unpivoted groupBy (two-phase, no single
-    task); each column's samples are a distributed top-k."""
+    task). The smallest values come from ``sample`` global-min passes over
+    all columns at once (each pass: the minimum above the previous one), so
+    no column is shuffled for them."""
     cols = df.columns
     arr = F.array(*[F.struct(F.lit(c).alias("Column"), F.col(c).cast("string").alias("v")) for c in cols])
     distinct = df.select(F.inline(arr)).where(F.col("v").isNotNull()).groupBy("Column").agg(
         F.count_distinct("v").alias("Unique_Values")
     )
-    samples = None
-    for c in cols:
-        top = (
-            df.select(F.col(c)).where(F.col(c).isNotNull()).distinct().orderBy(c).limit(sample)
-            .agg(F.array_sort(F.collect_list(F.struct(F.col(c).alias("k"), F.col(c).cast("string").alias("s")))).alias("a"))
-            .select(F.lit(c).alias("Column"), F.array_join(F.transform("a", lambda e: e["s"]), ", ").alias("Sample_Values"))
-        )
-        samples = top if samples is None else samples.unionByName(top)
-    types = df.sparkSession.createDataFrame(
-        [(f.name, f.dataType.simpleString()) for f in df.schema.fields], "Column string, Data_Type string"
-    )  # one row per column
-    return types.join(distinct, "Column").join(samples, "Column")
+    picked: dict[str, list] = {c: [] for c in cols}
+    for _ in range(sample):
+        aggs = []
+        for i, c in enumerate(cols):
+            prev = picked[c][-1] if picked[c] else None
+            x = F.col(c) if prev is None else F.when(F.col(c) > F.lit(prev), F.col(c))
+            aggs.append(F.min(x).alias(f"m{i}"))
+        row = df.agg(*aggs).first()
+        for i, c in enumerate(cols):
+            if row[f"m{i}"] is not None and (not picked[c] or row[f"m{i}"] != picked[c][-1]):
+                picked[c].append(row[f"m{i}"])
+    spark = df.sparkSession
+    # the values are rendered by Spark's casts; one row per column
+    rows = []
+    for i, c in enumerate(cols):
+        lits = [F.lit(v).cast(df.schema[c].dataType).cast("string") for v in picked[c]]
+        rows.append(F.struct(F.lit(c).alias("Column"), F.lit(df.schema[c].dataType.simpleString()).alias("Data_Type"),
+                             F.array_join(F.array(*lits), ", ").alias("Sample_Values") if lits
+                             else F.lit(None).cast("string").alias("Sample_Values")))
+    info = spark.range(1).select(F.inline(F.array(*rows)))
+    return info.join(distinct, "Column").select("Column", "Data_Type", "Unique_Values", "Sample_Values")
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:

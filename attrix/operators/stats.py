@@ -306,17 +306,27 @@ def mutual_info(df: DataFrame, cols: Sequence[str], label: str, positive="Yes",
 
 
 def importance_rank(df: DataFrame, numeric: Sequence[str], label: str, positive="Yes") -> DataFrame:
-    """Numeric columns scored by MI, text columns by Cramer's V against the
-    label (integer flags are skipped, as the reference does), one ranking."""
+    """Numeric columns scored by MI (with ANOVA F and its p), text columns by
+    Cramer's V (with chi2 and its p) against the label -- integer flags are
+    skipped, as the reference does -- in one ranking."""
     text_cols = [
         f.name for f in df.schema.fields
         if isinstance(f.dataType, T.StringType) and f.name not in (label, *numeric)
     ]
-    num = mutual_info(df, numeric, label, positive).select(
-        "Feature", F.lit("Numerical").alias("Type"), F.col("Mutual_Information").alias("Importance_Score")
+    nul = F.lit(None).cast("double")
+    num = (
+        mutual_info(df, numeric, label, positive)
+        .join(anova_f(df, numeric, label, positive), "Feature")
+        .select(
+            "Feature", F.lit("Numerical").alias("Type"), "Mutual_Information", "F_Statistic", "F_PValue",
+            nul.alias("Chi2_Statistic"), nul.alias("Chi2_PValue"), nul.alias("Cramers_V"),
+            F.col("Mutual_Information").alias("Importance_Score"),
+        )
     )
     cat = label_association(df, label, text_cols).select(
-        "Feature", F.lit("Categorical").alias("Type"), F.col("cramers_v").alias("Importance_Score")
+        "Feature", F.lit("Categorical").alias("Type"), nul.alias("Mutual_Information"), nul.alias("F_Statistic"),
+        nul.alias("F_PValue"), F.col("chi2").alias("Chi2_Statistic"), F.col("p_value").alias("Chi2_PValue"),
+        F.col("cramers_v").alias("Cramers_V"), F.col("cramers_v").alias("Importance_Score"),
     )
     both = num.unionByName(cat)
     w = Window.orderBy(F.desc("Importance_Score"), "Feature")  # one row per column: bounded

@@ -18,14 +18,14 @@ from ..sources import snapshot as S
 def eda_summary(df: DataFrame, label: str, total: str) -> DataFrame:
     """Shape, duplicates, class counts and shares, imbalance ratio, blank
     totals -- one aggregate plus one distinct count."""
-    n = df.count()
-    dup = n - df.distinct().count()
     facts = df.agg(
+        F.count(F.lit(1)).alias("n"),
         F.count_if(F.col(label) == "No").alias("no"),
         F.count_if(F.col(label) == "Yes").alias("yes"),
         F.count_if(F.col(total) == " ").alias("blank"),
     ).first()
-    no, yes = facts["no"], facts["yes"]
+    n, no, yes = facts["n"], facts["no"], facts["yes"]
+    dup = n - df.distinct().count()
     rows = [
         ("rows", float(n)), ("columns", float(len(df.columns))), ("duplicate_rows", float(dup)),
         ("count_No", float(no)), ("count_Yes", float(yes)),
