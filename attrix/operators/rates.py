@@ -266,41 +266,37 @@ def nonlinear_bins(df: DataFrame, label: str, cols: Sequence[str], n_edges: int
     """Equal-width binning per numeric column: ``n_edges`` linspace edges
     between min and max, right-closed bins, the minimum itself falls out
     (no include_lowest). Every bin is reported; empty bins have NULL
-    rate and centre. Min/max are fitted with one aggregate."""
+    rate and centre. Min/max are fitted with one aggregate; all columns are
+    then binned in one unpivoted scan and one groupBy."""
     ext = df.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
                  *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
-    y = is_positive(label, positive)
-    parts = []
     spark = df.sparkSession
-    for i, c in enumerate(cols):
-        lo, hi = ext[f"lo_{i}"], ext[f"hi_{i}"]
-        if lo is None:
-            continue
-        edges = linspace(float(lo), float(hi), n_edges)
-        idx = bin_fixed(F.col(c).cast("double"), edges)
-        stats = (
-            df.select(idx.alias("bin"), F.col(c).cast("double").alias("x"), y.alias("_y"))
-            .where(F.col("bin").isNotNull())
-            .groupBy("bin")
-            .agg(F.avg("x").alias("Bin_Center"), F.avg("_y").alias("_r"))
-        )
-        grid = spark.createDataFrame(
-            [(b, edges[b], edges[b + 1]) for b in range(n_edges - 1)], "bin int, Bin_Low double, Bin_High double"
-        )
-        parts.append(
-            grid.join(stats, "bin", "left").select(
-                F.lit(c).alias("Feature"),
-                "bin",
-                "Bin_Low",
-                "Bin_High",
-                "Bin_Center",
-                (F.col("_r") * 100).alias("Churn_Rate"),
-            )
-        )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    edges = {
+        c: linspace(float(ext[f"lo_{i}"]), float(ext[f"hi_{i}"]), n_edges)
+        for i, c in enumerate(cols) if ext[f"lo_{i}"] is not None
+    }
+    # one row per (column, bin): the output grid, size-bounded
+    grid = spark.createDataFrame(
+        [(c, b, e[b], e[b + 1]) for c, e in edges.items() for b in range(n_edges - 1)],
+        "Feature string, bin int, Bin_Low double, Bin_High double",
+    )
+    bounds = spark.createDataFrame(
+        [(c, e) for c, e in edges.items()], "Feature string, e array<double>"
+    )  # one row per column
+    arr = F.array(*[F.struct(F.lit(c).alias("Feature"), F.col(c).cast("double").alias("x")) for c in edges])
+    long = df.select(is_positive(label, positive).alias("_y"), F.inline(arr)).where(F.col("x").isNotNull())
+    e = F.col("e")
+    inside = (F.col("x") > e[0]) & (F.col("x") <= e[n_edges - 1])
+    bin_ix = sum((F.col("x") > e[i]).cast("int") for i in range(1, n_edges - 1))
+    stats = (
+        long.join(F.broadcast(bounds), "Feature")
+        .where(inside)
+        .groupBy("Feature", bin_ix.alias("bin"))
+        .agg(F.avg("x").alias("Bin_Center"), F.avg("_y").alias("_r"))
+    )
+    return grid.join(stats, ["Feature", "bin"], "left").select(
+        "Feature", "bin", "Bin_Low", "Bin_High", "Bin_Center", (F.col("_r") * 100).alias("Churn_Rate"),
+    )
 
 
 def bivariate_cells(df: DataFrame, label: str, pairs: Sequence[tuple[str, str]], positive="Yes") -> DataFrame:
