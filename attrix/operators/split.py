@@ -19,6 +19,7 @@ from ..functions import constants as K
 from .ranking import running_sum
 
 PRIME = 2147483647  # 2^31 - 1
+MAX_CLASSES = 1000  # class sizes reach the driver only below this bound
 MUL1, ADD1 = 48271, 11
 MUL2, ADD2 = 69621, 17
 
@@ -55,7 +56,10 @@ def stratified_split(
     # the input is a projection of an already materialised table: cheaper
     # to re-read than to persist a second copy
     ranked = running_sum(hashed, "_h", ["_one"], by=[label], tiebreak=[key], persist=False, **ranking_kw)
-    sizes = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    if counts.limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
+        raise ValueError(f"stratified_split: more than {MAX_CLASSES} classes in {label!r}")
+    sizes = {r[label]: r["n"] for r in counts.collect()}
     # one entry per class: bounded by the number of labels
     n_l = F.create_map(*[x for k, v in sizes.items() if k is not None for x in (F.lit(k), F.lit(v))])[F.col(label)]
     n_test = F.floor((n_l * test_pct + 99) / 100)
