@@ -21,13 +21,16 @@ task is cheaper than the extra jobs.
 from __future__ import annotations
 
 import math
+import os
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SINGLE_TASK_LIMIT = 2_000_000
-ROWS_PER_BUCKET = 1_000_000
+# Overridable from the environment so the oracle check can force the
+# bucketed (large-data) path on small inputs.
+SINGLE_TASK_LIMIT = int(os.environ.get("ATTRIX_SINGLE_TASK_LIMIT", 2_000_000))
+ROWS_PER_BUCKET = int(os.environ.get("ATTRIX_ROWS_PER_BUCKET", 1_000_000))
 MAX_BUCKETS = 20_000
 
 
@@ -37,8 +40,8 @@ def running_sum(
     sum_cols: Sequence[str],
     by: Sequence[str] = (),
     prefix: str = "cum_",
-    single_task_limit: int = SINGLE_TASK_LIMIT,
-    rows_per_bucket: int = ROWS_PER_BUCKET,
+    single_task_limit: int | None = None,
+    rows_per_bucket: int | None = None,
     tiebreak: Sequence[str] = (),
     with_total: bool = False,
     persist: bool = True,
@@ -48,6 +51,8 @@ def running_sum(
     ``with_total``, ``tot_+c`` = the group's total). ``df`` should already
     hold one row per distinct order key (or the tiebreak must make the
     order total)."""
+    single_task_limit = SINGLE_TASK_LIMIT if single_task_limit is None else single_task_limit
+    rows_per_bucket = ROWS_PER_BUCKET if rows_per_bucket is None else rows_per_bucket
     order = [F.col(order_col), *[F.col(t) for t in tiebreak]]
     if persist:
         # the size check, the bucket edges and the window pass all read
@@ -127,7 +132,7 @@ def exact_quantiles(
     col: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    single_task_limit: int = SINGLE_TASK_LIMIT,
+    single_task_limit: int | None = None,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile``,
     SQL ``quantile_cont``), per ``by`` group, as a DataFrame with columns

@@ -71,3 +71,19 @@ def test_no_single_partition_window_in_rank_plans(spark):
     assert "hashpartitioning(_bucket" in plan
     single = [ln for ln in plan.splitlines() if "SinglePartition" in ln]
     assert len(single) <= 1  # the offsets of at most MAX_BUCKETS bucket totals
+
+
+RANK_QUERIES = ["describe", "outliers_iqr", "bin_quantile", "split_strat", "sample_n", "ks_2samp", "mannwhitney",
+                "dist_by_label", "mutual_info", "roc_auc", "roc_points", "threshold", "h2_ttest", "interactions"]
+
+
+@pytest.mark.parametrize("name", RANK_QUERIES)
+def test_oracle_bucketed_path(spark, duck, name, monkeypatch):
+    """The large-data ranking path (bucket offsets) gives the oracle's rows."""
+    from attrix.operators import ranking
+
+    monkeypatch.setattr(ranking, "SINGLE_TASK_LIMIT", 0)
+    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 100)
+    sdf = E.queries()[name](spark, SF).toPandas()
+    odf = duck.execute(E.oracle_sql()[name]).df()
+    assert rows_of(sdf) == rows_of(odf)
