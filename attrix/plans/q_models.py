@@ -735,7 +735,24 @@ def q_scoring_defs(spark, sf):
     return spark.createDataFrame(rows, "model string, recall double, f1 double, accuracy double")
 
 
-@query("preprocessor")
+def _preprocessor_sql() -> str:
+    cat = ["Region", "Contract", "PaymentMethod", "InternetService", *K.SUPPORT_SERVICES, "tenure_group"]
+    ks = " UNION ALL ".join(f"SELECT count(DISTINCT {c}) AS k FROM sp WHERE split = 'train'" for c in cat)
+    return f"""SELECT split, count(*) AS n, (SELECT CAST(10 + sum(k - 1) AS INTEGER) FROM ({ks})) AS n_features,
+  round(avg((SeniorCitizen - m) / s), 6) AS mean_slot0
+FROM sp, (SELECT avg(SeniorCitizen) AS m, stddev_pop(SeniorCitizen) AS s FROM sp WHERE split = 'train') st
+GROUP BY split"""
+
+
+@query(
+    "preprocessor",
+    with_base(
+        _preprocessor_sql(),
+        FEATURES_CTE + "," + _split_sql(20, 20) + """,
+sp AS (SELECT f.*, CASE WHEN c.r < c.n_test THEN 'test' WHEN c.r < c.n_test + c.n_val THEN 'val' ELSE 'train' END AS split
+       FROM feat f JOIN cut c USING (customerID))""",
+    ),
+)
 def q_preprocessor(spark, sf):
     """Fit the preprocessor on the training split only, transform every
     split: (split, rows, vector size, mean of the first scaled slot)."""
