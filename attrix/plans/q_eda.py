@@ -26,7 +26,6 @@ def eda_frame(spark: SparkSession, sf: str) -> DataFrame:
     return raw(spark, sf).withColumn("TotalCharges", C.to_number("TotalCharges"))
 
 
-EDA_CTE = "eda AS (SELECT * FROM clean0)"  # clean0 = raw with TotalCharges coerced
 
 
 def rates_sql(cols=CATS) -> str:

@@ -11,7 +11,7 @@ from ..operators.rates import is_positive
 from ..sources import snapshot as S
 from .catalog import alias, query
 from .q_eda import eda_frame
-from .q_prep import FEATURES_CTE, clean, featured
+from .q_prep import FEATURES_CTE, featured
 from .sql_base import with_base
 
 NUMS = S.NUMERIC_COLUMNS
