@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import pvalues as P
+from .combine import one_row
 from .rates import bivariate_cells, is_positive
 from .ranking import exact_quantiles, running_sum
 
@@ -24,12 +25,14 @@ def full_grid(cells: DataFrame, group: Sequence[str], a: str, b: str, n: str = "
     column categories (empty cells n = 0). Works on the cell table, whose
     size is the product of the domains -- the table itself -- never on rows."""
     g = list(group)
-    if not g:  # a single table: key it by a constant group
-        cells, g = cells.withColumn("_g", F.lit(0)), ["_g"]
-    da = cells.select(*g, a).distinct()
-    db = cells.select(*g, b).distinct()
-    full = da.join(db, g).join(cells, [*g, a, b], "left").withColumn(n, F.coalesce(F.col(n), F.lit(0)))
-    return full if list(group) else full.drop("_g")
+    if g:  # per group: domains joined on the group keys (an equi-join)
+        da = cells.select(*g, a).distinct()
+        db = cells.select(*g, b).distinct()
+        grid = da.join(db, g)
+    else:  # one table: the two domains (categories) exploded, no join
+        doms = cells.agg(F.collect_set(a).alias("_da"), F.collect_set(b).alias("_db"))
+        grid = doms.select(F.explode("_da").alias(a), "_db").select(a, F.explode("_db").alias(b))
+    return grid.join(cells, [*g, a, b], "left").withColumn(n, F.coalesce(F.col(n), F.lit(0)))
 
 
 def chi2_table(cells: DataFrame, group: Sequence[str], a: str, b: str, n: str = "n", yates: bool = True) -> DataFrame:
@@ -145,9 +148,9 @@ def hypotheses(
     c_in = F.col(contract) == short_contract
     s_in = F.col(support).isin(list(support_yes))
     parts = []
-    h1 = chi2_table(two_by_two(df, y, c_in), [], "g", "y").select("chi2", "p_value", F.lit(0).alias("_k"))
+    h1 = chi2_table(two_by_two(df, y, c_in), [], "g", "y").select("chi2", "p_value")
     parts.append(
-        rates(c_in, ~c_in).withColumn("_k", F.lit(0)).join(h1, "_k").select(
+        one_row(rates(c_in, ~c_in), h1).select(
             F.lit("H1: Month-to-month contracts → Higher churn").alias("Hypothesis"),
             F.lit("chi2").alias("Test"), "ra", "rb", F.col("chi2").alias("Statistic"), "p_value",
         )
@@ -166,9 +169,9 @@ def hypotheses(
                 P.t_two_sided(F.col("t"), F.col("dof")).alias("p_value"),
             )
         )
-    h4 = chi2_table(two_by_two(df, y, s_in), [], "g", "y").select("chi2", "p_value", F.lit(0).alias("_k"))
+    h4 = chi2_table(two_by_two(df, y, s_in), [], "g", "y").select("chi2", "p_value")
     parts.append(
-        rates(F.col(support).isin(list(support_no)), s_in).withColumn("_k", F.lit(0)).join(h4, "_k").select(
+        one_row(rates(F.col(support).isin(list(support_no)), s_in), h4).select(
             F.lit("H4: Missing support services → Higher churn").alias("Hypothesis"),
             F.lit("chi2").alias("Test"), "ra", "rb", F.col("chi2").alias("Statistic"), "p_value",
         )

@@ -544,7 +544,9 @@ def q_home_kpis(spark, sf):
 
     total = overview(raw(spark, sf)).where(F.col("Metric") == "Total Rows").select(F.col("Value").alias("total_customers"))
     best = M.best_model(M.comparison(formula_long(spark, sf)), "f1_score", MODEL_ORDER).select(F.round("accuracy", 6).alias("best_accuracy"))
-    return total.withColumn("_k", F.lit(0)).join(best.withColumn("_k", F.lit(0)), "_k").drop("_k")
+    from ..operators.combine import one_row
+
+    return one_row(total, best)
 
 
 # --- sinks and sources ---------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators import stats as ST
+from ..operators.combine import one_row
 from ..operators.rates import is_positive
 from ..sources import snapshot as S
 from .catalog import alias, query
@@ -46,12 +47,12 @@ def q_h1(spark, sf):
     df = eda_frame(spark, sf)
     y = is_positive("Churn")
     c_in = F.col("Contract") == SHORT_CONTRACT
-    chi = ST.chi2_table(ST.two_by_two(df, y, c_in), [], "g", "y").select(F.round("chi2", 4).alias("Chi2_Statistic"), F.lit(0).alias("_k"))
+    chi = ST.chi2_table(ST.two_by_two(df, y, c_in), [], "g", "y").select(F.round("chi2", 4).alias("Chi2_Statistic"))
     rates = df.agg(
         F.round(F.avg(F.when(c_in, y)) * 100, 4).alias("Group_A_Rate"),
         F.round(F.avg(F.when(~c_in, y)) * 100, 4).alias("Group_B_Rate"),
-    ).withColumn("_k", F.lit(0))
-    return rates.join(chi, "_k").drop("_k")
+    )
+    return one_row(rates, chi)
 
 
 @query(
@@ -68,12 +69,12 @@ def q_h4(spark, sf):
     df = eda_frame(spark, sf)
     y = is_positive("Churn")
     s_in = F.col("TechSupport").isin("Yes")
-    chi = ST.chi2_table(ST.two_by_two(df, y, s_in), [], "g", "y").select(F.round("chi2", 4).alias("Chi2_Statistic"), F.lit(0).alias("_k"))
+    chi = ST.chi2_table(ST.two_by_two(df, y, s_in), [], "g", "y").select(F.round("chi2", 4).alias("Chi2_Statistic"))
     rates = df.agg(
         F.round(F.avg(F.when(F.col("TechSupport") == "No", y)) * 100, 4).alias("Group_A_Rate"),
         F.round(F.avg(F.when(s_in, y)) * 100, 4).alias("Group_B_Rate"),
-    ).withColumn("_k", F.lit(0))
-    return rates.join(chi, "_k").drop("_k")
+    )
+    return one_row(rates, chi)
 
 
 def _t_sql(col: str, high_first: bool) -> str:
