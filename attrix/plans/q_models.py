@@ -372,14 +372,16 @@ def trained(spark, sf):
     """Train the three searches once per session and input folder."""
     from ..models.train import train_all
 
-    key = (id(spark), sf)
-    if key not in _TRAINED:
+    from ..sources.snapshot import session_key
+
+    key = (session_key(spark), sf)
+    if key not in _TRAINED or _TRAINED[key][-1] is not spark:
         df = _featured_split(spark, sf).cache()
         train, val, test = (df.where(F.col("split") == s) for s in ("train", "val", "test"))
         roles = model_roles(df)
         models = train_all(train, roles, val=val, budget=CHECK_BUDGET)
-        _TRAINED[key] = (models, train, val, test, roles)
-    return _TRAINED[key]
+        _TRAINED[key] = (models, train, val, test, roles, spark)
+    return _TRAINED[key][:5]
 
 
 def _params_df(spark, res):

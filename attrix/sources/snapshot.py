@@ -119,7 +119,24 @@ def customer_snapshot(
     )
 
 
-_CACHE: dict[tuple[int, str, str], DataFrame] = {}
+_CACHE: dict[tuple, tuple[SparkSession, DataFrame]] = {}
+
+
+def session_key(spark: SparkSession) -> str:
+    """A key that changes when the session or its application does (an
+    ``id()`` alone can be reused by a later session)."""
+    try:
+        app = spark.sparkContext.applicationId
+    except Exception:  # Spark Connect: no SparkContext
+        app = "connect"
+    return f"{app}:{id(spark)}"
+
+
+def _get(key: tuple, spark: SparkSession) -> DataFrame | None:
+    hit = _CACHE.get(key)
+    if hit is not None and hit[0] is spark:
+        return hit[1]
+    return None
 
 
 def snapshot_cached(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> DataFrame:
@@ -129,8 +146,8 @@ def snapshot_cached(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> D
     recomputes its blocks from the (short) lineage."""
     from pyspark import StorageLevel
 
-    key = (id(spark), sf_dir, "clean" if cleaned else "raw")
-    df = _CACHE.get(key)
+    key = (session_key(spark), sf_dir, "clean" if cleaned else "raw")
+    df = _get(key, spark)
     if df is None:
         if cleaned:
             from ..operators.clean import clean_table
@@ -141,7 +158,7 @@ def snapshot_cached(spark: SparkSession, sf_dir: str, cleaned: bool = True) -> D
         else:
             df = customer_snapshot(spark, sf_dir)
         df = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _CACHE[key] = df
+        _CACHE[key] = (spark, df)
     return df
 
 
@@ -150,16 +167,16 @@ def session_cached(spark: SparkSession, key: tuple, build) -> DataFrame:
     recovery story as the snapshot)."""
     from pyspark import StorageLevel
 
-    k = (id(spark), *key)
-    df = _CACHE.get(k)
+    k = (session_key(spark), *key)
+    df = _get(k, spark)
     if df is None:
         df = build().persist(StorageLevel.MEMORY_AND_DISK)
-        _CACHE[k] = df
+        _CACHE[k] = (spark, df)
     return df
 
 
 def clear_cache() -> None:
-    for df in _CACHE.values():
+    for _, df in _CACHE.values():
         try:
             df.unpersist()
         except Exception:
