@@ -770,3 +770,30 @@ def q_preprocessor(spark, sf):
     return out.groupBy("split").agg(
         F.count(F.lit(1)).alias("n"), F.max(F.size(a)).alias("n_features"), F.round(F.avg(a[0]), 6).alias("mean_slot0")
     )
+
+
+@query("score_stream")
+def q_score_stream(spark, sf):
+    """The same scoring as a Structured Streaming query: the test split is
+    written as files into the shared folder, a file-source stream scores
+    them with the best model (trigger availableNow, checkpointed), and the
+    scored rows are returned from the memory sink."""
+    import uuid
+
+    from ..operators.features import fit_feature_params
+    from ..streaming.score_stream import score_stream
+    from .q_prep import snapshot_risk_rules
+
+    models, train, _, test, _ = trained(spark, sf)
+    comp = M.comparison(model_predictions(spark, sf))
+    best = M.best_model(comp, "f1_score", list(models)).first()["model"]
+    spec = fit_feature_params(train, SPEC)
+    src = shared_path(spark, "stream-in")
+    test.select(*S.SNAPSHOT_COLUMNS).write.mode("overwrite").parquet(src)
+    schema = spark.read.parquet(src).schema
+    name = f"attrix_scores_{uuid.uuid4().hex[:12]}"
+    q = score_stream(spark, models[best].model, src, schema, spec, sink="memory", query_name=name,
+                     rules=snapshot_risk_rules())
+    q.processAllAvailable()
+    q.stop()
+    return spark.table(name).withColumn("risk_factors", F.concat_ws("; ", "risk_factors"))

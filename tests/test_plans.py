@@ -8,7 +8,7 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 TRAINING = {"train_lr", "train_rf", "train_gbt", "search", "train_all", "tree_importance", "shap_linear", "top_shap",
-            "shap_tree", "explain_all", "score", "sink_model", "src_model"}
+            "shap_tree", "explain_all", "score", "score_stream", "sink_model", "src_model"}
 
 
 def _plan(df) -> str:

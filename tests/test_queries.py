@@ -11,7 +11,7 @@ from tools.oracle_check import rows_of
 
 SF = "/root/testdata/sf0.001"
 SLOW = {"train_lr", "train_rf", "train_gbt", "search", "train_all", "tree_importance", "shap_linear", "top_shap",
-        "shap_tree", "explain_all", "score", "sink_model", "src_model"}
+        "shap_tree", "explain_all", "score", "score_stream", "sink_model", "src_model"}
 
 
 @pytest.fixture(scope="module")
