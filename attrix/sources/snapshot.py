@@ -9,6 +9,12 @@ Plan shape (chosen for scale):
           customer holding a third of all orders collapses map-side)
   customer JOIN per-customer facts ON custkey, nation/region lookups
           (25 and 5 rows by the TPC-H spec; AQE broadcasts them by size).
+
+The per-customer aggregate takes the last order's text fields with
+``max_by`` over (date, orderkey); a text buffer cannot live in a hash
+aggregate, so Spark runs it as a two-phase sort aggregate -- still partial
+per map task, so a customer with a third of all orders is one row before
+the shuffle. Avoiding it would take two more shuffles of ``orders``.
 """
 
 from __future__ import annotations
