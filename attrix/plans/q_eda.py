@@ -41,6 +41,7 @@ RATES_CTE = rates_sql()
 
 @query("rate_by_category", with_base("SELECT * FROM rates", RATES_CTE))
 def q_rate_by_category(spark, sf):
+    """Total, churners and churn rate of every category of every categorical column."""
     return R.rate_by_category(clean(spark, sf), "Churn", CATS)
 
 
@@ -53,6 +54,7 @@ FROM ({unpivot_sql('clean', CATS)}) WHERE Category IS NOT NULL GROUP BY Feature,
     ),
 )
 def q_cat_dist(spark, sf):
+    """Count and share of all rows per categorical column and category."""
     return R.cat_dist(clean(spark, sf), CATS)
 
 
@@ -65,6 +67,7 @@ def q_cat_dist(spark, sf):
     ),
 )
 def q_rate_pivot(spark, sf):
+    """The contract feature's rate table, rate descending."""
     return R.rate_pivot(R.rate_by_category(clean(spark, sf), "Churn", CATS), "Contract")
 
 
@@ -73,6 +76,7 @@ def q_rate_pivot(spark, sf):
     with_base("SELECT * FROM rates ORDER BY Churn_Rate_Percentage DESC, Feature, Category LIMIT 10", RATES_CTE),
 )
 def q_top_drivers(spark, sf):
+    """The ten highest category churn rates."""
     return R.top_drivers(R.rate_by_category(clean(spark, sf), "Churn", CATS), 10)
 
 
@@ -83,6 +87,7 @@ def q_top_drivers(spark, sf):
     ),
 )
 def q_key_feature_rates(spark, sf):
+    """Rates of the four key features, rate descending."""
     return R.key_feature_rates(R.rate_by_category(clean(spark, sf), "Churn", CATS))
 
 
@@ -97,6 +102,7 @@ def q_key_feature_rates(spark, sf):
     ),
 )
 def q_label_from_rate(spark, sf):
+    """Risk level of every category rate."""
     rates = R.rate_by_category(clean(spark, sf), "Churn", CATS)
     return rates.select("Feature", "Category", "Churn_Rate_Percentage", C.label_from_rate("Churn_Rate_Percentage").alias("Risk_Level"))
 
@@ -109,6 +115,7 @@ def q_label_from_rate(spark, sf):
     ),
 )
 def q_target_dist(spark, sf):
+    """Count and share of each label value."""
     return R.target_dist(raw(spark, sf), "Churn")
 
 
@@ -121,6 +128,7 @@ def q_target_dist(spark, sf):
     ),
 )
 def q_business_summary(spark, sf):
+    """Mean monthly and total charges, customers, churners, churn rate."""
     return R.business_summary(eda_frame(spark, sf), "Churn", "MonthlyCharges", "TotalCharges")
 
 
@@ -134,6 +142,7 @@ FROM clean"""
     ),
 )
 def q_revenue_at_risk(spark, sf):
+    """Monthly and lifetime revenue of churners, and their revenue share."""
     return R.revenue_at_risk(clean(spark, sf), "Churn", "MonthlyCharges", "TotalCharges")
 
 
@@ -149,6 +158,7 @@ def q_revenue_at_risk(spark, sf):
     ),
 )
 def q_profile_summary(spark, sf):
+    """Rows, columns, duplicate rows, missing cells of the raw table."""
     return PR.overview(raw(spark, sf))
 
 
@@ -161,6 +171,7 @@ def q_profile_summary(spark, sf):
     ),
 )
 def q_profile_missing(spark, sf):
+    """Columns with NULLs after numeric coercion, with count and share."""
     return PR.missing_report(eda_frame(spark, sf))
 
 
@@ -176,6 +187,7 @@ def q_profile_missing(spark, sf):
     ),
 )
 def q_profile_blank(spark, sf):
+    """Single-space blanks per text column of the raw table."""
     return PR.blank_counts(raw(spark, sf))
 
 
@@ -198,6 +210,7 @@ def _types_sql() -> str:
 
 @query("profile_types", with_base(_types_sql()))
 def q_profile_types(spark, sf):
+    """Type, distinct count and three smallest values of every column."""
     return PR.types_report(raw(spark, sf))
 
 
@@ -215,6 +228,7 @@ FROM ({long}) GROUP BY Feature"""
 
 @query("describe", with_base(_describe_sql()))
 def q_describe(spark, sf):
+    """count, mean, std, min, quartiles (exact), max per numeric column."""
     return PR.describe(eda_frame(spark, sf), NUMS)
 
 
@@ -236,6 +250,7 @@ FROM ({long}) l JOIN (
 
 @query("outliers_iqr", with_base(_outliers_sql()))
 def q_outliers(spark, sf):
+    """IQR bounds, outlier count and share, min and max per numeric column."""
     return PR.outliers_iqr(eda_frame(spark, sf), NUMS)
 
 
@@ -256,6 +271,7 @@ def _corr_sql() -> str:
     with_base(_corr_sql(), "c AS (SELECT *, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS Churn01 FROM clean0)"),
 )
 def q_corr(spark, sf):
+    """Pearson correlations of the numerics and the 0/1 label, pairwise complete."""
     df = eda_frame(spark, sf).withColumn("Churn01", (F.col("Churn") == "Yes").cast("int"))
     return PR.corr_matrix(df, CORR_COLS)
 
@@ -295,6 +311,7 @@ def _inter(spark, sf):
 
 @query("interactions", with_base("SELECT * FROM inter", INTER_CTE))
 def q_interactions(spark, sf):
+    """Churn rate and size of every non-empty cell of the four interaction pairs."""
     return _inter(spark, sf)
 
 
@@ -311,6 +328,7 @@ def q_interactions(spark, sf):
     ),
 )
 def q_interactions_pivot(spark, sf):
+    """Contract x tenure-group churn-rate matrix."""
     return R.interactions_pivot(_inter(spark, sf), K.INTERACTION_NAMES[0], K.TENURE_LABELS_EDA)
 
 
@@ -343,11 +361,13 @@ FROM pd ORDER BY rate DESC, Contract, PaymentMethod, tenure_group, support_count
     ),
 )
 def q_risky_profiles(spark, sf):
+    """The 20 profiles with the highest churn rate, ranked, with risk level."""
     return R.risky_profiles(R.profile_frame(eda_frame(spark, sf)), "Churn", top_n=20)
 
 
 @query("describe_profile", with_base("SELECT Profile, Total_Customers FROM pd", PROFILE_CTE))
 def q_describe_profile(spark, sf):
+    """Profile description of every (contract, payment, tenure, support, internet, senior) group."""
     d = R.profile_frame(eda_frame(spark, sf))
     keys = K.PROFILE_KEYS
     g = d.where(F.col("tenure_group").isNotNull()).groupBy(*keys).agg(F.count(F.lit(1)).alias("Total_Customers"))
@@ -405,6 +425,7 @@ FROM bfull f JOIN bstat USING (Feature_1, Feature_2)""",
     ),
 )
 def q_bivariate(spark, sf):
+    """Every cell of five feature pairs: churn rate, size, and the pair's chi2, dof, Cramer's V."""
     from ..operators.stats import bivariate_table
 
     out = bivariate_table(_biv_frame(spark, sf), "Churn", BIV_PAIRS, with_p=False)
@@ -424,6 +445,7 @@ FROM bfull WHERE Feature_1 = 'Contract' AND Feature_2 = 'PaymentMethod'""",
     ),
 )
 def q_bivariate_pivot(spark, sf):
+    """Contract x PaymentMethod rates (empty cells 0) and sizes, rate descending."""
     cells = R.bivariate_cells(_biv_frame(spark, sf), "Churn", BIV_PAIRS[:1])
     return cells.select(
         F.col("Category_1").alias("Contract"),
@@ -451,6 +473,7 @@ FROM range(9) r(i), (SELECT min({c}) AS lo, max({c}) AS hi FROM clean0) m"""
 
 @query("nonlinear_bins", with_base(_nonlinear_sql()))
 def q_nonlinear(spark, sf):
+    """Per numeric column and equal-width bin: centre and churn rate (empty bins kept)."""
     out = R.nonlinear_bins(eda_frame(spark, sf), "Churn", NUMS)
     return out.select(
         "Feature", "bin", F.round("Bin_Low", 3).alias("Bin_Low"), F.round("Bin_High", 3).alias("Bin_High"),
@@ -474,6 +497,7 @@ def q_nonlinear(spark, sf):
     ),
 )
 def q_eda_summary(spark, sf):
+    """Shape, duplicates, class counts and shares, imbalance, blank totals."""
     from .eda import eda_summary
 
     return eda_summary(raw(spark, sf), "Churn", "TotalCharges")

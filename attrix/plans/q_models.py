@@ -86,11 +86,13 @@ def q_score_model(spark, sf):
               "round(f1_score, 6) AS f1_score FROM mets", METRICS_CTE),
 )
 def q_metrics(spark, sf):
+    """Accuracy, precision, recall and F1 of the positive class per model."""
     return M.metrics(formula_long(spark, sf)).select("model", *[r6(c) for c in ["accuracy", "precision", "recall", "f1_score"]])
 
 
 @query("roc_auc", with_base("SELECT model, round(roc_auc, 6) AS roc_auc FROM auc", METRICS_CTE))
 def q_roc_auc(spark, sf):
+    """Exact ROC AUC with ties per model."""
     return M.roc_auc(formula_long(spark, sf)).select("model", r6("roc_auc"))
 
 
@@ -104,6 +106,7 @@ def q_roc_auc(spark, sf):
     ),
 )
 def q_confusion(spark, sf):
+    """All four confusion cells per model, zero-filled."""
     return M.confusion(formula_long(spark, sf))
 
 
@@ -116,6 +119,7 @@ def q_confusion(spark, sf):
     ),
 )
 def q_roc_points(spark, sf):
+    """False and true positive rates at every distinct threshold per model."""
     return M.roc_points(formula_long(spark, sf)).select("model", "threshold", r6("fpr"), r6("tpr"))
 
 
@@ -128,6 +132,7 @@ def q_roc_points(spark, sf):
     ),
 )
 def q_comparison(spark, sf):
+    """Accuracy, precision, recall, F1 and ROC AUC per model."""
     c = M.comparison(formula_long(spark, sf))
     return c.select("model", *[r6(x) for x in ["accuracy", "precision", "recall", "f1_score", "roc_auc"]])
 
@@ -141,6 +146,7 @@ def q_comparison(spark, sf):
     ),
 )
 def q_best_model(spark, sf):
+    """The model with the best F1; ties go to the first model in order."""
     b = M.best_model(M.comparison(formula_long(spark, sf)), "f1_score", MODEL_ORDER)
     return b.select("model", r6("f1_score"))
 
@@ -183,12 +189,14 @@ CAL_EDGES = M.CALIBRATION_EDGES[1:-1]
     ),
 )
 def q_calibration(spark, sf):
+    """Ten equal-width right-closed probability bins: mean prediction, fraction positive."""
     c = M.calibration(formula_long(spark, sf))
     return c.select("model", "bin", r6("mean_predicted"), r6("fraction_positive"), "count")
 
 
 @query("brier", with_base("SELECT model, round(avg(power(probability - label, 2)), 6) AS brier_score FROM lp GROUP BY model", LONG_CTE))
 def q_brier(spark, sf):
+    """Brier score per model."""
     return M.brier(formula_long(spark, sf)).select("model", r6("brier_score"))
 
 
@@ -391,16 +399,19 @@ def _params_df(spark, res):
 
 @query("train_lr")
 def q_train_lr(spark, sf):
+    """Best C and CV F1 of the logistic-regression grid search."""
     return _params_df(spark, trained(spark, sf)[0]["Logistic Regression"])
 
 
 @query("train_rf")
 def q_train_rf(spark, sf):
+    """Best parameters and CV F1 of the random-forest random search."""
     return _params_df(spark, trained(spark, sf)[0]["Random Forest"])
 
 
 @query("train_gbt")
 def q_train_gbt(spark, sf):
+    """Best parameters and CV F1 of the gradient-boosting search (then early-stopped)."""
     return _params_df(spark, trained(spark, sf)[0]["Gradient Boosting"])
 
 
@@ -439,6 +450,7 @@ def q_train_all(spark, sf):
 
 @query("tree_importance")
 def q_tree_importance(spark, sf):
+    """Impurity importances of the random forest, ranked."""
     from ..models.explain import tree_importance
 
     r = trained(spark, sf)[0]["Random Forest"]
@@ -465,6 +477,7 @@ def q_shap_linear(spark, sf):
 
 @query("top_shap")
 def q_top_shap(spark, sf):
+    """Top ten mean absolute linear contributions of the logistic model."""
     from ..models.explain import top_contributors
 
     c, r = _lr_contribs(spark, sf)

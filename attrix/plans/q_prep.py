@@ -90,6 +90,7 @@ def q_src_eda(spark, sf):
 
 @query("drop_id", with_base("SELECT * EXCLUDE (customerID) FROM snap"))
 def q_drop_id(spark, sf):
+    """The raw table without its identifier."""
     return CL.drop_id(raw(spark, sf), "customerID")
 
 
@@ -107,6 +108,7 @@ def q_clean(spark, sf):
     ),
 )
 def q_clean_cast(spark, sf):
+    """Blank-tolerant numeric conversion of the raw total (blank -> NULL)."""
     r = raw(spark, sf)
     return r.select("customerID", F.col("TotalCharges").alias("TotalCharges_raw"), C.to_number("TotalCharges").alias("TotalCharges_num"))
 
@@ -119,6 +121,7 @@ def q_clean_cast(spark, sf):
     ),
 )
 def q_clean_impute(spark, sf):
+    """Imputed totals next to the raw blank flag and tenure."""
     r = raw(spark, sf).select("customerID", "tenure", (F.col("TotalCharges") == " ").alias("was_blank"))
     return r.join(clean(spark, sf).select("customerID", "TotalCharges"), "customerID")
 
@@ -126,16 +129,19 @@ def q_clean_impute(spark, sf):
 # --- scalar features ----------------------------------------------------------
 @query("map_score_contract", with_base(f"SELECT customerID, Contract, {case_map('Contract', CM)} AS contract_risk_score FROM clean"))
 def q_map_contract(spark, sf):
+    """Contract risk score (3/2/1, unmapped -> 2)."""
     return clean(spark, sf).select("customerID", "Contract", C.contract_risk_score("Contract", CM).alias("contract_risk_score"))
 
 
 @query("map_score_payment", with_base(f"SELECT customerID, PaymentMethod, {case_map('PaymentMethod', PM)} AS payment_risk_score FROM clean"))
 def q_map_payment(spark, sf):
+    """Payment risk score (3/2/1/1, unmapped -> 2)."""
     return clean(spark, sf).select("customerID", "PaymentMethod", C.payment_risk_score("PaymentMethod", PM).alias("payment_risk_score"))
 
 
 @query("bin_fixed", with_base(f"SELECT customerID, tenure, {case_bins('tenure', TE, TL)} AS tenure_group FROM clean"))
 def q_bin_fixed(spark, sf):
+    """Right-closed fixed tenure bins with the snapshot's edges."""
     return clean(spark, sf).select("customerID", "tenure", C.tenure_group("tenure", TE, TL).alias("tenure_group"))
 
 
@@ -144,6 +150,7 @@ def q_bin_fixed(spark, sf):
     with_base(f"SELECT customerID, tenure, {case_bins('tenure', K.TENURE_EDGES_EDA, K.TENURE_LABELS_EDA)} AS tenure_group FROM clean"),
 )
 def q_bin_fixed_eda(spark, sf):
+    """Right-closed tenure bins with the exploratory edges (top edge 100)."""
     return clean(spark, sf).select(
         "customerID", "tenure", C.bin_fixed("tenure", K.TENURE_EDGES_EDA, K.TENURE_LABELS_EDA).alias("tenure_group")
     )
@@ -162,6 +169,7 @@ FROM clean, (SELECT quantile_cont(MonthlyCharges, [0.0, 1.0/3, 2.0/3, 1.0]) AS e
     ),
 )
 def q_bin_quantile(spark, sf):
+    """Monthly-charge terciles from exact quantile edges (lowest edge included)."""
     from ..operators.rates import bin_including_lowest, charge_terciles
 
     df = clean(spark, sf)
@@ -182,6 +190,7 @@ FROM clean, (SELECT min(MonthlyCharges) AS lo, max(MonthlyCharges) AS hi FROM cl
     ),
 )
 def q_bin_width(spark, sf):
+    """Nine equal-width bins between min and max; the minimum falls out."""
     df = clean(spark, sf)
     ext = df.agg(F.min("MonthlyCharges").alias("lo"), F.max("MonthlyCharges").alias("hi")).first()
     edges = C.linspace(ext["lo"], ext["hi"], 10)
@@ -190,11 +199,13 @@ def q_bin_width(spark, sf):
 
 @query("count_flags", with_base(f"SELECT customerID, CAST({support_sql()} AS INTEGER) AS support_services_count FROM clean"))
 def q_count_flags(spark, sf):
+    """Number of support services with 'Yes'."""
     return clean(spark, sf).select("customerID", C.support_services_count().alias("support_services_count"))
 
 
 @query("ratio", with_base("SELECT customerID, TotalCharges / (tenure + 1) AS charge_per_month FROM clean"))
 def q_ratio(spark, sf):
+    """Lifetime charge per month: total / (tenure + 1)."""
     return clean(spark, sf).select("customerID", C.ratio("TotalCharges", "tenure", 1).alias("charge_per_month"))
 
 
@@ -206,6 +217,7 @@ def q_ratio(spark, sf):
     ),
 )
 def q_flag_above_median(spark, sf):
+    """Senior and above the fitted monthly-charge median."""
     df = clean(spark, sf)
     spec = FE.fit_feature_params(df, SPEC)
     return df.select("customerID", C.flag_above("SeniorCitizen", "MonthlyCharges", spec.monthly_median).alias("senior_high_charge"))
@@ -213,6 +225,7 @@ def q_flag_above_median(spark, sf):
 
 @query("flag_combo_absent", with_base(f"SELECT customerID, {fiber_sql(SPEC.fiber_value)} AS fiber_optic_no_support FROM clean"))
 def q_flag_combo(spark, sf):
+    """Given internet service and none of the four support services."""
     return clean(spark, sf).select(
         "customerID", C.flag_combo_absent("InternetService", SPEC.fiber_value, K.SUPPORT_SERVICES).alias("fiber_optic_no_support")
     )
@@ -220,6 +233,7 @@ def q_flag_combo(spark, sf):
 
 @query("features_all", with_base("SELECT * FROM feat", FEATURES_CTE))
 def q_features_all(spark, sf):
+    """The cleaned table with all seven engineered features."""
     return featured(spark, sf)
 
 
@@ -246,6 +260,7 @@ def snapshot_risk_rules():
     ),
 )
 def q_risk_factors(spark, sf):
+    """Per customer: the risk-factor rules that hold, and their number."""
     arr = C.risk_factors(snapshot_risk_rules())
     return clean(spark, sf).select("customerID", F.concat_ws("; ", arr).alias("risk_factors"), F.size(arr).alias("n_factors"))
 
@@ -276,6 +291,7 @@ FROM feat""",
     ),
 )
 def q_risk_band(spark, sf):
+    """Formula probability, High/Low band and gauge colour."""
     df = featured(spark, sf)
     p = rule_score(df)
     return df.select("customerID", p.alias("probability"), C.risk_band(p).alias("risk_band"), C.gauge_band(p).alias("gauge"))

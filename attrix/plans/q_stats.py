@@ -44,6 +44,7 @@ FROM (SELECT *, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS y FROM clean0)""",
     ),
 )
 def q_h1(spark, sf):
+    """H1: 2x2 chi2 (Yates) of the top-risk contract against churn, with both group rates."""
     df = eda_frame(spark, sf)
     y = is_positive("Churn")
     c_in = F.col("Contract") == SHORT_CONTRACT
@@ -66,6 +67,7 @@ FROM (SELECT *, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS y FROM clean0)""",
     ),
 )
 def q_h4(spark, sf):
+    """H4: 2x2 chi2 (Yates) of tech support against churn, with both group rates."""
     df = eda_frame(spark, sf)
     y = is_positive("Churn")
     s_in = F.col("TechSupport").isin("Yes")
@@ -106,11 +108,13 @@ def _t_query(spark, sf, col, high_first):
 
 @query("h2_ttest", with_base(_t_sql("MonthlyCharges", True)))
 def q_h2(spark, sf):
+    """H2: pooled t of churn between high (> median) and low monthly charges."""
     return _t_query(spark, sf, "MonthlyCharges", True)
 
 
 @query("h3_ttest", with_base(_t_sql("tenure", False)))
 def q_h3(spark, sf):
+    """H3: pooled t of churn between low (<= median) and high tenure."""
     return _t_query(spark, sf, "tenure", False)
 
 
@@ -171,6 +175,7 @@ CAT_TEXT = ["Region", "Contract", "PaymentMethod", "InternetService", *K.SUPPORT
     ),
 )
 def q_cramers_v(spark, sf):
+    """chi2, dof and Cramer's V of each text column against the label."""
     a = ST.label_association(eda_frame(spark, sf), "Churn", CAT_TEXT)
     return a.select("Feature", F.round("chi2", 4).alias("Chi2_Statistic"), "dof", F.round("cramers_v", 4).alias("Cramers_V"))
 
@@ -193,6 +198,7 @@ rk AS (SELECT Feature, any_value(n1) AS n1, any_value(n0) AS n0,
 
 @query("ks_2samp", with_base("SELECT Feature, round(ks, 6) AS KS_Statistic FROM rk", _rank_sql()))
 def q_ks(spark, sf):
+    """Two-sample KS statistic of each numeric column between the labels."""
     t = ST.rank_tests(eda_frame(spark, sf), NUMS, "Churn")
     return t.select("Feature", F.round("KS_Statistic", 6).alias("KS_Statistic"))
 
@@ -208,6 +214,7 @@ FROM rk""",
     ),
 )
 def q_mannwhitney(spark, sf):
+    """Mann-Whitney U of the positive group and its tie-corrected z per numeric column."""
     df = eda_frame(spark, sf)
     vc = ST.label_value_counts(df, NUMS, "Churn")
     t = ST.rank_tests(df, NUMS, "Churn")
@@ -240,6 +247,7 @@ JOIN rk USING (Feature) GROUP BY Feature""",
     ),
 )
 def q_dist_by_label(spark, sf):
+    """Means, quartiles, KS and Mann-Whitney U of each numeric column by label."""
     out = ST.dist_by_label(eda_frame(spark, sf), NUMS, "Churn", with_p=False)
     return out.select(
         "Feature",
@@ -267,6 +275,7 @@ tot AS (SELECT Feature, sum(n) AS n_all, sum(s) AS s_all, sum(ss) AS ss_all, sum
     ),
 )
 def q_anova(spark, sf):
+    """ANOVA F of each numeric column across the two label classes (NULL -> 0)."""
     return ST.anova_f(eda_frame(spark, sf), NUMS, "Churn").select("Feature", F.round("F_Statistic", 4).alias("F_Statistic"))
 
 
@@ -288,6 +297,7 @@ mi AS (SELECT Feature, sum((n * 1.0{D} / n_all) * ln(n * 1.0{D} * n_all / (nb *
 
 @query("mutual_info", with_base("SELECT Feature, round(Mutual_Information, 6) AS Mutual_Information FROM mi", _mi_sql()))
 def q_mutual_info(spark, sf):
+    """Mutual information (nats) of each numeric column with the label, decile bins."""
     m = ST.mutual_info(eda_frame(spark, sf), NUMS, "Churn")
     return m.select("Feature", F.round("Mutual_Information", 6).alias("Mutual_Information"))
 
@@ -302,6 +312,7 @@ FROM (SELECT Feature, 'Numerical' AS Type, Mutual_Information AS score FROM mi
     ),
 )
 def q_importance_rank(spark, sf):
+    """One ranking: MI for numerics, Cramer's V for text columns."""
     r = ST.importance_rank(eda_frame(spark, sf).drop("customerID"), NUMS, "Churn")
     return r.select("Rank", "Feature", "Type", F.round("Importance_Score", 6).alias("Importance_Score"))
 
@@ -350,6 +361,7 @@ def _mcnemar_sql() -> str:
     ),
 )
 def q_mcnemar(spark, sf):
+    """Pairwise McNemar statistics of the formula models' predictions."""
     m = ST.mcnemar(formula_predictions(spark, sf), "label", FORMULA_MODELS)
     return m.select("Model_1", "Model_2", "Test_Type", F.round("Statistic", 6).alias("Statistic"), "Model1_Correct_Only", "Model2_Correct_Only")
 
