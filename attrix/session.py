@@ -47,7 +47,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="attrix-ckpt-")
+        if not sc.master.startswith("local"):
+            # executors cannot see a folder on the driver's disk
+            raise RuntimeError("set spark.checkpoint.dir to a shared folder (HDFS/object store) for this cluster")
+        configured = tempfile.mkdtemp(prefix="attrix-ckpt-")  # local runs and tests only
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
 
