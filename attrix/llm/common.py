@@ -45,18 +45,21 @@ def free_name(df: DataFrame, base: str) -> str:
     return base
 
 
-def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, bool]:
+def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> tuple[DataFrame, bool]:
     """``docs`` as (key long, id, text), and whether the keys are unique:
     one key per distinct (id, text), ordered by id (null first) and text.
+    With ``carry`` the whole row without its text comes along as ``row``.
 
     With unique non-null integer ids the key is the id. Otherwise the
     distinct (id, md5 of text) are numbered by a range sort with partition
     offsets; repeated rows share a key and so count as one document."""
-    cols = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    rest = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text_col]).alias("row")] if carry else []
+    cols = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"), *rest)
+    names = ["key", *cols.columns]
     ids = cols.groupBy("id").agg(F.count("*").alias("n"))
     odd = ids.where("n > 1 or id is null").limit(1).count()
     if not odd:
-        return cols.select(F.col("id").alias("key"), "id", "text"), True
+        return cols.withColumn("key", F.col("id")).select(*names), True
     mark = F.md5(F.coalesce("text", F.lit("")))
     distinct = saved(cols.select("id", mark.alias("mark")).distinct(), "keys")
     ranged = distinct.repartitionByRange(F.col("id").asc_nulls_first(), F.col("mark")).withColumn("part", F.spark_partition_id())
@@ -66,4 +69,4 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tu
     w = Window.partitionBy("part").orderBy(F.col("id").asc_nulls_first(), "mark")
     numbered = ranged.join(F.broadcast(before), "part").select("id", "mark", (F.col("base") + F.row_number().over(w) - 1).alias("key"))
     right = numbered.select(F.col("id").alias("id_"), F.col("mark").alias("mark_"), "key")
-    return cols.withColumn("mark", mark).join(right, F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_"))).select("key", "id", "text"), False
+    return cols.withColumn("mark", mark).join(right, F.col("id").eqNullSafe(F.col("id_")) & (F.col("mark") == F.col("mark_"))).select(*names), False

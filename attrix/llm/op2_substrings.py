@@ -161,7 +161,8 @@ def later_round(tied: DataFrame, length: int, step: int) -> DataFrame:
                     full = K.pair_name(half[first], half[first + length - length // 2])
                 yield batch_of(core, full, keys[i:j][row[u]], place_of(start[u] + i_th[f], r[f], n))
 
-    return tied.select("key", "text", "places", "id").mapInArrow(run, ROW)  # id: the exchange below keeps one shape
+    rest = [c for c in tied.columns if c not in ("key", "text", "places")]  # the exchange below it keeps one shape
+    return tied.select("key", "text", "places", *rest).mapInArrow(run, ROW)
 
 
 def ranked(rows: DataFrame) -> DataFrame:
@@ -210,7 +211,9 @@ def ranked(rows: DataFrame) -> DataFrame:
 
 
 def removed(docs: DataFrame, length: int) -> DataFrame:
-    """key, text, n_bytes, spans (array of start, end), kept (binary)."""
+    """id, n_bytes, spans (array of start, end), kept (binary; null for a
+    null text), and ``row`` where it is carried."""
+    rest = [c for c in docs.columns if c not in ("id", "text", "places")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -233,18 +236,22 @@ def removed(docs: DataFrame, length: int) -> DataFrame:
                         spans.append([])
                         kept.append(own.tobytes())
                 n = pa.array(np.diff(offsets).astype(np.int64))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), n, pa.array(spans, kind), pa.array(kept, pa.binary())], names=["id", "n_bytes", "spans", "kept"])
+                columns = [batch.column(0).slice(i, j - i), n, pa.array(spans, kind), pa.array(kept, pa.binary()), *(batch.column(3 + c).slice(i, j - i) for c in range(len(rest)))]
+                yield pa.RecordBatch.from_arrays(columns, names=["id", "n_bytes", "spans", "kept", *rest])
 
-    return docs.select("id", "text", "places", "key").mapInArrow(run, "id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")
+    extra = "".join(f", {f.name} {f.dataType.simpleString()}" for f in docs.select(*rest).schema.fields)
+    out = docs.select("id", "text", "places", *rest).mapInArrow(run, "id long, n_bytes long, spans array<struct<start: long, end: long>>, kept binary" + extra)
+    return out.drop("key")
 
 
-def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
+def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, carry: bool = False) -> DataFrame:
     """Per row: id, ``n_bytes``, ``spans`` removed (byte start and end,
-    maximal runs) and ``kept`` (the remaining bytes, concatenated)."""
+    maximal runs) and ``kept`` (the remaining bytes, concatenated). With
+    ``carry`` also ``row``, the other columns."""
     if not 16 <= length <= 4000:
         raise ValueError("length must be from 16 to 4000 bytes")
     spark = docs.sparkSession
-    every, unique = keyed(docs, id_col, text_col)
+    every, unique = keyed(docs, id_col, text_col, carry)
     every = every.where("key is not null")  # always so; said here, it is the same in every use of the exchange
     once = every if unique else every.dropDuplicates(["key"])
     marks = saved(ranked(first_round(once, length)), "substrings")
@@ -267,6 +274,16 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return removed(with_places(repeats, "left"), length).withColumnRenamed("id", id_col)
 
 
+def with_kept_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
+    """``docs`` with the remaining text in place of the text. A character
+    of which some bytes went is left out; a null text becomes empty."""
+    found = repeated_substrings(docs, id_col, text_col, length, carry=True)
+    # bytes that are no full character decode to U+FFFD only where a cut is
+    text = F.when(F.is_valid_utf8(F.col("kept").cast("string")), F.col("kept").cast("string"))
+    text = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\uFFFD", ""))
+    return found.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
+
+
 def digests(found: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """The digest columns of :func:`repeated_substrings` rows."""
     gone = F.aggregate("spans", F.lit(0).cast("long"), lambda t, s: t + s["end"] - s["start"])

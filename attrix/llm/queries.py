@@ -8,10 +8,16 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import op1_toxicity as toxicity
 from . import op2_substrings as substrings
+from . import op3_sketch as sketch
+from . import op4_revisits as revisits
 from . import op5_jaccard as jaccard
 from . import op6_mix as mix
 from . import op7_pieces as pieces
+from . import op8_chains as chains
+from . import op9_neighbours as neighbours
+from . import op10_urls as urls
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +63,41 @@ def op7_sentencepiece(spark, sf_dir):
     """Digests of every document's ids and of the text decoded from them."""
     docs = table(spark, sf_dir, "documents")
     return pieces.digests(pieces.encode_decode(docs, public_tokenizers.path(PIECE_MODEL)))
+
+
+@query("op4_warc_revisits", revisits.ORACLE)
+def op4_warc_revisits(spark, sf_dir):
+    """Not-modified records of the crawl of all pages, resolved."""
+    return revisits.listing(revisits.resolved(revisits.crawl(table(spark, sf_dir, "pages"))))
+
+
+@query("op1_toxicity_chain")
+def op1_toxicity_chain(spark, sf_dir):
+    """Category probabilities and decisions of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    chain = toxicity.fit_chain(docs, toxicity.chain_labels(table(spark, sf_dir, "labels")), toxicity.CATEGORIES)
+    return toxicity.scored(docs, chain).drop("text")
+
+
+@query("op3_fingerprints")
+def op3_fingerprints(spark, sf_dir):
+    """Fingerprints of all documents and of their edited texts."""
+    return sketch.digests(sketch.with_next(table(spark, sf_dir, "documents")))
+
+
+@query("op9_kmeans_tree")
+def op9_kmeans_tree(spark, sf_dir):
+    """Ten nearest vectors of every hundredth one."""
+    return neighbours.neighbours(table(spark, sf_dir, "embeddings"))
+
+
+@query("op10_url_filter", urls.ORACLE)
+def op10_url_filter(spark, sf_dir):
+    """Rule and verdict of every page's url."""
+    return urls.judged(table(spark, sf_dir, "pages").select("page_id", "url")).drop("url")
+
+
+@query("op8_fuzzy_passages")
+def op8_fuzzy_passages(spark, sf_dir):
+    """Passages of 50 words or more that an earlier document has, nearly or exactly."""
+    return chains.passages(table(spark, sf_dir, "documents"))
