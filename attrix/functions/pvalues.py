@@ -61,7 +61,8 @@ def normal_two_sided(z) -> Column:
 def kolmogorov_sf(x, terms: int = 100) -> Column:
     """Limiting Kolmogorov tail 2 sum_{k>=1} (-1)^(k-1) exp(-2 k^2 x^2),
     as a higher-order SQL expression (asymptotic two-sample KS p-value at
-    x = D sqrt(n1 n2 / (n1 + n2)))."""
+    x = D sqrt(n1 n2 / (n1 + n2))). Below x = 0.2 the tail is 1 to 12 places,
+    where the alternating series would need ever more terms."""
     xx = _d(x)
     series = F.aggregate(
         F.sequence(F.lit(1), F.lit(terms)),
@@ -69,6 +70,6 @@ def kolmogorov_sf(x, terms: int = 100) -> Column:
         lambda acc, k: acc
         + F.when(k % 2 == 1, F.lit(2.0)).otherwise(F.lit(-2.0)) * F.exp(F.lit(-2.0) * k * k * xx * xx),
     )
-    return F.when(xx.isNull(), F.lit(None).cast("double")).when(xx <= 0, F.lit(1.0)).otherwise(
+    return F.when(xx.isNull(), F.lit(None).cast("double")).when(xx < 0.2, F.lit(1.0)).otherwise(
         F.least(F.greatest(series, F.lit(0.0)), F.lit(1.0))
     )

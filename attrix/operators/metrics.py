@@ -66,8 +66,9 @@ def roc_auc(preds: DataFrame, by: Sequence[str] = ("model",), label="label", pro
     g = cum.groupBy(*by).agg(
         F.sum(F.col("pos") * rank).alias("r1"), F.sum("pos").alias("n1"), F.sum("neg").alias("n0")
     )
-    u = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
-    return g.select(*by, F.when((F.col("n1") > 0) & (F.col("n0") > 0), u / (F.col("n1") * F.col("n0"))).alias("roc_auc"))
+    n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")  # their product passes 64 bits
+    u = F.col("r1") - n1 * (n1 + 1) / 2.0
+    return g.select(*by, F.when((n1 > 0) & (n0 > 0), u / (n1 * n0)).alias("roc_auc"))
 
 
 def curve_points(preds: DataFrame, by: Sequence[str] = ("model",), label="label", prob="probability", **kw) -> DataFrame:

@@ -90,7 +90,9 @@ def types_report(df: DataFrame, sample: int = 3) -> DataFrame:
                              F.array_join(F.array(*lits), ", ").alias("Sample_Values") if lits
                              else F.lit(None).cast("string").alias("Sample_Values")))
     info = spark.range(1).select(F.inline(F.array(*rows)))
-    return info.join(distinct, "Column").select("Column", "Data_Type", "Unique_Values", "Sample_Values")
+    # left: a column without any value keeps its row
+    unique = F.coalesce("Unique_Values", F.lit(0)).cast("long").alias("Unique_Values")
+    return info.join(distinct, "Column", "left").select("Column", "Data_Type", unique, "Sample_Values")
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -104,7 +106,8 @@ def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     q = exact_quantiles(long, "x", [0.25, 0.5, 0.75], by=["Feature"])
     qw = q.groupBy("Feature").pivot("q", [0.25, 0.5, 0.75]).agg(F.first("value"))
     qw = qw.select("Feature", *[F.col(f"`{p}`").alias(n) for p, n in [(0.25, "q25"), (0.5, "q50"), (0.75, "q75")]])
-    out = base.join(qw, "Feature")
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "Feature string")  # also those without any value
+    out = every.join(base, "Feature", "left").join(qw, "Feature", "left").withColumn("count", F.coalesce("count", F.lit(0)))
     stat_cols = ["mean", "std", "min", "q25", "q50", "q75", "max"]
     return out.select("Feature", F.col("count").cast("double").alias("count"), *[round_by_rule(c).alias(c) for c in stat_cols])
 

@@ -4,34 +4,56 @@ single-partition window.
 Every rank-based statistic here (quantiles, KS, Mann-Whitney U, AUC, ROC
 and PR points, stratified split) needs, for each distinct value, the
 number of rows before it. A ``Window.orderBy`` without ``partitionBy``
-moves all rows into one task, so at scale we:
-
-1. pre-aggregate to one row per distinct value (a hot value with a third
-   of all rows collapses map-side);
-2. cut the value range into ~equal buckets by approximate quantiles;
-3. sum each bucket (few rows), turn those into offsets with a small
-   window, join them back (bounded by the bucket count);
-4. run the running sum inside each bucket (partitioned window) + offset.
-
-When the distinct-value table is below ``single_task_limit`` rows (a
-checked bound), step 2-3 are skipped: a window over that many rows in one
-task is cheaper than the extra jobs.
+moves all rows into one task, so, whatever the size of the table:
+
+1. the caller pre-aggregates to one row per distinct value (a hot value
+   with a third of all rows collapses map-side);
+2. one grouped aggregate with a fixed-size sketch gives every group its
+   own bucket edges; NULL values come before all buckets, NaN after them,
+   as Spark orders them;
+3. bucket sums (few rows) become offsets with a small window;
+4. the running sum is a window inside each bucket plus the offset.
+
+Groups are joined null-safely, so rows of a NULL group stay. There is no
+other path for small tables and nothing is persisted.
 """
 
 from __future__ import annotations
 
-import math
-import os
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Overridable from the environment so the oracle check can force the
-# bucketed (large-data) path on small inputs.
-SINGLE_TASK_LIMIT = int(os.environ.get("ATTRIX_SINGLE_TASK_LIMIT", 2_000_000))
-ROWS_PER_BUCKET = int(os.environ.get("ATTRIX_ROWS_PER_BUCKET", 1_000_000))
-MAX_BUCKETS = 20_000
+MAX_BUCKETS = 1000  # of a group; the sketch behind the edges has a fixed size
+SKETCH_ACCURACY = 10_000
+
+
+def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> list[Column]:
+    return [left[c].eqNullSafe(right["_r_" + c]) for c in cols]
+
+
+def _renamed(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    return df.withColumnsRenamed({c: "_r_" + c for c in cols})
+
+
+def with_bucket(df: DataFrame, order_col: str, by: Sequence[str], buckets: int) -> DataFrame:
+    """Add ``_bucket``: non-decreasing in ``order_col`` within ``by``."""
+    x = F.col(order_col).cast("double")
+    finite = F.when(~F.isnan(x), x)
+    probs = [i / buckets for i in range(1, buckets)]
+    if not probs:
+        return df.withColumn("_bucket", F.lit(0))
+    sketch = F.percentile_approx(finite, probs, SKETCH_ACCURACY)
+    if by:
+        edges = _renamed(df.groupBy(*by).agg(sketch.alias("_edges")), by)
+        df_e = df.join(edges, _same(df, edges, by)).drop(*["_r_" + c for c in by])
+    else:
+        found = df.agg(sketch.alias("e")).first()["e"]  # at most MAX_BUCKETS numbers
+        df_e = df.withColumn("_edges", F.lit(found or []).cast("array<double>"))
+    inside = F.coalesce(F.size(F.filter("_edges", lambda e: e <= x)), F.lit(0))
+    bucket = F.when(x.isNull(), F.lit(-1)).when(F.isnan(x), F.lit(buckets)).otherwise(inside)
+    return df_e.withColumn("_bucket", bucket).drop("_edges")
 
 
 def running_sum(
@@ -40,83 +62,35 @@ def running_sum(
     sum_cols: Sequence[str],
     by: Sequence[str] = (),
     prefix: str = "cum_",
-    single_task_limit: int | None = None,
-    rows_per_bucket: int | None = None,
+    buckets: int | None = None,
     tiebreak: Sequence[str] = (),
     with_total: bool = False,
-    persist: bool = True,
 ) -> DataFrame:
     """Add ``prefix+c`` = inclusive running sum of ``c`` within ``by``, in
     ascending (``order_col``, *``tiebreak``) order (and, with
     ``with_total``, ``tot_+c`` = the group's total). ``df`` should already
     hold one row per distinct order key (or the tiebreak must make the
-    order total)."""
-    single_task_limit = SINGLE_TASK_LIMIT if single_task_limit is None else single_task_limit
-    rows_per_bucket = ROWS_PER_BUCKET if rows_per_bucket is None else rows_per_bucket
+    order total). ``buckets`` (default: the session's shuffle partitions)
+    only spreads the work; the rows are the same for any number."""
+    by = list(by)
     order = [F.col(order_col), *[F.col(t) for t in tiebreak]]
-    if persist:
-        # the size check, the bucket edges and the window pass all read
-        # ``df``; persisting the (pre-aggregated) input means the source is
-        # aggregated once, not once per pass
-        from pyspark import StorageLevel
-
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
-    n = df.count()
-    if n <= single_task_limit:
-        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        wt = Window.partitionBy(*by)
-        tot = [F.sum(c).over(wt).alias("tot_" + c) for c in sum_cols] if with_total else []
-        return df.select("*", *[F.sum(c).over(w).alias(prefix + c) for c in sum_cols], *tot)
-
-    if by:
-        # each group gets its own bucket edges: edges over a mixed column
-        # could leave a narrow-ranged group inside one bucket (one task)
-        groups = df.select(*by).distinct()
-        n_groups = groups.count()
-        if n_groups > MAX_GROUPS:
-            raise ValueError(f"running_sum: {n_groups} groups > {MAX_GROUPS}; pass fewer grouping keys")
-        parts = []
-        for g in groups.collect():
-            cond = F.lit(True)
-            for c in by:
-                cond = cond & (F.col(c).eqNullSafe(F.lit(g[c])))
-            parts.append(_bucketed(df.where(cond), order, order_col, sum_cols, by, prefix, rows_per_bucket, with_total))
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-    return _bucketed(df, order, order_col, sum_cols, by, prefix, rows_per_bucket, with_total, n)
-
-
-MAX_GROUPS = 1000
-
-
-def _bucketed(df, order, order_col, sum_cols, by, prefix, rows_per_bucket, with_total, n=None):
-    from pyspark.ml.feature import Bucketizer
-
-    n = df.count() if n is None else n
-    n_buckets = min(MAX_BUCKETS, max(2, math.ceil(n / rows_per_bucket)))
-    probs = [i / n_buckets for i in range(1, n_buckets)]
-    edges_row = df.agg(F.percentile_approx(F.col(order_col).cast("double"), probs, 10 * n_buckets).alias("e")).first()
-    edges = sorted(set(float(e) for e in (edges_row["e"] or []) if e is not None and not math.isnan(e)))
-    splits = [-math.inf, *edges, math.inf]
-    keyed = df.withColumn("_ov", F.col(order_col).cast("double"))
-    bucketed = Bucketizer(splits=splits, inputCol="_ov", outputCol="_bucket", handleInvalid="keep").transform(keyed)
-    bucketed = bucketed.drop("_ov")
-    totals = bucketed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias("_t_" + c) for c in sum_cols])
-    wb = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    wt = Window.partitionBy(*by)
-    offsets = totals.select(
-        *by, "_bucket", *[F.coalesce(F.sum("_t_" + c).over(wb), F.lit(0)).alias("_o_" + c) for c in sum_cols],
-        *[F.sum("_t_" + c).over(wt).alias("tot_" + c) for c in sum_cols],
-    )
-    # offsets hold one row per bucket of this group: bounded by MAX_BUCKETS,
-    # so this broadcast is size-checked by construction
-    joined = bucketed.join(F.broadcast(offsets), on=[*by, "_bucket"], how="inner")
+    if buckets is None:
+        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keyed = with_bucket(df, order_col, by, max(1, min(MAX_BUCKETS, buckets)))
+    totals = keyed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias("_t_" + c) for c in sum_cols])
+    before = Window.partitionBy(*by).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*by)
+    offsets = _renamed(totals.select(
+        *by, "_bucket",
+        *[F.coalesce(F.sum("_t_" + c).over(before), F.lit(0)).alias("_o_" + c) for c in sum_cols],
+        *[F.sum("_t_" + c).over(whole).alias("tot_" + c) for c in sum_cols],
+    ), [*by, "_bucket"])
     w = Window.partitionBy(*by, "_bucket").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    summed = keyed.withColumns({prefix + c: F.sum(c).over(w) for c in sum_cols})
+    joined = summed.join(offsets, _same(summed, offsets, [*by, "_bucket"]))
     return joined.select(
         *[F.col(c) for c in df.columns],
-        *[(F.sum(c).over(w) + F.col("_o_" + c)).alias(prefix + c) for c in sum_cols],
+        *[(F.col(prefix + c) + F.col("_o_" + c)).alias(prefix + c) for c in sum_cols],
         *([F.col("tot_" + c) for c in sum_cols] if with_total else []),
     )
 
@@ -132,24 +106,25 @@ def exact_quantiles(
     col: str,
     probs: Sequence[float],
     by: Sequence[str] = (),
-    single_task_limit: int | None = None,
+    buckets: int | None = None,
 ) -> DataFrame:
     """Exact quantiles with linear interpolation (pandas ``quantile``,
     SQL ``quantile_cont``), per ``by`` group, as a DataFrame with columns
     (*by, ``q``, ``value``). Distributed: running counts over distinct
     values, then only the rows straddling each target rank are kept."""
     counts = value_counts(df, col, by)
-    ranked = running_sum(counts, col, ["_n"], by=by, single_task_limit=single_task_limit, with_total=True)
+    ranked = running_sum(counts, col, ["_n"], by=by, buckets=buckets, with_total=True)
     ranked = ranked.withColumnRenamed("tot__n", "_total")
-    ps = F.array(*[F.lit(float(p)) for p in probs])
-    exploded = ranked.select("*", F.explode(ps).alias("q"))
-    h = F.col("q") * (F.col("_total") - 1)
-    lo, hi = F.floor(h), F.ceil(h)
     start = F.col("cum__n") - F.col("_n")  # 0-based rank of this value's first row
-    hit_lo = (lo >= start) & (lo < F.col("cum__n"))
-    hit_hi = (hi >= start) & (hi < F.col("cum__n"))
-    pieces = exploded.where(hit_lo | hit_hi).select(
-        *by, "q", F.col(col).cast("double").alias("v"), hit_lo.alias("is_lo"), hit_hi.alias("is_hi"), h.alias("h")
+    # only the targets inside a value's rank interval are exploded
+    inside = lambda r: (r >= start) & (r < F.col("cum__n"))
+    targets = F.array(*[F.struct(F.lit(float(p)).alias("q"), (F.lit(float(p)) * (F.col("_total") - 1)).alias("h")) for p in probs])
+    hit = F.filter(targets, lambda t: inside(F.floor(t["h"])) | inside(F.ceil(t["h"])))
+    exploded = ranked.select("*", F.inline(hit))
+    h = F.col("h")
+    hit_lo, hit_hi = inside(F.floor(h)), inside(F.ceil(h))
+    pieces = exploded.select(
+        *by, "q", F.col(col).cast("double").alias("v"), hit_lo.alias("is_lo"), hit_hi.alias("is_hi"), "h"
     )
     agg = pieces.groupBy(*by, "q").agg(
         F.max(F.when(F.col("is_lo"), F.col("v"))).alias("v_lo"),

@@ -6,9 +6,9 @@ integers, so SQL engines reproduce it). Each label then sends its first
 ceil(test%) rows to test, the next share to validation, the rest to
 train: exact per-class shares, as a stratified shuffle split gives.
 
-The per-label rank comes from ``ranking.running_sum``: below a checked
-row bound one window per label, above it hash-range buckets with
-offsets, so no task ever holds a whole label."""
+The per-label rank comes from ``ranking.running_sum``: hash-range buckets
+with offsets, so no task holds a whole label. Rows without a label are a
+class of their own and are split like the others."""
 
 from __future__ import annotations
 
@@ -19,7 +19,6 @@ from ..functions import constants as K
 from .ranking import running_sum
 
 PRIME = 2147483647  # 2^31 - 1
-MAX_CLASSES = 1000  # class sizes reach the driver only below this bound
 MUL1, ADD1 = 48271, 11
 MUL2, ADD2 = 69621, 17
 
@@ -53,15 +52,8 @@ def stratified_split(
     whole; validation is carved from what remains after test, like two
     successive stratified splits (80/20, then 75/25 of the 80)."""
     hashed = df.withColumn("_h", seeded_hash(key, seed)).withColumn("_one", F.lit(1))
-    # the input is a projection of an already materialised table: cheaper
-    # to re-read than to persist a second copy
-    ranked = running_sum(hashed, "_h", ["_one"], by=[label], tiebreak=[key], persist=False, **ranking_kw)
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    if counts.limit(MAX_CLASSES + 1).count() > MAX_CLASSES:
-        raise ValueError(f"stratified_split: more than {MAX_CLASSES} classes in {label!r}")
-    sizes = {r[label]: r["n"] for r in counts.collect()}
-    # one entry per class: bounded by the number of labels
-    n_l = F.create_map(*[x for k, v in sizes.items() if k is not None for x in (F.lit(k), F.lit(v))])[F.col(label)]
+    ranked = running_sum(hashed, "_h", ["_one"], by=[label], tiebreak=[key], with_total=True, **ranking_kw)
+    n_l = F.col("tot__one")
     n_test = F.floor((n_l * test_pct + 99) / 100)
     rest = 100 - test_pct
     n_val = F.floor(((n_l - n_test) * val_pct + rest - 1) / rest) if val_pct else F.lit(0)

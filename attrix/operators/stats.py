@@ -20,50 +20,41 @@ from .ranking import exact_quantiles, running_sum
 
 
 # --- contingency tables -----------------------------------------------------------
-def full_grid(cells: DataFrame, group: Sequence[str], a: str, b: str, n: str = "n") -> DataFrame:
-    """Complete each group's table to the product of its observed row and
-    column categories (empty cells n = 0). Works on the cell table, whose
-    size is the product of the domains -- the table itself -- never on rows."""
-    g = list(group)
-    if g:  # per group: domains joined on the group keys (an equi-join)
-        da = cells.select(*g, a).distinct()
-        db = cells.select(*g, b).distinct()
-        grid = da.join(db, g)
-    else:  # one table: the two domains (categories) exploded, no join
-        doms = cells.agg(F.collect_set(a).alias("_da"), F.collect_set(b).alias("_db"))
-        grid = doms.select(F.explode("_da").alias(a), "_db").select(a, F.explode("_db").alias(b))
-    return grid.join(cells, [*g, a, b], "left").withColumn(n, F.coalesce(F.col(n), F.lit(0)))
-
-
 def chi2_table(cells: DataFrame, group: Sequence[str], a: str, b: str, n: str = "n", yates: bool = True) -> DataFrame:
     """Pearson chi-square of each group's a x b table with scipy's default
     continuity correction (Yates, only when dof == 1). Returns per group:
-    chi2, dof, n_total, k = min(rows, cols), cramers_v, p_value."""
+    chi2, dof, n_total, k = min(rows, cols), cramers_v, p_value.
+
+    Only observed cells and the two margins are used (chi2 = n sum(O^2 /
+    (r c)) - n), so the size of the domains doesn't matter; in a 2 x 2
+    table every cell has the same deviation, and the sum of 1 / E follows
+    from the margins."""
     g = list(group)
-    full = full_grid(cells, g, a, b, n)
-    wg = Window.partitionBy(*g)
-    m = full.select(
-        *g, a, b, n,
-        F.sum(n).over(Window.partitionBy(*g, a)).alias("_r"),
-        F.sum(n).over(Window.partitionBy(*g, b)).alias("_c"),
-        F.sum(n).over(wg).alias("_t"),
-        F.size(F.collect_set(a).over(wg)).alias("_nr"),
-        F.size(F.collect_set(b).over(wg)).alias("_nc"),
+    cells = cells.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    o = F.col(n).cast("double")
+
+    def margin(col: str, m: str) -> DataFrame:
+        return cells.groupBy(*g, col).agg(F.sum(o).alias(m))
+
+    rows, cols = margin(a, "_r"), margin(b, "_c")
+    seen = cells.join(rows, [*g, a]).join(cols, [*g, b]).groupBy(*g).agg(
+        F.sum(o * o / (F.col("_r") * F.col("_c"))).alias("_s"),
+        F.max(F.struct(o.alias("o"), F.col("_r").alias("r"), F.col("_c").alias("c"))).alias("_cell"),
     )
-    e = F.col("_r") * F.col("_c") / F.col("_t").cast("double")
+    by_row = rows.groupBy(*g).agg(F.sum("_r").alias("_t"), F.count(F.lit(1)).alias("_nr"), F.sum(1 / F.col("_r")).alias("_ir"))
+    by_col = cols.groupBy(*g).agg(F.count(F.lit(1)).alias("_nc"), F.sum(1 / F.col("_c")).alias("_ic"))
+    m = seen.join(by_row, g).join(by_col, g) if g else one_row(seen, by_row, by_col)
+    t = F.col("_t")
     dof = (F.col("_nr") - 1) * (F.col("_nc") - 1)
-    corr = F.when(dof == 1, F.lit(0.5 if yates else 0.0)).otherwise(F.lit(0.0))
-    dev = F.greatest(F.abs(F.col(n) - e) - corr, F.lit(0.0))
-    stat = m.groupBy(*g).agg(
-        F.sum(dev * dev / e).alias("chi2"),
-        F.first(dof).cast("long").alias("dof"),
-        F.first("_t").alias("n_total"),
-        F.first(F.least("_nr", "_nc")).alias("k"),
-    )
+    dev = F.abs(F.col("_cell.o") - F.col("_cell.r") * F.col("_cell.c") / t) - F.lit(0.5 if yates else 0.0)
+    dev = F.greatest(dev, F.lit(0.0))
+    chi2 = F.when(dof == 1, dev * dev * t * F.col("_ir") * F.col("_ic")).otherwise(F.greatest(t * F.col("_s") - t, F.lit(0.0)))
+    stat = m.select(*g, chi2.alias("chi2"), dof.cast("long").alias("dof"), t.cast("long").alias("n_total"), F.least("_nr", "_nc").cast("int").alias("k"))
     return stat.select(
         "*",
-        F.sqrt(F.col("chi2") / (F.col("n_total") * (F.col("k") - 1))).alias("cramers_v"),
-        P.chi2_sf(F.col("chi2"), F.col("dof")).alias("p_value"),
+        # one category on a side: no association to measure, nothing to reject
+        F.sqrt(F.try_divide(F.col("chi2"), F.col("n_total").cast("double") * (F.col("k") - 1))).alias("cramers_v"),
+        F.when(F.col("dof") == 0, F.lit(1.0)).otherwise(P.chi2_sf(F.col("chi2"), F.col("dof"))).alias("p_value"),
     )
 
 
@@ -151,7 +142,7 @@ def hypotheses(
     h1 = chi2_table(two_by_two(df, y, c_in), [], "g", "y").select("chi2", "p_value")
     parts.append(
         one_row(rates(c_in, ~c_in), h1).select(
-            F.lit("H1: Month-to-month contracts → Higher churn").alias("Hypothesis"),
+            F.lit(f"H1: {short_contract} contracts → Higher churn").alias("Hypothesis"),
             F.lit("chi2").alias("Test"), "ra", "rb", F.col("chi2").alias("Statistic"), "p_value",
         )
     )
@@ -216,16 +207,19 @@ def rank_tests(df: DataFrame, cols: Sequence[str], label: str, positive="Yes", *
     j = cum.join(tot, "Feature")
     rank = F.col("cum_cnt") - (F.col("cnt") - 1) / 2.0
     agg = j.groupBy("Feature", "n1", "n0").agg(
-        F.max(F.abs(F.col("cum_c1") / F.col("n1") - F.col("cum_c0") / F.col("n0"))).alias("ks"),
+        F.max(F.abs(F.try_divide(F.col("cum_c1"), F.col("n1")) - F.try_divide(F.col("cum_c0"), F.col("n0")))).alias("ks"),
         F.sum(F.col("c1") * rank).alias("r1"),
         F.sum(F.col("cnt").cast("double") ** 3 - F.col("cnt")).alias("ties"),
     )
-    n = F.col("n1") + F.col("n0")
-    u1 = F.col("r1") - F.col("n1") * (F.col("n1") + 1) / 2.0
-    mu = F.col("n1") * F.col("n0") / 2.0
-    sigma = F.sqrt(F.col("n1") * F.col("n0") / 12.0 * ((n + 1) - F.col("ties") / (n * (n - 1))))
-    z = (F.abs(u1 - mu) - 0.5) / sigma
-    en = F.col("n1") * F.col("n0") / n.cast("double")
+    # doubles before products: n1 * n0 passes 64 bits at 3e9 rows; with one
+    # label value only, the statistics are NULL
+    n1, n0 = F.col("n1").cast("double"), F.col("n0").cast("double")
+    n = n1 + n0
+    u1 = F.when((n1 > 0) & (n0 > 0), F.col("r1") - n1 * (n1 + 1) / 2.0)
+    mu = n1 * n0 / 2.0
+    sigma = F.sqrt(n1 * n0 / 12.0 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
+    z = F.try_divide(F.abs(u1 - mu) - 0.5, sigma)
+    en = F.try_divide(n1 * n0, n)
     return agg.select(
         "Feature", "n1", "n0",
         F.col("ks").alias("KS_Statistic"),
@@ -253,7 +247,9 @@ def dist_by_label(df: DataFrame, cols: Sequence[str], label: str, positive="Yes"
     names = [f"{a}_{b}" for a in ("Churn", "No_Churn") for b in ("Median", "Q1", "Q3")]
     qw = qn.groupBy("Feature").pivot("k", names).agg(F.first("value"))
     tests = rank_tests(df, cols, label, positive)
-    out = means.join(qw, "Feature").join(tests.drop("n1", "n0"), "Feature")
+    # left joins: a column without any value keeps its row
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "Feature string")
+    out = every.join(means, "Feature", "left").join(qw, "Feature", "left").join(tests.drop("n1", "n0"), "Feature", "left")
     if with_p:
         out = out.withColumn("Significant_Difference", F.when(F.col("KS_PValue") < K.SIGNIFICANCE, "Yes").otherwise("No"))
     else:
@@ -276,7 +272,7 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str, positive="Yes") -> D
     )
     ssb = F.col("between_raw") - F.col("s_all") * F.col("s_all") / F.col("n_all")
     ssw = F.col("ss_all") - F.col("between_raw")
-    f = (ssb / (F.col("k") - 1)) / (ssw / (F.col("n_all") - F.col("k")))
+    f = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(ssw, F.col("n_all") - F.col("k")))  # NULL for one class or no spread
     return tot.select(
         "Feature", f.alias("F_Statistic"),
         P.f_sf(f, F.col("k") - 1, F.col("n_all") - F.col("k")).alias("F_PValue"),
@@ -304,7 +300,7 @@ def mutual_info(df: DataFrame, cols: Sequence[str], label: str, positive="Yes",
         F.sum("n").over(Window.partitionBy("Feature", "bin")).alias("nb"),
         F.sum("n").over(Window.partitionBy("Feature", "_y")).alias("ny"),
     )
-    term = (F.col("n") / F.col("n_all")) * F.log(F.col("n") * F.col("n_all") / (F.col("nb") * F.col("ny")))
+    term = (F.col("n") / F.col("n_all")) * F.log(F.col("n").cast("double") * F.col("n_all") / (F.col("nb").cast("double") * F.col("ny")))
     return m.groupBy("Feature").agg(F.sum(term).alias("Mutual_Information"))
 
 

@@ -790,11 +790,11 @@ def q_score_stream(spark, sf):
     """The same scoring as a Structured Streaming query: the test split is
     written as files into the shared folder, a file-source stream scores
     them with the best model (trigger availableNow, checkpointed), and the
-    scored rows are returned from the memory sink."""
+    scored rows are read from the files that the stream wrote."""
     import uuid
 
     from ..operators.features import fit_feature_params
-    from ..streaming.score_stream import score_stream
+    from ..streaming.score_stream import score_stream, stream_path
     from .q_prep import snapshot_risk_rules
 
     models, train, _, test, _ = trained(spark, sf)
@@ -805,8 +805,6 @@ def q_score_stream(spark, sf):
     test.select(*S.SNAPSHOT_COLUMNS).write.mode("overwrite").parquet(src)
     schema = spark.read.parquet(src).schema
     name = f"attrix_scores_{uuid.uuid4().hex[:12]}"
-    q = score_stream(spark, models[best].model, src, schema, spec, sink="memory", query_name=name,
-                     rules=snapshot_risk_rules())
-    q.processAllAvailable()
-    q.stop()
-    return spark.table(name).withColumn("risk_factors", F.concat_ws("; ", "risk_factors"))
+    q = score_stream(spark, models[best].model, src, schema, spec, query_name=name, rules=snapshot_risk_rules())
+    q.awaitTermination()
+    return spark.read.parquet(f"{stream_path(spark, name)}/out").withColumn("risk_factors", F.concat_ws("; ", "risk_factors"))

@@ -5,6 +5,9 @@ columns they use."""
 import pytest
 
 import __spark_entry__ as E
+from attrix.plans import catalog
+
+catalog.load_all()
 
 SF = "/root/testdata/sf0.001"
 TRAINING = {"train_lr", "train_rf", "train_gbt", "search", "train_all", "tree_importance", "shap_linear", "top_shap",
@@ -15,7 +18,7 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - TRAINING))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - TRAINING))
 def test_no_cartesian_or_nested_loop(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
+from attrix.plans import catalog
 from tools.oracle_check import rows_of
 
 SF = "/root/testdata/sf0.001"
@@ -26,7 +27,8 @@ def duck():
     return con
 
 
-ORACLE = sorted(E.oracle_sql())
+catalog.load_all()
+ORACLE = sorted(catalog.ORACLE)
 
 
 @pytest.mark.parametrize("name", ORACLE)
@@ -39,9 +41,9 @@ def test_oracle(spark, duck, name):
     assert sr == orr
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - set(E.oracle_sql()) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(catalog.QUERIES) - set(catalog.ORACLE) - SLOW))
 def test_rows_only(spark, name):
-    assert E.queries()[name](spark, SF).count() >= 0
+    assert E.queries()[name](spark, SF).count() > 0
 
 
 def test_entry(spark):
@@ -61,13 +63,13 @@ def test_category_totals_equal_rows(spark):
 
 
 def test_no_single_partition_window_in_rank_plans(spark):
-    """Rank statistics must not place all rows in one task at scale: with
-    the bucketed path forced, the row-level window is partitioned by bucket;
+    """Rank statistics must not place all rows in one task at scale: the
+    row-level window is partitioned by bucket;
     only the bucket totals (bounded by the bucket count) meet in one task."""
     from attrix.operators.ranking import running_sum
 
     df = spark.range(10000).select((F.col("id") % 997).cast("double").alias("x"), F.lit(1).alias("n"))
-    plan = running_sum(df, "x", ["n"], single_task_limit=0, rows_per_bucket=1000)._jdf.queryExecution().executedPlan().toString()
+    plan = running_sum(df, "x", ["n"], buckets=20)._jdf.queryExecution().executedPlan().toString()
     assert "hashpartitioning(_bucket" in plan
     single = [ln for ln in plan.splitlines() if "SinglePartition" in ln]
     assert len(single) <= 1  # the offsets of at most MAX_BUCKETS bucket totals
@@ -78,12 +80,13 @@ RANK_QUERIES = ["describe", "outliers_iqr", "bin_quantile", "split_strat", "samp
 
 
 @pytest.mark.parametrize("name", RANK_QUERIES)
-def test_oracle_bucketed_path(spark, duck, name, monkeypatch):
-    """The large-data ranking path (bucket offsets) gives the oracle's rows."""
-    from attrix.operators import ranking
-
-    monkeypatch.setattr(ranking, "SINGLE_TASK_LIMIT", 0)
-    monkeypatch.setattr(ranking, "ROWS_PER_BUCKET", 100)
-    sdf = E.queries()[name](spark, SF).toPandas()
+def test_oracle_at_another_bucket_count(spark, duck, name):
+    """The number of buckets (shuffle partitions) doesn't change the rows."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "3")
+    try:
+        sdf = E.queries()[name](spark, SF).toPandas()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     odf = duck.execute(E.oracle_sql()[name]).df()
     assert rows_of(sdf) == rows_of(odf)

@@ -10,7 +10,7 @@ def test_split_shares_and_paths(spark):
     rows = [(i, "Yes" if i % 4 == 0 else "No") for i in range(1000)]
     df = spark.createDataFrame(rows, "customerID long, Churn string")
     a = stratified_split(df, "Churn", "customerID", test_pct=20, val_pct=20)
-    b = stratified_split(df, "Churn", "customerID", test_pct=20, val_pct=20, single_task_limit=0, rows_per_bucket=100)
+    b = stratified_split(df, "Churn", "customerID", test_pct=20, val_pct=20, buckets=40)
     ca = {r.customerID: r.split for r in a.collect()}
     cb = {r.customerID: r.split for r in b.collect()}
     assert ca == cb and len(ca) == 1000

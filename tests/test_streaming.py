@@ -1,5 +1,6 @@
 """The fitted pipeline scores a stream exactly as it scores a table."""
 
+import os
 import tempfile
 
 from pyspark.ml.classification import LogisticRegression
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 from attrix.models import encode as E
 from attrix.operators.features import fit_feature_params, snapshot_spec
 from attrix.sources.snapshot import snapshot_cached
-from attrix.streaming.score_stream import score_stream
+from attrix.streaming.score_stream import score_stream, stream_path
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,11 +31,18 @@ def test_stream_scoring_matches_batch(spark):
     src = tempfile.mkdtemp(prefix="attrix-stream-src-")
     base.drop("customerID").withColumn("customerID", F.monotonically_increasing_id()).write.mode("overwrite").parquet(src + "/in")
     raw = spark.read.parquet(src + "/in")
-    q = score_stream(spark, model, src + "/in", raw.schema, spec, sink="memory", query_name="scored_stream")
-    q.processAllAvailable()
-    q.stop()
-    streamed = spark.table("scored_stream")
+    name = "scored_" + os.path.basename(src)
+
+    def scored():
+        score_stream(spark, model, src + "/in", raw.schema, spec, query_name=name).awaitTermination()
+        return spark.read.parquet(stream_path(spark, name) + "/out")
+
+    streamed = scored()
     batch = score(model, raw, spec)
     assert streamed.count() == batch.count() == base.count()
     d = streamed.join(batch, "customerID").select(F.max(F.abs(streamed.churn_probability - batch.churn_probability))).first()[0]
     assert d < 1e-12
+    # restarted after more files have come: every row once
+    raw.withColumn("customerID", F.col("customerID") + 10**15).write.mode("append").parquet(src + "/in")
+    again = scored()
+    assert again.count() == again.select("customerID").distinct().count() == 2 * base.count()
