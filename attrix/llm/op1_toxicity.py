@@ -7,7 +7,7 @@ earlier probabilities as they will be on unseen texts.
 
 Features are presences of words (runs of letters and digits, lower case),
 of their first 4, 5 and 6 bytes, and of ranges of a few style ratios,
-named by 64-bit hashes. Those that a category's labels depend on most are
+named by 32-bit hashes. Those that a category's labels depend on most are
 kept. The models are fitted on at most ``most_labelled`` labelled
 documents (by a hash of the id); every document is scored.
 
@@ -32,7 +32,7 @@ from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 from . import kernels as K
 from .common import saved
 
-MOST_LABELLED = 20_000
+MOST_LABELLED = 10_000
 FOLDS = 5
 MOST_FEATURES = 1024  # of each category
 LEAST_DOCUMENTS = 5  # labelled documents that a feature must be in
@@ -94,7 +94,7 @@ def block_features(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np
     for t, ratio in enumerate((*ratios, np.log2(size) / 32)):
         out_row.append(np.arange(rows))
         out.append(K.mix(np.minimum(ratio * 20, 20).astype(np.uint64) + np.uint64((t + 100) << 8)))
-    return np.concatenate(out_row), np.concatenate(out)
+    return np.concatenate(out_row), np.concatenate(out) >> np.uint64(32)
 
 
 def sigmoid(z: np.ndarray) -> np.ndarray:
@@ -183,15 +183,25 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
                 new[1:] = (row[1:] != row[:-1]) | (value[1:] != value[:-1])
                 row, value = row[new], value[new]
                 ends = np.searchsorted(row, np.arange(j - i + 1)).astype(np.int32)
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(value.view(np.int64)))
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(value.astype(np.uint32).view(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), lists], names=["id", "features"])
 
     # the sample is bounded, so it may be broadcast to the scan of the texts
     ids = known.select("id")
-    rows = texts.join(F.broadcast(ids), "id").dropDuplicates(["id"]).mapInArrow(features, "id long, features array<long>")
+    rows = texts.join(F.broadcast(ids), "id").dropDuplicates(["id"]).mapInArrow(features, "id long, features array<int>")
     rows = saved(rows.join(F.broadcast(known), "id").withColumn("fold", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(folds)).cast("int")), "labelled")
 
-    counted = rows.select(F.explode("features").alias("f"), *categories).groupBy("f").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in categories])
+    def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            value = lists.flatten().to_numpy()
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            each, at = np.unique(value, return_inverse=True)
+            sums = [np.bincount(at, weights=w, minlength=len(each)).astype(np.int64) for w in (np.ones(len(at)), *(batch.column(1 + c).to_numpy()[row] for c in range(len(categories))))]
+            yield pa.RecordBatch.from_arrays([pa.array(each), *map(pa.array, sums)], names=["f", "n", *categories])
+
+    counted = rows.select("features", *categories).mapInArrow(counts, "f int, n long" + "".join(f", `{c}` long" for c in categories))
+    counted = counted.groupBy("f").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in categories])
     counted = saved(counted.where(F.col("n") >= LEAST_DOCUMENTS), "features")
     total = rows.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in categories]).first()
 
@@ -201,17 +211,17 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
         if 0 < share < 1:
             # distance of the positives from what independence expects, in standard deviations
             z = F.abs(F.col(c) - F.col("n") * share) / F.sqrt(F.col("n") * share * (1 - share) + 1)
-            best = counted.orderBy(z.desc(), "f").limit(MOST_FEATURES).select("f").toPandas()["f"].to_numpy(np.int64)
+            best = counted.orderBy(z.desc(), "f").limit(MOST_FEATURES).select("f").toPandas()["f"].to_numpy(np.int32)
         else:
-            best = np.zeros(0, np.int64)
-        names = np.sort(best.view(np.uint64))
+            best = np.zeros(0, np.int32)
+        names = np.sort(best.view(np.uint32)).astype(np.uint64)
         chain.names.append(names)
         before = list(earlier)
 
         def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
             model = key[0]
             lists = part["features"].to_numpy()
-            value = np.concatenate([np.asarray(x, np.int64) for x in lists]).view(np.uint64) if len(lists) else np.zeros(0, np.uint64)
+            value = np.concatenate([np.asarray(x, np.int32) for x in lists]).view(np.uint32).astype(np.uint64) if len(lists) else np.zeros(0, np.uint64)
             row = np.repeat(np.arange(len(part)), [len(x) for x in lists])
             if len(names):
                 spot = np.minimum(np.searchsorted(names, value), len(names) - 1)
