@@ -20,6 +20,7 @@ import pyarrow as pa
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType, StructField, StructType
 
 from . import kernels as K
 from .common import keyed
@@ -57,7 +58,7 @@ def with_sketch(df: DataFrame, text_col: str = "text", out_col: str = "sketch",
                 own = [batch.column(c).slice(i, j - i) for c in range(len(names) - 1)]
                 yield pa.RecordBatch.from_arrays([*own, list_array(block_sketches(raw, offsets, k, size))], names=names)
 
-    schema = rows.drop("__text").schema.add(out_col, "array<bigint>")
+    schema = StructType([*rows.schema.fields[:-1], StructField(out_col, ArrayType(LongType()))])
     return rows.mapInArrow(run, schema)
 
 
