@@ -232,7 +232,7 @@ def test_passages(spark):
 def test_chains_are_best():
     rng = random.Random(4)
     for _ in range(200):
-        parts = sorted({(rng.randrange(300), rng.randrange(300), rng.randint(6, 30)) for _ in range(rng.randint(1, 9))})
+        parts = sorted({(rng.randrange(300), rng.randrange(300), rng.randint(chains.K_WORDS, 40)) for _ in range(rng.randint(1, 9))})
 
         def follows(p, q):
             return p[0] + p[2] - chains.K_WORDS + 1 <= q[0] and p[1] + p[2] - chains.K_WORDS + 1 <= q[1]
