@@ -8,6 +8,17 @@ from pyspark.sql import functions as F
 from .common import saved
 
 
+def stars(e: DataFrame) -> DataFrame:
+    """One large-star and one small-star step on edges (u > v)."""
+    both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    large = saved(e.select(F.col("v").alias("u"), F.col("u").alias("v")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+    low = large.groupBy("u").agg(F.min("v").alias("m"))
+    # each smaller neighbour v links to the smallest m, and so does u itself
+    pairs = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))
+    return large.join(low, "u").select(F.inline(pairs)).where("u <> v").distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of ``edges`` (a long, b long);
     component is the smallest node reachable.
@@ -21,12 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     e = saved(e, "edges")
     before = None
     while True:
-        both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = saved(small.unionByName(low.withColumnRenamed("m", "v")).select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
+        e = saved(stars(e), "edges")
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

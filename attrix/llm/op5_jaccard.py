@@ -16,8 +16,9 @@ Two classes link when 100 * |intersection| >= percent * |union|.
 
 Within a list nobody is paired with everybody: each member is compared to
 the list's first member and to the one before it, links are closed into
-components, and only members of different components of the same list are
-compared after that. Candidates lose first on the bound that parity
+components, members of long lists that are still apart are compared to
+their neighbours in a few shuffled orders, and only members of one list
+that are in different components after that are compared each. Candidates lose first on the bound that parity
 bitmaps give (their Hamming distance never exceeds the symmetric
 difference), then the rest are counted exactly. Components need no other
 links, so none that matters is lost.
@@ -42,8 +43,12 @@ from . import kernels as K
 from .common import keyed, saved
 from .graph import components
 
-HOT_ELEMENTS = 1 << 19  # most elements of the broadcast order (12 bytes each)
+HOT_ELEMENTS = 1 << 18  # most elements of the broadcast order (12 bytes each)
 LIGHT_MOST = 16  # sizes considered for the boundary
+BROADCAST_KEYS = 1 << 20  # most document keys (8 bytes each) sent to the scan in place of a shuffle of the texts
+BRIDGES = 8  # shuffled orders of a list, in which neighbours are compared
+ROUNDS = 2  # of bridging, at most
+LONG_LIST = 16  # members from which a list is bridged
 
 
 def overlap_needed(a, b, percent: int):
@@ -225,7 +230,7 @@ def bitmap_passes(pairs: DataFrame, percent: int) -> DataFrame:
 
 def linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Pairs (a, b) that link, counted on the full sets. The texts of the
-    documents in question are joined once."""
+    documents in question are joined once; few enough keys go to the scan."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -242,7 +247,9 @@ def linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
                 keep[k] = 100 * common >= percent * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in (0, 1)], names=["a", "b"])
 
-    nodes = pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct()
+    nodes = saved(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "nodes")
+    if nodes.count() <= BROADCAST_KEYS:
+        nodes = F.broadcast(nodes)
     texts = docs.select("key", "text").join(nodes, "key", "left_semi").dropDuplicates(["key"])
     table = saved(texts.mapInArrow(sets, "key long, elements binary"), "sets")
     left, right = (table.select(F.col("key").alias(c), F.col("elements").alias(f"set_{c}")) for c in "ab")
@@ -254,8 +261,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
     docs, _ = keyed(docs, id_col, text_col)
     counts, costs = frequent(docs, size, percent)
-    rows = saved(signatures(docs, order_of(counts), boundary_of(costs, percent), size, percent), "signatures")
     boundary = boundary_of(costs, percent)
+    rows = saved(signatures(docs, order_of(counts), boundary, size, percent), "signatures")
 
     classes = saved(rows.where("n > 0").groupBy("n", "one", "two").agg(F.min("key").alias("rep")), "classes")
     first = rows.where("n > 0").join(classes.select(F.col("rep").alias("key")), "key", "left_semi").dropDuplicates(["key"])
@@ -265,9 +272,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     here = F.struct("at", "key")
     indexed = F.when(F.col("at") % 2 == 1, here)
     ahead = by_size.rowsBetween(Window.unboundedPreceding, -1)
-    lists = entry.select("list", "at", "key", F.lag("key").over(by_size).alias("p"), F.lead("key").over(by_size).alias("q"),
-                         F.first(indexed, True).over(ahead).alias("c"), F.last(indexed, True).over(ahead).alias("l"))
-    lists = saved(lists.where("p is not null or q is not null").drop("p", "q"), "lists")
+    lists = entry.withColumns({"p": F.lag("key").over(by_size), "q": F.lead("key").over(by_size)}).where("p is not null or q is not null")
+    lists = lists.select("list", "at", "key", F.first(indexed, True).over(ahead).alias("c"), F.last(indexed, True).over(ahead).alias("l"))
+    lists = saved(lists, "lists")
 
     def candidates(pairs: DataFrame) -> DataFrame:
         """Distinct pairs of (at, key) structs x (smaller) and y that size and position allow."""
@@ -292,16 +299,39 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     found = components(links)
 
     # members of one list that are still apart
-    label = found.select(F.col("node").alias("key"), "component")
-    marked = saved(lists.select("list", "at", "key").join(label, "key", "left").withColumn("component", F.coalesce("component", "key")), "marked")
-    apart = marked.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("list")
-    open_ = marked.join(apart, "list", "left_semi")
+    def open_lists() -> DataFrame:
+        label = found.select(F.col("node").alias("key"), "component")
+        marked = saved(lists.select("list", "at", "key").join(label, "key", "left").withColumn("component", F.coalesce("component", "key")), "marked")
+        apart = marked.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("list", "n")
+        return saved(marked.join(apart, "list"), "open")
+
+    # long lists: neighbours in shuffled orders first, so that large groups close
+    # without comparing all their members
+    for turn in range(ROUNDS):
+        open_ = open_lists()
+        long = open_.where(F.col("n") >= LONG_LIST)
+        if not long.limit(1).count():
+            break
+        salts = F.explode(F.array(*[F.lit(turn * BRIDGES + i) for i in range(BRIDGES)]))
+        order = Window.partitionBy("list", "salt").orderBy(F.xxhash64("key", "salt"))
+        own = F.struct("at", "key", "component")
+        step = long.withColumn("salt", salts).select(own.alias("x"), F.lag(own).over(order).alias("y")).where("y is not null and x.component <> y.component")
+        step = step.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x.at % 2 = 1")
+        more = saved(candidates(step).join(tried, ["a", "b"], "left_anti"), "bridges")
+        tried = saved(tried.unionByName(more), "tried")
+        new = verified(more, "bridge")
+        if not new.limit(1).count():
+            break
+        # what is known to be connected enters as its stars
+        found = components(new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
+
+    open_ = open_lists()
     x = open_.where("at % 2 = 1").select("list", F.struct("at", "key").alias("x"), F.col("component").alias("cx"))
     z = open_.select("list", F.struct("at", "key").alias("y"), F.col("component").alias("cy"))
     cross = x.join(z, "list").where("cx <> cy and shiftright(x.at, 32) <= shiftright(y.at, 32)")
     more = candidates(cross).join(tried, ["a", "b"], "left_anti")
     more_links = verified(saved(more, "more"), "cross")
-    found = components(links.unionByName(more_links))
+    found = components(more_links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     ids = rows.where("n > 0").select("key", "n", "one", "two").join(classes, ["n", "one", "two"]).select("key", "rep")
     label = found.select(F.col("node").alias("rep"), "component")
