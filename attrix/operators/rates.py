@@ -60,18 +60,15 @@ def rate_by_category(df: DataFrame, label: str, cols: Sequence[str], positive="Y
     ).orderBy("Feature", F.desc("Churn_Rate_Percentage"), "Category")
 
 
-def rate_pivot(rates: DataFrame, feature: str) -> DataFrame:
-    """One feature's rate table, rate descending."""
-    return (
-        rates.where(F.col("Feature") == feature)
-        .select(
-            "Category",
-            F.col("Churn_Rate_Percentage").alias("Churn Rate (%)"),
-            F.col("Total_Count").alias("Total Count"),
-            F.col("Churn_Count").alias("Churn Count"),
-        )
-        .orderBy(F.desc("Churn Rate (%)"), "Category")
-    )
+def rate_pivot(rates: DataFrame) -> DataFrame:
+    """Rate table of every feature, rate descending within each."""
+    return rates.select(
+        "Feature",
+        "Category",
+        F.col("Churn_Rate_Percentage").alias("Churn Rate (%)"),
+        F.col("Total_Count").alias("Total Count"),
+        F.col("Churn_Count").alias("Churn Count"),
+    ).orderBy("Feature", F.desc("Churn Rate (%)"), "Category")
 
 
 def top_drivers(rates: DataFrame, n: int = 10) -> DataFrame:

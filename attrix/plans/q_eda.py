@@ -61,14 +61,14 @@ def q_cat_dist(spark, sf):
 @query(
     "rate_pivot",
     with_base(
-        """SELECT Category, Churn_Rate_Percentage AS "Churn Rate (%)", Total_Count AS "Total Count",
-  Churn_Count AS "Churn Count" FROM rates WHERE Feature = 'Contract'""",
+        """SELECT Feature, Category, Churn_Rate_Percentage AS "Churn Rate (%)", Total_Count AS "Total Count",
+  Churn_Count AS "Churn Count" FROM rates""",
         RATES_CTE,
     ),
 )
 def q_rate_pivot(spark, sf):
-    """The contract feature's rate table, rate descending."""
-    return R.rate_pivot(R.rate_by_category(clean(spark, sf), "Churn", CATS), "Contract")
+    """Rate table of every categorical feature, rate descending within each."""
+    return R.rate_pivot(R.rate_by_category(clean(spark, sf), "Churn", CATS))
 
 
 @query(
@@ -374,13 +374,7 @@ def q_describe_profile(spark, sf):
     return g.select(C.describe_profile().alias("Profile"), "Total_Customers")
 
 
-BIV_PAIRS = [
-    ("Contract", "PaymentMethod"),
-    ("Contract", "tenure_group"),
-    ("InternetService", "TechSupport"),
-    ("SeniorCitizen", "Contract"),
-    ("PaymentMethod", "tenure_group"),
-]
+BIV_PAIRS = K.BIVARIATE_PAIRS
 
 
 def _biv_frame(spark, sf):
@@ -438,21 +432,20 @@ def q_bivariate(spark, sf):
 @query(
     "bivariate_pivot",
     with_base(
-        """SELECT Category_1 AS Contract, Category_2 AS PaymentMethod,
+        """SELECT Feature_1, Feature_2, Category_1, Category_2,
   coalesce(round(pos * 100.0::DOUBLE / nullif(n, 0), 2), 0.0) AS "Churn Rate (%)", CAST(n AS BIGINT) AS "Sample Size"
-FROM bfull WHERE Feature_1 = 'Contract' AND Feature_2 = 'PaymentMethod'""",
+FROM bfull""",
         BIV_CTE,
     ),
 )
 def q_bivariate_pivot(spark, sf):
-    """Contract x PaymentMethod rates (empty cells 0) and sizes, rate descending."""
-    cells = R.bivariate_cells(_biv_frame(spark, sf), "Churn", BIV_PAIRS[:1])
+    """Rates (empty cells 0) and sizes of all five feature pairs, rate descending within each."""
+    cells = R.bivariate_cells(_biv_frame(spark, sf), "Churn", BIV_PAIRS)
     return cells.select(
-        F.col("Category_1").alias("Contract"),
-        F.col("Category_2").alias("PaymentMethod"),
+        "Feature_1", "Feature_2", "Category_1", "Category_2",
         F.coalesce(F.round("Churn_Rate", 2), F.lit(0.0)).alias("Churn Rate (%)"),
         F.col("Sample_Size").cast("long").alias("Sample Size"),
-    ).orderBy(F.desc("Churn Rate (%)"), "Contract", "PaymentMethod")
+    ).orderBy("Feature_1", "Feature_2", F.desc("Churn Rate (%)"), "Category_1", "Category_2")
 
 
 def _nonlinear_sql() -> str:
