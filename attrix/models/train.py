@@ -167,18 +167,26 @@ def scale_pos_weight(data: DataFrame) -> dict[int, float]:
     return {0: 1.0, 1: counts.get(0, 0) / max(counts.get(1, 1), 1)}
 
 
+def search_lr(train: DataFrame, roles: E.Roles, positive="Yes") -> TrainResult:
+    """The whole grid of the logistic model on the scaled encoding."""
+    enc = E.fit_encoding(train, roles, scale=True)
+    data = prepare(train, enc, roles.label, roles.key, positive)
+    out = train_lr(data, enc)
+    data.unpersist()
+    return out
+
+
 def train_all(train: DataFrame, roles: E.Roles, val: DataFrame | None = None, positive="Yes",
-              budget: dict | None = None) -> dict[str, TrainResult]:
-    """LR on the scaled encoding, RF and GBT on the unscaled one; each
-    prepared set is cached once and shared by all fits of its search."""
+              budget: dict | None = None, lr: TrainResult | None = None) -> dict[str, TrainResult]:
+    """LR (unless already fitted) on the scaled encoding, RF and GBT on the
+    unscaled one; each prepared set is cached once and shared by all fits of
+    its search. ``budget`` only concerns RF and GBT."""
     budget = budget or {}
     key, label = roles.key, roles.label
-    enc_s = E.fit_encoding(train, roles, scale=True)
     enc_u = E.fit_encoding(train, roles, scale=False)
     folds = budget.get("folds", K.CV_FOLDS)
-    data_s = prepare(train, enc_s, label, key, positive, folds=folds)
     data_u = prepare(train, enc_u, label, key, positive, folds=folds)
-    out = {"Logistic Regression": train_lr(data_s, enc_s, folds=budget.get("folds", K.CV_FOLDS))}
+    out = {"Logistic Regression": lr or search_lr(train, roles, positive)}
     out["Random Forest"] = train_rf(data_u, enc_u, n_iter=budget.get("rf_iter", K.RF_SEARCH_ITER),
                                     folds=budget.get("folds", K.CV_FOLDS))
     gbt_data = data_u.withColumn("weight", weight_col(scale_pos_weight(data_u)))
