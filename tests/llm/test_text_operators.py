@@ -247,3 +247,21 @@ def test_chains_are_best():
         first = chains.chains(parts)[0]
         score = sum(p[2] for p in first) - sum(gap(p, q) for p, q in zip(first, first[1:]))
         assert abs(score - max(best.values())) < 1e-9
+
+
+def parts_of_a_passage(copies):
+    rng = random.Random(8)
+    p = [str(rng.randrange(10**6)) for _ in range(60)]
+    cuts = [p[:45], p[15:]] * copies + [p] + [p[:45], p[15:]] * copies + [p]
+    return [(i + 1, " ".join(w)) for i, w in enumerate(cuts)], 2 * copies + 1, 4 * copies + 2
+
+
+@pytest.mark.parametrize("copies", [1, 40])
+def test_passage_with_documents_between(spark, copies):
+    """Neither the first nor the previous document has the whole passage;
+    also when its seeds have more than MANY occurrences."""
+    rows, source, last = parts_of_a_passage(copies)
+    want = [(last, 0, 60, source, 0, 60, 0)]
+    for parts in (1, 7):  # the layout does not matter
+        got = chains.passages(table(spark, rows).repartition(parts)).collect()
+        assert [tuple(r)[:7] for r in got if r.doc_id == last] == want
