@@ -265,3 +265,36 @@ def test_passage_with_documents_between(spark, copies):
     for parts in (1, 7):  # the layout does not matter
         got = chains.passages(table(spark, rows).repartition(parts)).collect()
         assert [tuple(r)[:7] for r in got if r.doc_id == last] == want
+
+
+def test_passages_with_evenly_spread_edits(spark):
+    """Changed or inserted words after every 4, 5 or 6 and 9 equal ones:
+    identity 0.8 to 0.9, no long run."""
+    rng = random.Random(9)
+    word = lambda: str(rng.randrange(10**6))
+    rows, want = [], {}
+    for n, (run, insert) in enumerate([(4, 0), (4, 1), (6, 0), (6, 1), (9, 0), (9, 1)]):
+        passage, edited, k = [word() for _ in range(100)], [], 0
+        while k < 100:
+            edited += passage[k : k + run]
+            if k + run < 100:
+                edited.append(word())
+            k += run + (not insert)
+        rows.append((10 * n, " ".join([word() for _ in range(30)] + passage + [word() for _ in range(30)])))
+        rows.append((10 * n + 1, " ".join([word() for _ in range(40)] + edited + [word() for _ in range(40)])))
+        want[10 * n + 1] = (10 * n, len(edited))
+    got = {r.doc_id: r for r in chains.passages(table(spark, rows)).collect()}
+    assert set(got) == set(want)
+    for doc, (source, words_) in want.items():
+        r = got[doc]
+        assert r.source_id == source and r.identity >= 0.8
+        # two equal words after an edit at an end gain nothing
+        assert abs(r.start_word - 40) <= 1 and abs(r.end_word - 40 - words_) <= 3
+
+
+def test_extension_goes_over_gaps():
+    import numpy as np
+
+    x = np.arange(60, dtype=np.uint32)
+    y = np.concatenate([x[:10], [999], x[10:30], x[31:50], [777] * 10]).astype(np.uint32)
+    assert chains.extension(x, y) == (50, 50, 2)
