@@ -93,12 +93,16 @@ def prepare(train: DataFrame, enc: E.FittedEncoding, label_src: str, key: str, p
 
 
 def _search(est, grid, data: DataFrame, folds: int, parallelism: int, seed: int):
+    # points that differ only in what Spark has no parameter for are one fit
+    marks = [tuple(sorted((p.name, str(v)) for p, v in g.items())) for g in grid]
+    once = [i for i, m in enumerate(marks) if marks.index(m) == i]
     cv = CrossValidator(
-        estimator=est, estimatorParamMaps=grid, evaluator=f1_evaluator(), numFolds=folds,
+        estimator=est, estimatorParamMaps=[grid[i] for i in once], evaluator=f1_evaluator(), numFolds=folds,
         foldCol="fold", parallelism=parallelism, seed=seed,
     )
     cvm = cv.fit(data)
-    avg = list(cvm.avgMetrics)
+    shared = dict(zip([marks[i] for i in once], cvm.avgMetrics))
+    avg = [shared[m] for m in marks]
     best = max(range(len(avg)), key=lambda i: (avg[i], -i))  # first best wins
     params = {p.name: v for p, v in grid[best].items()}
     return cvm.bestModel, params, avg[best], [({p.name: v for p, v in g.items()}, m) for g, m in zip(grid, avg)]
