@@ -18,11 +18,15 @@ from . import op7_pieces as pieces
 from . import op8_chains as chains
 from . import op9_neighbours as neighbours
 from . import op10_urls as urls
+from . import op11_ids as ids
+from . import op12_centroids as centroids
+from . import op13_tries as tries
 from .common import ship, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 PIECE_MODEL = "piece_bpe_32k.model"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def query(name: str, sql: str | None = None):
@@ -101,3 +105,21 @@ def op10_url_filter(spark, sf_dir):
 def op8_fuzzy_passages(spark, sf_dir):
     """Passages of 50 words or more that an earlier document has, nearly or exactly."""
     return chains.passages(table(spark, sf_dir, "documents"))
+
+
+@query("op11_token_ids")
+def op11_token_ids(spark, sf_dir):
+    """Places and digests of every document's ids, read back from the files."""
+    return ids.digests(ids.stored(table(spark, sf_dir, "documents"), public_tokenizers.path(WORD_TOKENIZER)))
+
+
+@query("op12_centroids", centroids.ORACLE)
+def op12_centroids(spark, sf_dir):
+    """Cluster of every vector after three rounds from 16 of them."""
+    return centroids.listing(*centroids.clustered(table(spark, sf_dir, "embeddings")))
+
+
+@query("op13_prefix_trie", tries.ORACLE)
+def op13_prefix_trie(spark, sf_dir):
+    """Nodes of the prefix trie of all conversations, rebuilt as branches."""
+    return tries.nodes(table(spark, sf_dir, "conversations"))

@@ -24,7 +24,7 @@ def test_oracle(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     assert rows_of(E.queries()[name](spark, SF).toPandas()) == rows_of(con.execute(E.oracle_sql()[name]).df())
 
