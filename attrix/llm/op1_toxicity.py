@@ -205,7 +205,6 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
     counted = saved(counted.where(F.col("n") >= LEAST_DOCUMENTS), "features")
     total = rows.agg(F.count("*").alias("n"), *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in categories]).first()
 
-    earlier: list[str] = []
     for c in categories:
         n, share = total["n"], total[c] / max(1, total["n"])
         if 0 < share < 1:
@@ -214,27 +213,43 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
             best = counted.orderBy(z.desc(), "f").limit(MOST_FEATURES).select("f").toPandas()["f"].to_numpy(np.int32)
         else:
             best = np.zeros(0, np.int32)
-        names = np.sort(best.view(np.uint32)).astype(np.uint64)
-        chain.names.append(names)
+        chain.names.append(np.sort(best.view(np.uint32)).astype(np.uint64))
+
+    every = np.unique(np.concatenate([np.zeros(0, np.uint64), *chain.names]))
+
+    def chosen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Features of the models only, as places in ``every``."""
+        for batch in batches:
+            lists = batch.column(0)
+            value = lists.flatten().to_numpy().view(np.uint32).astype(np.uint64)
+            row = np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy()))
+            spot = np.minimum(np.searchsorted(every, value), max(0, len(every) - 1))
+            hit = every[spot] == value if len(every) else np.zeros(len(value), bool)
+            ends = np.searchsorted(row[hit], np.arange(len(lists) + 1)).astype(np.int32)
+            own = pa.ListArray.from_arrays(pa.array(ends), pa.array(spot[hit].astype(np.int32)))
+            yield pa.RecordBatch.from_arrays([own, *batch.columns[1:]], names=["features", *batch.schema.names[1:]])
+
+    types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "features")
+    rows = saved(rows.select("features", *[x for x in rows.columns if x != "features"]).mapInArrow(chosen, f"features array<int>, {types}"), "chosen")
+
+    earlier: list[str] = []
+    for c, names in zip(categories, chain.names):
         before = list(earlier)
+        place = np.full(len(every) + 1, -1)  # of the chain's features among this model's
+        place[np.searchsorted(every, names)] = np.arange(len(names))
 
         def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
             model = key[0]
             lists = part["features"].to_numpy()
-            value = np.concatenate([np.asarray(x, np.int32) for x in lists]).view(np.uint32).astype(np.uint64) if len(lists) else np.zeros(0, np.uint64)
+            col = place[np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int64)]
             row = np.repeat(np.arange(len(part)), [len(x) for x in lists])
-            if len(names):
-                spot = np.minimum(np.searchsorted(names, value), len(names) - 1)
-                hit = names[spot] == value
-                row, col = row[hit], spot[hit]
-            else:
-                row, col = row[:0], np.zeros(0, np.int64)
+            row, col = row[col >= 0], col[col >= 0]
             p = part[before].to_numpy(float).reshape(len(part), len(before))
             y = part["__y"].to_numpy(float)
             train = (part["fold"] != model).to_numpy()
-            place = np.cumsum(train) - 1
+            spot = np.cumsum(train) - 1
             own = train[row]
-            w = fit_linear(place[row[own]], col[own], len(names), p[train], y[train])
+            w = fit_linear(spot[row[own]], col[own], len(names), p[train], y[train])
             if model < 0:
                 return pd.DataFrame({"id": [None], "p": [0.0], "w": [w.tolist()]})
             z = np.bincount(row, weights=w[col], minlength=len(part)) + p @ w[len(names) : len(names) + len(before)] + w[-1]
