@@ -31,6 +31,7 @@ from __future__ import annotations
 import json
 import re
 import uuid
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -47,8 +48,9 @@ from . import kernels as K
 
 MAGIC = b"ATXIDS01"
 SHARD_IDS = 1 << 23  # ids of a file, from which the next one is begun
-CACHED = 400_000  # words and pieces that an encoder remembers
-LONGEST_CACHED = 64  # bytes
+CACHED = 300_000  # pieces that an encoder remembers
+LONGEST_CACHED = 64  # characters of a piece
+TEXT_BYTES = 4 << 20  # encoded at once
 READ_BYTES = 32 << 20  # of files, read by one task
 
 # --- the code ---------------------------------------------------------------
@@ -99,65 +101,145 @@ def file_parts(raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 # --- encoding ---------------------------------------------------------------
+class Recent(dict):
+    """A dict of at most about twice ``CACHED`` entries: when it is full,
+    it starts anew and keeps the old entries as long as it isn't full again."""
+
+    def __init__(self):
+        self.old: dict = {}
+
+    def recall(self, keys: set) -> set:
+        """Bring back what is known of ``keys``; the rest is returned."""
+        missing = keys - self.keys()
+        if len(self) + len(missing) > CACHED:
+            self.old = dict(self)
+            self.clear()
+            missing = keys
+        again = missing & self.old.keys()
+        self.update(zip(again, map(self.old.__getitem__, again)))
+        return missing - again
+
+
+#: class of each byte of a word: 1 letter, 2 digit, 3 mark, 4 none of these
+_CLASS = np.full(256, 4, np.uint8)
+_CLASS[0x21:0x7F] = 3
+_CLASS[[*range(48, 58)]] = 2
+_CLASS[[*range(65, 91), *range(97, 123), *range(128, 256)]] = 1
+#: the pattern by which the tokenizer cuts words (fixed value)
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def word_pieces(raw: np.ndarray, offsets: np.ndarray, special: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(bytes without white space, start of each piece in them, pieces of
+    each row) of a block of texts.
+
+    Words of ASCII and of the letters of Latin-1, whose lower case and
+    normal form follow letter by letter, are lower-cased and cut as
+    ``PATTERN`` does. All other words, and those with the beginning of a
+    special token, are one piece each, unchanged."""
+    n, rows = len(raw), len(offsets) - 1
+    if not n:
+        return raw, np.zeros(0, np.int64), np.zeros(rows, np.int64)
+    solid = ~K._WHITE[raw]
+    edge = np.zeros(n + 1, bool)
+    edge[offsets] = True
+    begins = solid.copy()
+    begins[1:] &= ~solid[:-1] | edge[1:-1]
+    kind = _CLASS[raw]
+    follow = np.append(raw[1:], 0)
+    odd = solid & ((kind == 4) | ((raw >= 0xC0) & (raw != 0xC3)) | ((raw == 0xC3) & ((follow == 0x97) | (follow == 0xB7))))
+    for a, b in special:
+        odd |= (raw == a) & (follow == b)
+    word = np.cumsum(begins, dtype=np.int32) - 1
+    is_odd = np.zeros(int(word[-1]) + 1, bool)
+    is_odd[word[odd]] = True
+    plain = solid & ~is_odd[word] if len(is_odd) else solid
+    low = np.where(plain, K._LOWER[raw], raw)
+    capital = np.flatnonzero(plain[1:] & (raw[:-1] == 0xC3) & (raw[1:] <= 0x9E)) + 1
+    low[capital] += 32
+    cut = begins.copy()
+    cut[1:] |= plain[1:] & ((kind[1:] != kind[:-1]) | (kind[1:] == 2))
+    # an apostrophe that begins a piece takes s, t, m, d, re, ve or ll along
+    at = np.flatnonzero((low == 39) & cut & plain)
+    if len(at):
+        padded, fresh = np.append(low, [0, 0, 0]), np.append(begins, [True] * 3) | edge_after(edge, n)
+        one, two = padded[at + 1], padded[at + 2]
+        joins = ~fresh[at + 1]
+        short = joins & np.isin(one, [115, 116, 109, 100])
+        long = joins & ~fresh[at + 2] & (((two == 101) & ((one == 114) | (one == 118))) | ((one == 108) & (two == 108)))
+        for own, size in ((at[short], 2), (at[long], 3)):
+            cut[own + 1] = False
+            end = own + size
+            end = end[end < n]
+            cut[end] |= solid[end]
+    counts = np.diff(np.concatenate([[0], np.cumsum(cut)])[offsets])
+    return low[solid], np.flatnonzero(cut[solid]), counts
+
+
+def edge_after(edge: np.ndarray, n: int) -> np.ndarray:
+    """Whether a row begins or the block has ended at each place, three
+    places beyond the end included."""
+    return np.concatenate([edge[:n], [True] * 3])
+
+
 class WordEncoder:
-    """Ids of texts, as the library gives them, word by word.
+    """Ids of texts, as the library gives them, piece by piece.
 
-    The tokenizer's patterns never cross white space, so a text's ids are
-    those of its words; words are remembered. New words of letters whose
-    lower case and normal form are themselves letter by letter are cut by
-    the tokenizer's own pattern into pieces, which are remembered too. All
-    other words go to the library whole."""
+    The tokenizer's pattern never crosses white space, so a text's ids are
+    those of its pieces. The model's ids of a piece are remembered; words
+    that are not cut go to the library whole."""
 
     def __init__(self, tokenizer_file: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_file(tokenizer_file)
         with open(tokenizer_file, encoding="utf-8") as f:
             spec = json.load(f)
-        splits = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
-        self.pieces = regex.compile(splits[0])
-        self.plain = re.compile("[!-~À-ÖØ-öø-ÿ]*").fullmatch
-        self.special = tuple(t["content"][:2] for t in spec["added_tokens"])
+        cuts = [p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split"]
+        if cuts != [PATTERN]:
+            raise ValueError(f"a tokenizer that cuts words by {cuts}")
+        self.whole_piece = regex.compile(PATTERN).fullmatch
+        self.plain = re.compile("[!-~ß-öø-ÿ]+").fullmatch
+        self.special = sorted({t["content"][:2].encode() for t in spec["added_tokens"]})
+        self.spelled = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.dtype = np.dtype("<u2" if self.size <= 1 << 16 else "<u4")
-        self.words: dict[bytes, bytes] = {}
-        self.known: dict[str, bytes] = {}
-
-    def whole(self, texts: list[str]) -> list[bytes]:
-        found = self.library.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, self.dtype).tobytes() for e in found]
-
-    def learn(self, missing: set[bytes]) -> dict[bytes, bytes]:
-        cut, rest = {}, []
-        for word in missing:
-            text = word.decode("utf-8", "replace")
-            if len(text) <= LONGEST_CACHED and self.plain(text) and not any(s in text for s in self.special):
-                cut[word] = self.pieces.findall(text.lower())
-            else:
-                rest.append((word, text))
-        new = list({p for own in cut.values() for p in own} - self.known.keys())
-        if len(self.known) + len(new) > CACHED:
-            self.known = {}
-            new = list({p for own in cut.values() for p in own})
-        self.known.update(zip(new, self.whole(new)))
-        out = {word: b"".join([self.known[p] for p in own]) for word, own in cut.items()}
-        out.update(zip([w for w, _ in rest], self.whole([t for _, t in rest])))
-        return out
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """Ids of every text, packed as ``dtype``."""
-        words = [t.split() for t in texts]
-        missing = {w for own in words for w in own} - self.words.keys()
-        learned = self.learn(missing) if missing else {}
-        if len(self.words) + len(learned) > CACHED:
-            self.words = {}
-            learned = self.learn({w for own in words for w in own})
-        self.words.update(learned)
-        out = [b"".join(map(self.words.__getitem__, own)) for own in words]
-        for w in learned:
-            if len(w) > LONGEST_CACHED:
-                del self.words[w]
-        return out
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
+        self.known = Recent()
+
+    def packed(self, ids: list[int]) -> bytes:
+        return array(self.code, ids).tobytes()
+
+    def learn(self, missing: list[str]) -> None:
+        """Remember the ids of new pieces."""
+        cut, whole = [], []
+        for piece in missing:
+            (cut if self.plain(piece) and self.whole_piece(piece) else whole).append(piece)
+        if cut:  # the model spells a piece by its bytes
+            spelled = "".join(x for x, _ in self.spelled("\n".join(cut))).split(self.spelled("\n")[0][0])
+            self.known.update(zip(cut, (self.packed([t.id for t in self.library.model.tokenize(x)]) for x in spelled)))
+        self.known.update(zip(whole, (self.packed(e.ids) for e in self.library.encode_batch_fast(whole, add_special_tokens=False))))
+
+    def encode(self, raw: np.ndarray, offsets: np.ndarray, end_id: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts of a block, number of ids of each)."""
+        data, starts, counts = word_pieces(raw, offsets, self.special)
+        edges = np.append(starts, len(data)).astype(np.int32)
+        pieces = pa.StringArray.from_buffers(len(starts), pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(data))).dictionary_encode()
+        which, distinct = pieces.indices.to_numpy(), pieces.dictionary.to_pylist()
+        self.learn(list(self.known.recall(set(distinct))))
+        own = [*map(self.known.__getitem__, distinct), b"" if end_id is None else self.packed([end_id])]
+        which = np.insert(which, np.cumsum(counts), len(distinct))  # the end of each text
+        length = np.fromiter(map(len, own), np.int32, len(own)) // self.dtype.itemsize
+        begin = np.cumsum(length, dtype=np.int32) - length
+        pool = np.frombuffer(b"".join(own), self.dtype)
+        n = length[which]
+        ends = np.cumsum(n, dtype=np.int32)
+        place = np.repeat(begin[which] - ends + n, n)  # from an id's place in the result to that in the pool
+        place += np.arange(len(place), dtype=np.int32)
+        for piece in distinct:
+            if len(piece) > LONGEST_CACHED:
+                self.known.pop(piece, None)
+        return pool[place], np.diff(np.concatenate([[0], ends[np.cumsum(counts + 1) - 1]]))
 
 
 @lru_cache(maxsize=2)
@@ -177,15 +259,14 @@ def encoded(df: DataFrame, tokenizer_file: str, end_id: int | None, id_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer_file)
-        end = b"" if end_id is None else np.array([end_id], enc.dtype).tobytes()
         spot = TaskContext.get().partitionId() << 40
         for batch in batches:
-            for i, j, raw, offsets in K.text_blocks(batch.column(1)):
-                whole = raw.tobytes()
-                ids = [x + end for x in enc.encode([whole[a:b] for a, b in zip(offsets, offsets[1:])])]
-                spots = np.arange(spot, spot + j - i)
+            for i, j, raw, offsets in K.text_blocks(batch.column(1), TEXT_BYTES):
+                ids, counts = enc.encode(raw, offsets, end_id)
+                offsets = np.concatenate([[0], np.cumsum(counts * enc.dtype.itemsize)]).astype(np.int32)
+                own = pa.BinaryArray.from_buffers(pa.binary(), j - i, [None, pa.py_buffer(offsets), pa.py_buffer(ids.tobytes())])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), own, pa.array(np.arange(spot, spot + j - i))], names=["id", "ids", "spot"])
                 spot += j - i
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(ids, pa.binary()), pa.array(spots)], names=["id", "ids", "spot"])
 
     return rows.mapInArrow(run, "id long, ids binary, spot long")
 

@@ -94,7 +94,22 @@ def test_encoder_forgets_and_learns_again(library, monkeypatch):
     monkeypatch.setattr(ids, "CACHED", 10)
     enc = ids.WordEncoder(WORDS)
     for text in ("a b c d e f g h", "one two, three! four five six", "a b, " * 30, "Seven été " + " ".join(map(str, range(40)))):
-        assert np.frombuffer(enc.encode([text.encode()])[0], enc.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+        raw = [x.encode() for x in ("", text, "", text)]
+        got, counts = enc.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]), 2)
+        want = [*library.encode(text, add_special_tokens=False).ids, 2]
+        assert got.tolist() == [2, *want, 2, *want] and counts.tolist() == [1, len(want), 1, len(want)]
+
+
+def test_pieces_of_any_text(library):
+    rng = random.Random(9)
+    enc = ids.WordEncoder(WORDS)
+    some = list("aAzZéÉßÿŸ×÷09 \t\n\r\x0b\x1c\x7f\xa0'’\"-_.,<|>sStTmMdDrReEvVlLİıΣσςǅ½²ªº中\u0301🎉\u200d") + ["'s", "'re", "'LL", "''", "<|", "<|endoftext|>", "don't", "É'd"]
+    texts = ["".join(rng.choices(some, k=rng.randint(0, 40))) for _ in range(4000)]
+    raw = [t.encode() for t in texts]
+    got, counts = enc.encode(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    ends = np.cumsum(counts)
+    for t, a, b in zip(texts, ends - counts, ends):
+        assert got[a:b].tolist() == library.encode(t, add_special_tokens=False).ids, repr(t)
 
 
 def test_hilbert_curve_steps_to_neighbours():
