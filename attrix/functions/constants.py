@@ -74,6 +74,8 @@ GBT_SPACE = {
     "colsample_bytree": [0.8, 0.85, 0.9, 0.95],
     "min_child_weight": [1, 2, 3],
     "gamma": [0, 0.1, 0.2],
+    "reg_alpha": [0, 0.01, 0.1],
+    "reg_lambda": [1, 1.5, 2],
 }
 CV_FOLDS = 5
 SEED = 42

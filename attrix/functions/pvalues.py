@@ -24,6 +24,11 @@ def _call(cls: str, method: str, *args) -> Column:
     return F.reflect(F.lit(cls), F.lit(method), *[_d(a) for a in args]).cast("double")
 
 
+def digamma(x) -> Column:
+    """The logarithmic derivative of the gamma function."""
+    return _call(_GAMMA, "digamma", F.col(x) if isinstance(x, str) else x)
+
+
 def chi2_sf(stat, dof) -> Column:
     """P(X > stat) for X ~ chi2(dof) = Q(dof/2, stat/2)."""
     s, k = _d(stat), _d(dof)

@@ -1,17 +1,19 @@
-"""Model fitting: balanced class weights, stratified CV folds, grid and
-seeded random searches over Spark ML classifiers, F1 (positive class)
-as the refit criterion.
-
-The three reference learners map to Spark ML:
-  logistic regression -> LogisticRegression (L2; regParam = 1 / (C * sum of
-                         weights), standardization off: the sklearn objective
-                         rescaled; the solver choice has no meaning here)
-  random forest       -> RandomForestClassifier (min_samples_split unmapped;
-                         max_depth None -> 30, Spark's limit)
-  gradient boosting   -> GBTClassifier (a different algorithm than XGBoost:
-                         compare trends, not numbers; reg_alpha/lambda unmapped;
-                         early stopping via validationIndicatorCol + tolerance)
-Each CV fit runs on the cluster; ``parallelism`` fits run at once.
+"""The three searched learners: balanced weights, stratified folds that all
+of them share, whole grids or seeded samples of a space, and F1 of the
+positive class as the criterion.
+
+  logistic regression  all penalties and folds by shared Newton passes
+                       (``logistic``); the best penalty is fitted on all rows
+                       by Spark ML (the same objective: regParam = 1 / (C *
+                       sum of weights), standardization off; the solver of
+                       the reference's grid has no meaning here)
+  random forest        ``search`` on up to ``SEARCH_ROWS`` rows, ``forest``
+                       on all rows
+  gradient boosting    the same with ``boosting``, second order; with
+                       validation rows it stops early on their log loss
+
+The fitted ensembles become Spark ML models (``spark_trees``); their nodes
+are kept for importances and attributions.
 """
 
 from __future__ import annotations
@@ -21,17 +23,21 @@ import random
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.tuning import CrossValidator
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as K
 from ..operators.ranking import running_sum
 from ..operators.split import seeded_hash
+from ..session import saved
+from . import binned as B
+from . import boosting, forest, logistic, search, spark_trees
 from . import encode as E
+from . import trees as T
 
 
 @dataclass
@@ -41,7 +47,13 @@ class TrainResult:
     params: dict
     cv_f1: float
     encoding: E.FittedEncoding
-    cv_table: list = field(default_factory=list)
+    cv_table: list = field(default_factory=list)  # (point, mean F1)
+    folds: np.ndarray | None = None  # F1 by point and fold
+    kind: str = "linear"  # linear, forest or boost
+    nodes: DataFrame | None = None  # of an ensemble
+
+    def best_point(self) -> int:
+        return max(range(len(self.cv_table)), key=lambda i: (self.cv_table[i][1], -i))
 
 
 def f1_evaluator() -> MulticlassClassificationEvaluator:
@@ -72,6 +84,12 @@ def weight_col(weights: dict[int, float], label: str = "label") -> F.Column:
     return expr
 
 
+def scale_pos_weight(data: DataFrame) -> float:
+    """Negatives / positives."""
+    counts = {int(r["label"]): r["n"] for r in data.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
+    return counts.get(0, 0) / max(counts.get(1, 1), 1)
+
+
 def stratified_folds(df: DataFrame, label: str, key: str, k: int = K.CV_FOLDS, seed: int = K.SEED) -> DataFrame:
     """fold in [0, k): rank within label by seeded hash, modulo k -- equal
     class shares per fold, without a per-label single-task sort."""
@@ -80,44 +98,11 @@ def stratified_folds(df: DataFrame, label: str, key: str, k: int = K.CV_FOLDS, s
     return ranked.select(*df.columns, F.pmod(F.col("cum__one") - 1, F.lit(k)).cast("int").alias("fold"))
 
 
-def prepare(train: DataFrame, enc: E.FittedEncoding, label_src: str, key: str, positive="Yes",
-            weights: dict[int, float] | None = None, folds: int = K.CV_FOLDS) -> DataFrame:
-    """Encoded training set with label, weight and fold columns, cached
-    once and shared by every fit of a search."""
-    df = train.withColumn("label", (F.col(label_src) == positive).cast("double"))
-    weights = weights or class_weights(df)
-    df = df.withColumn("weight", weight_col(weights))
-    df = stratified_folds(df, "label", key, folds)
-    out = E.encode(df, enc).select(key, "label", "weight", "fold", "features")
-    return out.cache()
-
-
-def _search(est, grid, data: DataFrame, folds: int, parallelism: int, seed: int):
-    # points that differ only in what Spark has no parameter for are one fit
-    marks = [tuple(sorted((p.name, str(v)) for p, v in g.items())) for g in grid]
-    once = [i for i, m in enumerate(marks) if marks.index(m) == i]
-    cv = CrossValidator(
-        estimator=est, estimatorParamMaps=[grid[i] for i in once], evaluator=f1_evaluator(), numFolds=folds,
-        foldCol="fold", parallelism=parallelism, seed=seed,
-    )
-    cvm = cv.fit(data)
-    shared = dict(zip([marks[i] for i in once], cvm.avgMetrics))
-    avg = [shared[m] for m in marks]
-    best = max(range(len(avg)), key=lambda i: (avg[i], -i))  # first best wins
-    params = {p.name: v for p, v in grid[best].items()}
-    return cvm.bestModel, params, avg[best], [({p.name: v for p, v in g.items()}, m) for g, m in zip(grid, avg)]
-
-
-def train_lr(data: DataFrame, enc: E.FittedEncoding, folds=K.CV_FOLDS, parallelism=4, seed=K.SEED,
-             c_grid: Sequence[float] = K.LR_C_GRID) -> TrainResult:
-    total_w = data.agg(F.sum("weight")).first()[0]
-    # max_iter 1000 and tol 1e-4 as the reference's learner (sklearn's lbfgs defaults)
-    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=1000, tol=1e-4,
-                            standardization=False, elasticNetParam=0.0)
-    grid = [{lr.regParam: 1.0 / (c * total_w)} for c in c_grid]
-    model, params, f1, table = _search(lr, grid, data, folds, parallelism, seed)
-    params = {"C": c_grid[[g[lr.regParam] for g in grid].index(params["regParam"])], **params}
-    return TrainResult("Logistic Regression", PipelineModel([*E.preprocessor(enc).stages, model]), params, f1, enc, table)
+def folded(train: DataFrame, roles: E.Roles, positive="Yes", folds: int = K.CV_FOLDS) -> DataFrame:
+    """Training rows with 0/1 ``label`` and ``fold``, written once for every
+    learner, so that all are compared on the same folds."""
+    df = train.withColumn("label", (F.col(roles.label) == positive).cast("double")).where("label is not null")
+    return saved(stratified_folds(df, "label", roles.key, folds), "models", "folds")
 
 
 def sample_space(space: dict, n_iter: int, seed: int) -> list[dict]:
@@ -129,75 +114,87 @@ def sample_space(space: dict, n_iter: int, seed: int) -> list[dict]:
     return [dict(zip(keys, c)) for c in picked]
 
 
-def train_rf(data: DataFrame, enc: E.FittedEncoding, n_iter=K.RF_SEARCH_ITER, folds=K.CV_FOLDS, parallelism=4,
-             seed=K.SEED, space=K.RF_SPACE) -> TrainResult:
-    rf = RandomForestClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=seed,
-                                maxMemoryInMB=1024)
-    picks = sample_space(space, n_iter, seed)
-    grid = [
-        {rf.numTrees: p["n_estimators"], rf.maxDepth: min(p["max_depth"] or 30, 30),
-         rf.minInstancesPerNode: p["min_samples_leaf"], rf.featureSubsetStrategy: p["max_features"]}
-        for p in picks
-    ]
-    model, params, f1, table = _search(rf, grid, data, folds, parallelism, seed)
-    return TrainResult("Random Forest", PipelineModel([*E.preprocessor(enc).stages, model]), params, f1, enc, table)
-
-
-def train_gbt(data: DataFrame, enc: E.FittedEncoding, val: DataFrame | None = None, n_iter=K.GBT_SEARCH_ITER,
-              folds=K.CV_FOLDS, parallelism=4, seed=K.SEED, space=K.GBT_SPACE, tol: float = 1e-4) -> TrainResult:
-    """Random search by CV, then -- with a validation set -- a refit of the
-    best parameters with early stopping on it. Positives weigh neg/pos."""
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=seed)
-    picks = sample_space(space, n_iter, seed)
-    grid = [
-        {gbt.maxIter: p["n_estimators"], gbt.maxDepth: p["max_depth"], gbt.stepSize: p["learning_rate"],
-         gbt.subsamplingRate: p["subsample"], gbt.featureSubsetStrategy: str(p["colsample_bytree"]),
-         gbt.minInstancesPerNode: p["min_child_weight"], gbt.minInfoGain: float(p["gamma"])}
-        for p in picks
-    ]
-    model, params, f1, table = _search(gbt, grid, data, folds, parallelism, seed)
+def _result(name: str, model, points: list[dict], scores: np.ndarray, best: int, enc: E.FittedEncoding, **more) -> TrainResult:
+    means = scores.mean(axis=1)
+    table = [(p, float(m)) for p, m in zip(points, means)]
+    return TrainResult(name, PipelineModel([*E.preprocessor(enc).stages, model]), dict(points[best]), float(means[best]), enc, table, scores, **more)
+
+
+def search_lr(rows: DataFrame, roles: E.Roles, folds: int = K.CV_FOLDS, c_grid: Sequence[float] = K.LR_C_GRID) -> TrainResult:
+    """The whole grid of the logistic model on the scaled encoding of
+    :func:`folded` rows."""
+    enc = E.fit_encoding(rows, roles, scale=True)
+    data = E.encode(rows, enc).select(roles.key, "label", "fold", "features")
+    fits = [(float(c), f) for c in c_grid for f in range(folds)]
+    _, marks = logistic.newton(data, len(enc.feature_names()), fits)
+    scores = search.f1(*marks.T).reshape(len(c_grid), folds)
+    best = int(scores.mean(axis=1).argmax())  # the first best
+    weights = class_weights(data)
+    weighted = data.withColumn("weight", weight_col(weights)).persist()
+    total = weighted.agg(F.sum("weight")).first()[0]
+    # max_iter and tol as the reference's learner
+    lr = LogisticRegression(featuresCol="features", labelCol="label", weightCol="weight", maxIter=1000, tol=1e-4, standardization=False,
+                            elasticNetParam=0.0, regParam=1.0 / (c_grid[best] * total))
+    model = lr.fit(weighted)
+    weighted.unpersist()
+    return _result("Logistic Regression", model, [{"C": c} for c in c_grid], scores, best, enc)
+
+
+def _binned(rows: DataFrame, roles: E.Roles, val: DataFrame | None = None, positive="Yes"):
+    """(encoding, bins, binned rows) of training rows, and of validation rows
+    marked as such; encoding and bins come from the training rows."""
+    enc = E.fit_encoding(rows, roles, scale=False)
+    columns = [roles.key, "label", "fold", "is_val", "features"]
+    data = E.encode(rows.withColumn("is_val", F.lit(False)), enc).select(*columns)
+    bins = T.fit_bins(data, len(enc.feature_names()))
     if val is not None:
-        both = data.withColumn("is_val", F.lit(False)).unionByName(val.withColumn("is_val", F.lit(True)))
-        best = gbt.copy(dict(zip([getattr(gbt, k) for k in params], params.values())))
-        best = best.setValidationIndicatorCol("is_val")
-        best.set(best.validationTol, tol)
-        model = best.fit(both)
-        params = {**params, "early_stopped_trees": len(model.trees)}
-    return TrainResult("Gradient Boosting", PipelineModel([*E.preprocessor(enc).stages, model]), params, f1, enc, table)
-
-
-def scale_pos_weight(data: DataFrame) -> dict[int, float]:
-    counts = {int(r["label"]): r["n"] for r in data.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    return {0: 1.0, 1: counts.get(0, 0) / max(counts.get(1, 1), 1)}
+        own = val.withColumn("label", (F.col(roles.label) == positive).cast("double")).where("label is not null")
+        data = data.unionByName(E.encode(own.withColumn("fold", F.lit(-1)).withColumn("is_val", F.lit(True)), enc).select(*columns))
+    return enc, bins, B.binned(data, bins, roles.key)
+
+
+def search_rf(rows: DataFrame, roles: E.Roles, n_iter: int = K.RF_SEARCH_ITER, folds: int = K.CV_FOLDS, seed: int = K.SEED,
+              space: dict = K.RF_SPACE) -> TrainResult:
+    """Random search of the forest on :func:`folded` rows; the best point is
+    grown on all of them."""
+    enc, bins, data = _binned(rows, roles)
+    points = sample_space(space, n_iter, seed)
+    scores = search.cross_validate(data, bins, "forest", points, folds, seed=seed)
+    best = int(scores.mean(axis=1).argmax())
+    nodes = forest.grown(data, bins, points[best], seed)
+    model = spark_trees.load(nodes, "forest", len(bins.cuts), points[best]["max_depth"] or 30)
+    return _result("Random Forest", model, points, scores, best, enc, kind="forest", nodes=nodes)
+
+
+def search_gbt(rows: DataFrame, roles: E.Roles, val: DataFrame | None = None, positive="Yes", n_iter: int = K.GBT_SEARCH_ITER,
+               folds: int = K.CV_FOLDS, seed: int = K.SEED, space: dict = K.GBT_SPACE) -> TrainResult:
+    """Random search of boosting on :func:`folded` rows; the best point is
+    grown on all of them, with early stopping on ``val``. Positives weigh
+    negatives / positives."""
+    enc, bins, data = _binned(rows, roles, val, positive)
+    weight = scale_pos_weight(rows)
+    points = sample_space(space, n_iter, seed)
+    scores = search.cross_validate(data, bins, "boost", points, folds, weight, seed)
+    best = int(scores.mean(axis=1).argmax())
+    ensemble = boosting.boost(data, bins, points[best], weight, seed, K.GBT_EARLY_STOP_ROUNDS)
+    nodes = saved(spark_trees.boosted_nodes(data.sparkSession, ensemble, bins), "models", "nodes")
+    model = spark_trees.load(nodes, "boost", len(bins.cuts), points[best]["max_depth"])
+    out = _result("Gradient Boosting", model, points, scores, best, enc, kind="boost", nodes=nodes)
+    out.params["trees_kept"] = len(ensemble)
+    return out
 
 
-def search_lr(train: DataFrame, roles: E.Roles, positive="Yes") -> TrainResult:
-    """The whole grid of the logistic model on the scaled encoding."""
-    enc = E.fit_encoding(train, roles, scale=True)
-    data = prepare(train, enc, roles.label, roles.key, positive)
-    out = train_lr(data, enc)
-    data.unpersist()
-    return out
+def train_all(train: DataFrame, roles: E.Roles, val: DataFrame | None = None, positive="Yes", folds: int = K.CV_FOLDS,
+              forest_search: dict | None = None, boosting_search: dict | None = None) -> dict[str, TrainResult]:
+    """All three searches on the same folds; the last two arguments are
+    options of :func:`search_rf` and :func:`search_gbt`."""
+    rows = folded(train, roles, positive, folds)
+    results = [search_lr(rows, roles, folds), search_rf(rows, roles, folds=folds, **(forest_search or {})),
+               search_gbt(rows, roles, val, positive, folds=folds, **(boosting_search or {}))]
+    return {r.name: r for r in results}
 
 
-def train_all(train: DataFrame, roles: E.Roles, val: DataFrame | None = None, positive="Yes",
-              budget: dict | None = None, lr: TrainResult | None = None) -> dict[str, TrainResult]:
-    """LR (unless already fitted) on the scaled encoding, RF and GBT on the
-    unscaled one; each prepared set is cached once and shared by all fits of
-    its search. ``budget`` only concerns RF and GBT."""
-    budget = budget or {}
-    key, label = roles.key, roles.label
-    enc_u = E.fit_encoding(train, roles, scale=False)
-    folds = budget.get("folds", K.CV_FOLDS)
-    data_u = prepare(train, enc_u, label, key, positive, folds=folds)
-    out = {"Logistic Regression": lr or search_lr(train, roles, positive)}
-    out["Random Forest"] = train_rf(data_u, enc_u, n_iter=budget.get("rf_iter", K.RF_SEARCH_ITER),
-                                    folds=budget.get("folds", K.CV_FOLDS))
-    gbt_data = data_u.withColumn("weight", weight_col(scale_pos_weight(data_u)))
-    val_u = None
-    if val is not None:
-        v = val.withColumn("label", (F.col(label) == positive).cast("double")).withColumn("weight", F.lit(1.0))
-        val_u = E.encode(v, enc_u).select(key, "label", "weight", F.lit(0).alias("fold"), "features")
-    out["Gradient Boosting"] = train_gbt(gbt_data, enc_u, val_u, n_iter=budget.get("gbt_iter", K.GBT_SEARCH_ITER),
-                                         folds=budget.get("folds", K.CV_FOLDS), space=budget.get("gbt_space", K.GBT_SPACE))
-    return out
+def fold_scores(spark: SparkSession, results: dict[str, TrainResult]) -> DataFrame:
+    """(model, point, params, fold, f1) of everything that was fitted on folds."""
+    rows = [(name, i, str(r.cv_table[i][0]), f, float(r.folds[i, f])) for name, r in results.items() for i in range(len(r.folds)) for f in range(r.folds.shape[1])]
+    return spark.createDataFrame(rows, "model string, point int, params string, fold int, f1 double")

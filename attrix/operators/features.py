@@ -97,3 +97,39 @@ def add_features(df: DataFrame, spec: FeatureSpec | None = None, fit: bool = Tru
     cols = feature_columns(spec)
     keep = [F.col(c) for c in df.columns if c not in cols]
     return df.select(*keep, *[e.alias(n) for n, e in cols.items()])
+
+
+def feature_statement(spec: FeatureSpec) -> str:
+    """The features as one SQL projection of ``__THIS__``, with the fitted
+    median and the maps inside, for a persisted ``SQLTransformer``. A total
+    that is missing or no number is monthly x tenure, as the scoring form
+    derives it."""
+    def name(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+
+    def text(v) -> str:
+        return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" if isinstance(v, str) else f"CAST({v!r} AS DOUBLE)"
+
+    def score(c: str, mapping: Mapping[str, int]) -> str:
+        whens = " ".join(f"WHEN {text(k)} THEN {v}" for k, v in mapping.items())
+        return f"CASE {name(c)} {whens} ELSE {spec.default_score} END"
+
+    def is_yes(c: str) -> str:
+        return f"coalesce({name(c)} = 'Yes', false)"
+
+    t, edges = name(spec.tenure_col), spec.tenure_edges
+    bins = " ".join(f"WHEN {t} > {text(a)} AND {t} <= {text(b)} THEN {text(label)}" for a, b, label in zip(edges, edges[1:], spec.tenure_labels))
+    raw = f"CAST({name(spec.total_col)} AS STRING)"
+    total = f"coalesce(TRY_CAST(CASE WHEN trim({raw}) = '' THEN NULL ELSE {raw} END AS DOUBLE), {name(spec.monthly_col)} * {t})"
+    above = f"coalesce({name(spec.senior_col)} = 1 AND {name(spec.monthly_col)} > {text(spec.monthly_median)}, false)" if spec.monthly_median is not None else "false"
+    columns = {
+        spec.total_col: total,
+        "contract_risk_score": score(spec.contract_col, spec.contract_map),
+        "tenure_group": f"CASE {bins} END",
+        "payment_risk_score": score(spec.payment_col, spec.payment_map),
+        "support_services_count": " + ".join(f"CAST({is_yes(c)} AS INT)" for c in spec.support_cols),
+        "charge_per_month": f"({total}) / ({t} + 1)",
+        "senior_high_charge": f"CAST({above} AS INT)",
+        "fiber_optic_no_support": f"CAST(coalesce({name(spec.internet_col)} = {text(spec.fiber_value)}, false) AND NOT ({' OR '.join(map(is_yes, spec.support_cols))}) AS INT)",
+    }
+    return f"SELECT * EXCEPT ({name(spec.total_col)}), " + ", ".join(f"{e} AS {name(c)}" for c, e in columns.items()) + " FROM __THIS__"

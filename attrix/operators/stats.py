@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions import constants as K
 from ..functions import pvalues as P
+from ..functions.exact import with_exact_p
 from .combine import one_row
 from .rates import bivariate_cells, is_positive
 from .ranking import exact_quantiles, running_sum
@@ -199,8 +200,10 @@ def label_value_counts(df: DataFrame, cols: Sequence[str], label: str, positive=
 
 
 def rank_tests(df: DataFrame, cols: Sequence[str], label: str, positive="Yes", **ranking_kw) -> DataFrame:
-    """Two-sample KS (D, asymptotic p) and Mann-Whitney U (U of the
-    positive group, tie-corrected normal p with continuity) per column."""
+    """Two-sample KS and Mann-Whitney U (of the positive group) per column.
+    p-values are exact where sizes allow them (``exact.with_exact_p``), else
+    those of the Kolmogorov limit and of the tie-corrected normal with
+    continuity."""
     vc = label_value_counts(df, cols, label, positive).withColumn("cnt", F.col("c1") + F.col("c0"))
     cum = running_sum(vc, "x", ["c1", "c0", "cnt"], by=["Feature"], **ranking_kw)
     tot = vc.groupBy("Feature").agg(F.sum("c1").alias("n1"), F.sum("c0").alias("n0"))
@@ -220,13 +223,13 @@ def rank_tests(df: DataFrame, cols: Sequence[str], label: str, positive="Yes", *
     sigma = F.sqrt(n1 * n0 / 12.0 * ((n + 1) - F.try_divide(F.col("ties"), n * (n - 1))))
     z = F.try_divide(F.abs(u1 - mu) - 0.5, sigma)
     en = F.try_divide(n1 * n0, n)
-    return agg.select(
-        "Feature", "n1", "n0",
+    return with_exact_p(agg.select(
+        "Feature", "n1", "n0", "ties",
         F.col("ks").alias("KS_Statistic"),
         P.kolmogorov_sf(F.col("ks") * F.sqrt(en)).alias("KS_PValue"),
         u1.alias("MannWhitney_U"),
         F.least(P.normal_two_sided(z), F.lit(1.0)).alias("MannWhitney_PValue"),
-    )
+    )).drop("ties")
 
 
 def dist_by_label(df: DataFrame, cols: Sequence[str], label: str, positive="Yes", negative="No", with_p=True) -> DataFrame:
@@ -260,18 +263,19 @@ def dist_by_label(df: DataFrame, cols: Sequence[str], label: str, positive="Yes"
 # --- ANOVA F, mutual information, ranking ------------------------------------------------
 def anova_f(df: DataFrame, cols: Sequence[str], label: str, positive="Yes") -> DataFrame:
     """One-way ANOVA F of each column across label classes (NULL -> 0, as
-    the univariate scorer fills them), from per-class n / sum / sum of
-    squares: F = (SSB/(k-1)) / (SSW/(n-k))."""
+    the univariate scorer fills them), from per-class n, mean and centred
+    sum of squares: F = (SSB/(k-1)) / (SSW/(n-k))."""
     arr = F.array(*[F.struct(F.lit(c).alias("Feature"), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("x")) for c in cols])
     g = df.select(is_positive(label, positive).alias("_y"), F.inline(arr)).groupBy("Feature", "_y").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("x").alias("s"), F.sum(F.col("x") * F.col("x")).alias("ss")
-    )
-    tot = g.groupBy("Feature").agg(
-        F.sum("n").alias("n_all"), F.sum("s").alias("s_all"), F.sum("ss").alias("ss_all"),
-        F.sum(F.col("s") * F.col("s") / F.col("n")).alias("between_raw"), F.count(F.lit(1)).alias("k"),
+        F.count(F.lit(1)).alias("n"), F.avg("x").alias("m"), F.var_pop("x").alias("v")
     )
-    ssb = F.col("between_raw") - F.col("s_all") * F.col("s_all") / F.col("n_all")
-    ssw = F.col("ss_all") - F.col("between_raw")
+    each = F.struct("n", "m", "v")  # a row per class
+    tot = g.groupBy("Feature").agg(F.collect_list(each).alias("c"), F.sum("n").alias("n_all"), F.count(F.lit(1)).alias("k"))
+    total = lambda f: F.aggregate("c", F.lit(0.0), lambda a, x: a + f(x))
+    mean = total(lambda x: x["n"] / F.col("n_all") * x["m"])
+    tot = tot.withColumn("mean", mean)
+    ssb = total(lambda x: x["n"] * (x["m"] - F.col("mean")) * (x["m"] - F.col("mean")))
+    ssw = total(lambda x: x["n"] * x["v"])
     f = F.try_divide(F.try_divide(ssb, F.col("k") - 1), F.try_divide(ssw, F.col("n_all") - F.col("k")))  # NULL for one class or no spread
     return tot.select(
         "Feature", f.alias("F_Statistic"),
@@ -279,42 +283,74 @@ def anova_f(df: DataFrame, cols: Sequence[str], label: str, positive="Yes") -> D
     )
 
 
-def mutual_info(df: DataFrame, cols: Sequence[str], label: str, positive="Yes", n_bins: int = 10) -> DataFrame:
-    """Mutual information (nats) between each column -- cut at its exact
-    equal-frequency edges -- and the label. A binned estimate, not the
-    k-nearest-neighbour estimate: values differ from it by design."""
-    arr = F.array(*[F.struct(F.lit(c).alias("Feature"), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("x")) for c in cols])
-    long = df.select(is_positive(label, positive).alias("_y"), F.inline(arr))
-    probs = [i / n_bins for i in range(1, n_bins)]
-    edges = exact_quantiles(long, "x", probs, by=["Feature"]).groupBy("Feature").agg(
-        F.array_sort(F.collect_list(F.struct("q", "value"))).alias("e")  # n_bins-1 rows per column
-    )
-    binned = long.join(F.broadcast(edges), "Feature").select(
-        "Feature", "_y", F.size(F.filter("e", lambda s: F.col("x") > s["value"])).alias("bin")
-    )
-    cells = binned.groupBy("Feature", "bin", "_y").agg(F.count(F.lit(1)).alias("n"))
-    w_f = Window.partitionBy("Feature")
-    m = cells.select(
-        "*",
-        F.sum("n").over(w_f).alias("n_all"),
-        F.sum("n").over(Window.partitionBy("Feature", "bin")).alias("nb"),
-        F.sum("n").over(Window.partitionBy("Feature", "_y")).alias("ny"),
-    )
-    term = (F.col("n") / F.col("n_all")) * F.log(F.col("n").cast("double") * F.col("n_all") / (F.col("nb").cast("double") * F.col("ny")))
-    return m.groupBy("Feature").agg(F.sum(term).alias("Mutual_Information"))
-
-
-def importance_rank(df: DataFrame, numeric: Sequence[str], label: str, positive="Yes") -> DataFrame:
+K_NEAREST = 3  # neighbours of the mutual information estimate
+NOISE = 1e-10  # of a column's scale, by which equal values are told apart
+BLOCK_RANKS = 100_000  # rows of a block in which neighbours are sought
+
+
+def mutual_info(df: DataFrame, cols: Sequence[str], label: str, positive="Yes", key: str | None = None, k: int = K_NEAREST) -> DataFrame:
+    """Mutual information (nats) between each column (NULL -> 0) and the
+    label by nearest neighbours: around each row reaches an interval up to
+    its k-th nearest row of the same class (k - 1 rows of a smaller class);
+    with m rows of any class inside, the estimate is the mean of
+    psi(n) + psi(k) - psi(class size) - psi(m), at least 0. Classes of one
+    row take no part.
+
+    Equal values are told apart by noise of at most ``NOISE`` of the
+    column's scale, drawn from md5 of (column, ``key``; all columns without
+    a key). Ranks within classes come from ``running_sum``; blocks of
+    consecutive ranks overlap by k rows, so neighbours are found across
+    their borders; rows inside the intervals are counted by running sums
+    over values and interval ends in one order."""
+    arr = F.array(*[F.struct(F.lit(c).alias("Feature"), F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias("v")) for c in cols])
+    row = F.col(key).cast("string") if key else F.concat_ws("|", *[F.col(c).cast("string") for c in df.columns])
+    long = df.select(is_positive(label, positive).alias("_y"), row.alias("_row"), F.inline(arr))
+    scale = long.groupBy("Feature").agg(F.greatest(F.stddev_pop("v"), F.avg(F.abs("v"))).alias("s"))
+    # a power of two, so that sums round alike everywhere
+    scale = scale.select("Feature", F.when(F.col("s") > 0, F.pow(F.lit(2.0), F.floor(F.log2(F.col("s") * NOISE)))).otherwise(F.lit(2.0) ** -34).alias("amp"))
+    digits = F.conv(F.substring(F.md5(F.concat("Feature", F.lit(":"), F.col("_row"))), 1, 8), 16, 10).cast("double") / float(1 << 32)
+    x = (F.col("v") + F.col("amp") * digits).alias("x")
+    points = long.join(F.broadcast(scale), "Feature").select("Feature", "_y", x, F.lit(1).cast("long").alias("one"))  # a row per column
+    ranked = running_sum(points.withColumn("_tie", F.monotonically_increasing_id()), "x", ["one"], by=["Feature", "_y"], tiebreak=["_tie"], with_total=True)
+    ranked = ranked.where("tot_one > 1").select("Feature", "_y", "x", (F.col("cum_one") - 1).alias("r"), F.col("tot_one").alias("n_y"), F.least(F.lit(k), F.col("tot_one") - 1).cast("int").alias("k"))
+    block, inside = F.floor(F.col("r") / BLOCK_RANKS), F.pmod("r", F.lit(BLOCK_RANKS))
+    homes = F.array_compact(F.array(block, F.when(inside < k, block - 1), F.when(inside >= BLOCK_RANKS - k, block + 1)))
+    blocks = ranked.withColumn("home", block).withColumn("block", F.explode(homes))
+    w = Window.partitionBy("Feature", "_y", "block").orderBy("r")
+    near = [F.struct((F.col("x") - F.lag("x", j).over(w)).alias("d"), F.lag("x", j).over(w).alias("at"), F.lit(-1).alias("side")) for j in range(1, k + 1)]
+    near += [F.struct((F.lead("x", j).over(w) - F.col("x")).alias("d"), F.lead("x", j).over(w).alias("at"), F.lit(1).alias("side")) for j in range(1, k + 1)]
+    found = blocks.select("Feature", "_y", "x", "r", "k", "n_y", "home", "block", F.array(*near).alias("near")).where("home = block")
+    kth = F.element_at(F.array_sort(F.filter("near", lambda s: s["d"].isNotNull())), F.col("k"))
+    found = found.select("Feature", "_y", "x", "r", "k", "n_y", kth.alias("kth"))
+    low = F.when(F.col("kth.side") < 0, F.col("kth.at")).otherwise(F.col("x") - F.col("kth.d"))
+    high = F.when(F.col("kth.side") > 0, F.col("kth.at")).otherwise(F.col("x") + F.col("kth.d"))
+    # rows with low < x < high; where the k-th is an equal value, those equal to it
+    same = F.col("kth.d") == 0
+    events = F.array(
+        F.struct(F.col("x").alias("at"), F.lit(1).alias("kind"), F.lit(1).cast("long").alias("one"), F.lit(0).alias("sign")),
+        F.struct(low.alias("at"), F.when(same, 0).otherwise(2).alias("kind"), F.lit(0).cast("long").alias("one"), F.lit(-1).alias("sign")),
+        F.struct(high.alias("at"), F.when(same, 2).otherwise(0).alias("kind"), F.lit(0).cast("long").alias("one"), F.lit(1).alias("sign")))
+    events = found.select("Feature", "_y", "r", "k", "n_y", F.inline(events))
+    # an order column per kind would split equal places: ends come before or after points by the tiebreak
+    counted = running_sum(events, "at", ["one"], by=["Feature"], tiebreak=["kind", "_y", "r"])
+    inside_ = counted.where("sign <> 0").groupBy("Feature", "_y", "r", "k", "n_y").agg(F.sum(F.col("sign") * F.col("cum_one")).alias("m"))
+    cells = inside_.groupBy("Feature", "n_y", "_y", "k", "m").agg(F.count(F.lit(1)).alias("c"))
+    cells = cells.withColumn("psi", P.digamma("k") - P.digamma("n_y") - P.digamma("m"))
+    whole = cells.groupBy("Feature").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("psi")).alias("t"))
+    return whole.select("Feature", F.greatest(P.digamma("n") + F.col("t") / F.col("n"), F.lit(0.0)).alias("Mutual_Information"))
+
+
+def importance_rank(df: DataFrame, numeric: Sequence[str], label: str, positive="Yes", key: str | None = None) -> DataFrame:
     """Numeric columns scored by MI (with ANOVA F and its p), text columns by
     Cramer's V (with chi2 and its p) against the label -- integer flags are
     skipped, as the reference does -- in one ranking."""
     text_cols = [
         f.name for f in df.schema.fields
-        if isinstance(f.dataType, T.StringType) and f.name not in (label, *numeric)
+        if isinstance(f.dataType, T.StringType) and f.name not in (label, key, *numeric)
     ]
     nul = F.lit(None).cast("double")
     num = (
-        mutual_info(df, numeric, label, positive)
+        mutual_info(df, numeric, label, positive, key)
         .join(anova_f(df, numeric, label, positive), "Feature")
         .select(
             "Feature", F.lit("Numerical").alias("Type"), "Mutual_Information", "F_Statistic", "F_PValue",
@@ -375,7 +411,7 @@ def paired_t(fold_scores: DataFrame, model_col: str, fold_col: str, score_col: s
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
-    t = F.col("md") / (F.col("sd") / F.sqrt(F.col("k")))
+    t = F.try_divide(F.col("md"), F.col("sd") / F.sqrt(F.col("k")))  # no spread: no statistic
     return out.select(
         "Model_1", "Model_2", "Test_Type", F.col("md").alias("Mean_Difference"), t.alias("Statistic"),
         (F.col("k") - 1).alias("dof"), P.t_two_sided(t, F.col("k") - 1).alias("P_Value"),

@@ -25,13 +25,6 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-def alias(new: str, existing: str) -> None:
-    """Register ``existing`` under a second name (same query, same oracle)."""
-    QUERIES[new] = QUERIES[existing]
-    if existing in ORACLE:
-        ORACLE[new] = ORACLE[existing]
-
-
 def load_all() -> None:
     # importing the modules registers their queries
     from . import q_eda, q_models, q_prep, q_stats  # noqa: F401

@@ -65,6 +65,6 @@ def run_eda(spark: SparkSession, sf_dir: str, label: str = "Churn") -> dict[str,
         "riskiest_profiles": R.risky_profiles(R.profile_frame(eda), label),
         "bivariate_analysis": ST.bivariate_table(biv, label, K.BIVARIATE_PAIRS),
         "nonlinear_relationships": R.nonlinear_bins(eda, label, nums),
-        "preliminary_importance": ST.importance_rank(eda.drop("customerID"), nums, label),
+        "preliminary_importance": ST.importance_rank(eda, nums, label, key="customerID"),
         "summary": eda_summary(raw, label, "TotalCharges"),
     }

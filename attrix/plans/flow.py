@@ -14,10 +14,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import constants as K
 from ..models import encode as E
 from ..models import explain as X
-from ..models.train import train_all
+from ..models import shap as SH
+from ..models.score import artefact
+from ..models.train import TrainResult, fold_scores, train_all
 from ..operators import clean as CL
 from ..operators import features as FE
 from ..operators import metrics as M
@@ -38,6 +39,18 @@ def predictions(models: dict, data: DataFrame, key: str, label: str, positive="Y
     return out
 
 
+def contributions(r: TrainResult, train: DataFrame, data: DataFrame, key: str) -> DataFrame:
+    """(key, contrib array<double>, base, margin) of every row of ``data``
+    under a fitted model."""
+    pre, width = E.preprocessor(r.encoding), len(r.encoding.feature_names())
+    if r.kind != "linear":
+        return SH.contributions(pre.transform(data), r.nodes, r.kind, width, key)
+    means = X.feature_means(pre.transform(train), width)
+    out = X.linear_contributions(pre.transform(data), r.model, means, key)
+    whole = F.aggregate("contrib", F.lit(0.0), lambda a, v: a + v)
+    return out.select(key, "contrib", (F.col("margin") - whole).alias("base"), "margin")
+
+
 def run(
     spark: SparkSession,
     raw: DataFrame,
@@ -45,7 +58,7 @@ def run(
     spec: FE.FeatureSpec | None = None,
     key: str = "customerID",
     label: str = "Churn",
-    budget: dict | None = None,
+    searches: dict | None = None,
     eda_sf_dir: str | None = None,
 ) -> dict:
     """Run everything on ``raw`` (a customer table with text totals) and
@@ -68,7 +81,7 @@ def run(
     tr, va, te = (feats.where(F.col("split") == s) for s in ("train", "val", "test"))
 
     roles = E.feature_roles(feats.drop("split"), key, label)
-    models = train_all(tr, roles, val=va, budget=budget)
+    models = train_all(tr, roles, val=va, **(searches or {}))
     summary["cv_f1"] = {n: r.cv_f1 for n, r in models.items()}
     summary["params"] = {n: {k: str(v) for k, v in r.params.items()} for n, r in models.items()}
 
@@ -84,13 +97,13 @@ def run(
     names = {n: r.encoding.feature_names() for n, r in models.items()}
     importance = None
     for n, r in models.items():
-        f = X.linear_importance if n == "Logistic Regression" else X.tree_importance
-        t = f(spark, r.model, names[n]).select(F.lit(n).alias("model"), "*")
+        t = X.linear_importance(spark, r.model, names[n]) if r.kind == "linear" else X.tree_importance(spark, r.nodes, r.kind, names[n])
+        t = t.select(F.lit(n).alias("model"), "*")
         importance = t if importance is None else importance.unionByName(t)
-    lr = models["Logistic Regression"]
-    pre = E.preprocessor(lr.encoding)
-    means = X.feature_means(pre.transform(tr), len(names["Logistic Regression"]))
-    contribs = X.linear_contributions(pre.transform(te), lr.model, means, key)
+    top = None
+    for n, r in models.items():
+        t = X.top_contributors(contributions(r, tr, te, key), names[n], 10).select(F.lit(n).alias("model"), "*")
+        top = t if top is None else top.unionByName(t)
     write_results(
         {
             "model_comparison": comp,
@@ -104,14 +117,16 @@ def run(
                 "label", list(models),
             ),
             "feature_importance": importance,
-            "top_drivers_linear": X.top_contributors(contribs, names["Logistic Regression"], 10),
+            "top_drivers": top,
+            "cv_folds": fold_scores(spark, models),
         },
         out,
     )
-    models[best].model.write().overwrite().save(f"{out}/model_{best.replace(' ', '_')}")
+    # one pipeline with features, encoder and model; ``python -m attrix score`` reads it
+    artefact(models[best].model, spec).write().overwrite().save(f"{out}/model")
+    summary["feature_spec"] = asdict(spec)
     with open_text(spark, f"{out}/summary.json") as fh:
         fh.write(json.dumps(summary, indent=2, default=str))
-    summary["feature_spec"] = asdict(spec)
     return summary
 
 
@@ -138,18 +153,30 @@ class open_text:
         return False
 
 
-def snapshot_run(spark: SparkSession, sf_dir: str, out: str, budget: dict | None = None) -> dict:
+def snapshot_run(spark: SparkSession, sf_dir: str, out: str, searches: dict | None = None) -> dict:
     """``run`` on the TPC-H-derived snapshot with its parameters."""
     from ..sources.snapshot import customer_snapshot
 
-    return run(spark, customer_snapshot(spark, sf_dir), out, FE.snapshot_spec(), budget=budget, eda_sf_dir=sf_dir)
+    return run(spark, customer_snapshot(spark, sf_dir), out, FE.snapshot_spec(), searches=searches, eda_sf_dir=sf_dir)
 
 
-def csv_run(spark: SparkSession, path: str, out: str, budget: dict | None = None) -> dict:
+def csv_run(spark: SparkSession, path: str, out: str, searches: dict | None = None) -> dict:
     """``run`` on a customer file in the reference's format and defaults."""
     from ..sources.tables import load_customers
 
-    return run(spark, load_customers(spark, path), out, FE.FeatureSpec(), budget=budget)
+    return run(spark, load_customers(spark, path), out, FE.FeatureSpec(), searches=searches)
+
 
+def score_file(spark: SparkSession, model: str, csv: str, out: str, rules=None) -> int:
+    """Score a customer file with a saved pipeline; the number of rows."""
+    from ..functions.columns import reference_risk_factor_rules
+    from ..models.score import decided
+    from ..sources.results import load_model
+    from ..sources.tables import load_customers
 
-SEARCH_DEFAULTS = {"folds": K.CV_FOLDS, "rf_iter": K.RF_SEARCH_ITER, "gbt_iter": K.GBT_SEARCH_ITER}
+    fitted = load_model(model)
+    if fitted is None:
+        raise FileNotFoundError(f"no model at {model}")
+    scored = decided(fitted.transform(load_customers(spark, csv)), rules or reference_risk_factor_rules())
+    scored.write.mode("overwrite").parquet(out)
+    return spark.read.parquet(out).count()

@@ -224,6 +224,7 @@ def q_evaluate_all(spark, sf):
 from ..functions import columns as C  # noqa: E402
 from ..models import encode as E  # noqa: E402
 from ..operators import split as SP  # noqa: E402
+from ..operators.features import add_features, fit_feature_params  # noqa: E402
 from ..session import shared_path  # noqa: E402
 from ..sources import snapshot as S  # noqa: E402
 from .q_eda import BIV_CTE, RATES_CTE, eda_frame  # noqa: E402
@@ -240,13 +241,6 @@ DOMAINS = {
     **{c: ["No", "Yes"] for c in K.SUPPORT_SERVICES},
 }
 
-# A small search for the end-to-end test (tests/test_flow_csv.py) only. The
-# registered queries run the whole searches, the library's defaults: RF 20
-# and GBT 50 sampled points, the logistic grid of 6, 5 folds each.
-CHECK_BUDGET = {"folds": 3, "rf_iter": 3, "gbt_iter": 2,
-                "gbt_space": {**K.GBT_SPACE, "n_estimators": [20, 30, 40]}}
-
-
 @query(
     "scale",
     with_base(
@@ -283,10 +277,18 @@ def q_onehot(spark, sf):
     return out.select("customerID", *[F.col(f"`f__{n}`").alias(n) for n in enc.feature_names()])
 
 
-def _featured_split(spark, sf):
-    from .q_prep import featured
+def training_spec(spark, sf):
+    """The feature rules with the median of the training rows."""
+    return _once(spark, (sf, "spec"), lambda: fit_feature_params(_split(spark, sf).where("split = 'train'"), SPEC))
+
 
-    return SP.stratified_split(featured(spark, sf), "Churn", "customerID", test_pct=20, val_pct=20)
+def _split(spark, sf):
+    return SP.stratified_split(clean(spark, sf), "Churn", "customerID", test_pct=20, val_pct=20)
+
+
+def _featured_split(spark, sf):
+    """Features of all rows by the rules fitted on training rows, and splits."""
+    return add_features(_split(spark, sf), training_spec(spark, sf), fit=False)
 
 
 def model_roles(df) -> E.Roles:
@@ -387,27 +389,49 @@ def _once(spark, key, make):
 
 
 def split_rows(spark, sf) -> DataFrame:
-    """All featured rows with their split, shared by every model query."""
-    return _once(spark, (sf, "rows"), lambda: _featured_split(spark, sf).cache())
+    """All featured rows with their split, written once and read by every
+    model query."""
+    from ..session import saved
+
+    return _once(spark, (sf, "rows"), lambda: saved(_featured_split(spark, sf), "models", "rows"))
+
+
+def parts(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
+    df = split_rows(spark, sf)
+    return tuple(df.where(F.col("split") == s) for s in ("train", "val", "test"))
+
+
+def _folds(spark, sf) -> DataFrame:
+    from ..models.train import folded
+
+    return _once(spark, (sf, "folds"), lambda: folded(parts(spark, sf)[0], model_roles(split_rows(spark, sf))))
 
 
 def trained_lr(spark, sf):
     """The logistic search, whole, once per session and input folder."""
     from ..models.train import search_lr
 
-    df = split_rows(spark, sf)
-    return _once(spark, (sf, "lr"), lambda: search_lr(df.where("split = 'train'"), model_roles(df)))
+    return _once(spark, (sf, "lr"), lambda: search_lr(_folds(spark, sf), model_roles(split_rows(spark, sf))))
 
 
-def trained(spark, sf):
-    """Train the three searches once per session and input folder."""
-    from ..models.train import train_all
+def trained_rf(spark, sf):
+    """The forest search, whole, once per session and input folder."""
+    from ..models.train import search_rf
+
+    return _once(spark, (sf, "rf"), lambda: search_rf(_folds(spark, sf), model_roles(split_rows(spark, sf))))
+
+
+def trained_gbt(spark, sf):
+    """The boosting search, whole, once per session and input folder."""
+    from ..models.train import search_gbt
+
+    return _once(spark, (sf, "gbt"), lambda: search_gbt(_folds(spark, sf), model_roles(split_rows(spark, sf)), parts(spark, sf)[1]))
 
-    df = split_rows(spark, sf)
-    train, val, test = (df.where(F.col("split") == s) for s in ("train", "val", "test"))
-    roles = model_roles(df)
-    models = _once(spark, (sf, "all"), lambda: train_all(train, roles, val=val, lr=trained_lr(spark, sf)))
-    return models, train, val, test, roles
+
+def trained(spark, sf) -> dict:
+    """The three fitted models by name."""
+    found = [f(spark, sf) for f in (trained_lr, trained_rf, trained_gbt)]
+    return {r.name: r for r in found}
 
 
 def _params_df(spark, res):
@@ -424,123 +448,176 @@ def q_train_lr(spark, sf):
 @query("train_rf")
 def q_train_rf(spark, sf):
     """Best parameters and CV F1 of the random-forest random search."""
-    return _params_df(spark, trained(spark, sf)[0]["Random Forest"])
+    return _params_df(spark, trained_rf(spark, sf))
 
 
 @query("train_gbt")
 def q_train_gbt(spark, sf):
-    """Best parameters and CV F1 of the gradient-boosting search (then early-stopped)."""
-    return _params_df(spark, trained(spark, sf)[0]["Gradient Boosting"])
+    """Best parameters and CV F1 of the gradient-boosting search, and the
+    trees kept after early stopping on the validation rows."""
+    return _params_df(spark, trained_gbt(spark, sf))
 
 
 @query("search")
 def q_search(spark, sf):
     """Every evaluated parameter point of every search with its mean CV F1."""
-    models = trained(spark, sf)[0]
-    rows = [(name, i, str(p), float(m)) for name, r in models.items() for i, (p, m) in enumerate(r.cv_table)]
-    return spark.createDataFrame(rows, "model string, point int, params string, mean_cv_f1 double")
+    from ..models.train import fold_scores
+
+    each = fold_scores(spark, trained(spark, sf))
+    return each.groupBy("model", "point", "params").agg(F.avg("f1").alias("mean_cv_f1"), F.count("*").alias("n_folds"))
+
+
+@query("paired_t_stub")
+def q_paired_t_stub(spark, sf):
+    """Paired t on the fold scores of the fitted models' best points, all
+    searched on the same folds (the reference returns NaN here). Without
+    any spread between two models there is no statistic."""
+    from ..models.train import fold_scores
+    from ..operators.stats import paired_t
+
+    models = trained(spark, sf)
+    best = spark.createDataFrame([(n, r.best_point()) for n, r in models.items()], "model string, point int")
+    return paired_t(fold_scores(spark, models).join(best, ["model", "point"]), "model", "fold", "f1", list(models))
 
 
 def model_predictions(spark, sf, split: str = "test") -> DataFrame:
     """Long predictions (model, customerID, label, probability, prediction)
     of every fitted model on a split: one union, one pass per model."""
-    from pyspark.ml.functions import vector_to_array
+    from .flow import predictions
+
+    data = dict(zip(("train", "val", "test"), parts(spark, sf)))[split]
+    return predictions(trained(spark, sf), data, "customerID", "Churn")
+
+
+def best_fitted(spark, sf):
+    """The fitted model with the best test F1."""
+    models = trained(spark, sf)
+
+    def name():
+        return M.best_model(M.comparison(model_predictions(spark, sf)), "f1_score", list(models)).first()["model"]
+
+    return models[_once(spark, (sf, "best"), name)]
+
 
-    models, train, val, test = trained(spark, sf)[:4]
-    data = {"train": train, "val": val, "test": test}[split]
+def by_model(models: dict, table) -> DataFrame:
+    """``table(result)`` of every fitted model, with its name first."""
     out = None
     for name, r in models.items():
-        s = r.model.transform(data).select(
-            F.lit(name).alias("model"), "customerID", is_positive("Churn").alias("label"),
-            vector_to_array("probability")[1].alias("probability"), F.col("prediction").cast("int").alias("prediction"),
-        )
-        out = s if out is None else out.unionByName(s)
+        t = table(r).select(F.lit(name).alias("model"), "*")
+        out = t if out is None else out.unionByName(t)
     return out
 
 
 @query("train_all")
 def q_train_all(spark, sf):
     """CV F1 and test metrics of the three fitted models."""
-    models = trained(spark, sf)[0]
+    models = trained(spark, sf)
     cv = spark.createDataFrame([(n, float(r.cv_f1)) for n, r in models.items()], "model string, cv_f1 double")
     return cv.join(M.comparison(model_predictions(spark, sf)), "model")
 
 
+def _importance(spark, r) -> DataFrame:
+    from ..models.explain import linear_importance, tree_importance
+
+    names = r.encoding.feature_names()
+    return linear_importance(spark, r.model, names) if r.kind == "linear" else tree_importance(spark, r.nodes, r.kind, names)
+
+
 @query("tree_importance")
 def q_tree_importance(spark, sf):
-    """Impurity importances of the random forest, ranked."""
-    from ..models.explain import tree_importance
+    """Importances of both tree ensembles, ranked per model: a forest's
+    impurity decreases, the booster's mean gains."""
+    return by_model({n: r for n, r in trained(spark, sf).items() if r.kind != "linear"}, lambda r: _importance(spark, r))
 
-    r = trained(spark, sf)[0]["Random Forest"]
-    return tree_importance(spark, r.model, r.encoding.feature_names())
 
+def _contributions(spark, sf, r) -> DataFrame:
+    """(customerID, contrib, base, margin) of every row, computed once."""
+    from ..session import saved
+    from .flow import contributions
 
-def _lr_contribs(spark, sf):
-    from ..models.explain import feature_means, linear_contributions
+    def make():
+        return saved(contributions(r, parts(spark, sf)[0], split_rows(spark, sf), "customerID"), "models", "contributions")
 
-    df, r = split_rows(spark, sf), trained_lr(spark, sf)
-    pre = E.preprocessor(r.encoding)
-    means = feature_means(pre.transform(df.where("split = 'train'")), len(r.encoding.feature_names()))
-    return linear_contributions(pre.transform(df), r.model, means, "customerID"), r
+    return _once(spark, (sf, "contributions", r.name), make)
+
+
+def _summed(c: DataFrame) -> DataFrame:
+    return c.select("customerID", "margin", "base", F.aggregate("contrib", F.lit(0.0), lambda a, v: a + v).alias("sum_contrib"))
 
 
 @query("shap_linear")
 def q_shap_linear(spark, sf):
     """Exact linear contributions for every row; their sum is the
     margin minus the margin at the training means."""
-    c, _ = _lr_contribs(spark, sf)
-    return c.select("customerID", "margin", F.aggregate("contrib", F.lit(0.0), lambda a, v: a + v).alias("sum_contrib"))
+    return _summed(_contributions(spark, sf, trained_lr(spark, sf)))
+
+
+@query("shap_tree")
+def q_shap_tree(spark, sf):
+    """Exact path-dependent attributions of both tree ensembles for every
+    row: margin, base and the sum of the contributions, which is their
+    difference."""
+    return by_model({n: r for n, r in trained(spark, sf).items() if r.kind != "linear"}, lambda r: _summed(_contributions(spark, sf, r)))
 
 
 @query("top_shap")
 def q_top_shap(spark, sf):
-    """Top ten mean absolute linear contributions of the logistic model."""
+    """Top ten mean absolute contributions of every fitted model."""
     from ..models.explain import top_contributors
 
-    c, r = _lr_contribs(spark, sf)
-    return top_contributors(c, r.encoding.feature_names(), 10)
+    return by_model(trained(spark, sf), lambda r: top_contributors(_contributions(spark, sf, r), r.encoding.feature_names(), 10))
 
 
-@query("shap_tree")
-def q_shap_tree(spark, sf):
-    """Permutation importance (AUC drop) of the random forest's inputs."""
+@query("permutation_importance")
+def q_permutation_importance(spark, sf):
+    """AUC drop of every tree ensemble when one input column is permuted."""
     from ..models.explain import permutation_importance
 
-    models, _, _, test, roles = trained(spark, sf)
-    r = models["Random Forest"]
-    return permutation_importance(r.model, test, [*roles.numeric, *roles.categorical], "customerID", "Churn")
+    df = split_rows(spark, sf)
+    roles, test = model_roles(df), parts(spark, sf)[2]
+    return by_model({n: r for n, r in trained(spark, sf).items() if r.kind != "linear"},
+                    lambda r: permutation_importance(r.model, test, [*roles.numeric, *roles.categorical], "customerID", "Churn"))
 
 
 @query("explain_all")
 def q_explain_all(spark, sf):
-    """Importance tables of all models; 'best' is the best test F1."""
-    from ..models.explain import linear_importance, tree_importance
+    """Importances and mean absolute contributions of all features of all
+    models; 'best' is the best test F1."""
+    from ..models.explain import top_contributors
 
-    models = trained(spark, sf)[0]
-    comp = M.comparison(model_predictions(spark, sf))
-    best = M.best_model(comp, "f1_score", list(models)).first()["model"]
-    out = None
-    for name, r in models.items():
-        f = linear_importance if name == "Logistic Regression" else tree_importance
-        t = f(spark, r.model, r.encoding.feature_names()).select(F.lit(name).alias("model"), "*", F.lit(name == best).alias("is_best"))
-        out = t if out is None else out.unionByName(t)
-    return out
+    best = best_fitted(spark, sf).name
+
+    def table(r):
+        names = r.encoding.feature_names()
+        shap = top_contributors(_contributions(spark, sf, r), names, len(names))
+        return _importance(spark, r).join(shap, "feature").select("rank", "feature", "importance", "mean_abs_shap")
+
+    return by_model(trained(spark, sf), table).withColumn("is_best", F.col("model") == best)
+
+
+def saved_pipeline(spark, sf, r) -> str:
+    """Path of a fitted model saved as one pipeline with its features."""
+    from ..models.score import artefact
+
+    def make():
+        path = shared_path(spark, "models", r.name.replace(" ", "_"))
+        artefact(r.model, training_spec(spark, sf)).write().overwrite().save(path)
+        return path
+
+    return _once(spark, (sf, "artefact", r.name), make)
 
 
 @query("score")
 def q_score(spark, sf):
-    """Batch scoring of the whole table with the best model: probability,
-    decision, band, gauge and the snapshot's risk-factor rules."""
-    from ..models.score import score
-    from ..operators.features import fit_feature_params
+    """Batch scoring of the whole table with the best model, loaded from its
+    saved pipeline: probability, decision, band, gauge and the snapshot's
+    risk-factor rules."""
+    from ..models.score import decided
+    from ..sources.results import load_model
     from .q_prep import snapshot_risk_rules
 
-    models, train = trained(spark, sf)[:2]
-    comp = M.comparison(model_predictions(spark, sf))
-    best = M.best_model(comp, "f1_score", list(models)).first()["model"]
-    spec = fit_feature_params(train, SPEC)  # median from training rows only
-    base = split_rows(spark, sf).select(*S.SNAPSHOT_COLUMNS)
-    out = score(models[best].model, base, spec, snapshot_risk_rules())
+    model = load_model(saved_pipeline(spark, sf, best_fitted(spark, sf)))
+    out = decided(model.transform(clean(spark, sf)), snapshot_risk_rules())
     return out.withColumn("risk_factors", F.concat_ws("; ", "risk_factors"))
 
 
@@ -640,36 +717,30 @@ def q_load_results(spark, sf):
 
 @query("sink_model")
 def q_sink_model(spark, sf):
-    """Save every fitted pipeline, load it back, and check it scores the
-    test split exactly as before (max |probability difference|)."""
-    from pyspark.ml import PipelineModel
+    """Save every fitted pipeline, load it back, and compare how it scores
+    all rows with the fitted model (max |probability difference|)."""
     from pyspark.ml.functions import vector_to_array
 
-    models, _, _, test, _ = trained(spark, sf)
-    rows = []
-    for name, r in models.items():
-        path = shared_path(spark, "models", name.replace(" ", "_"))
-        r.model.write().overwrite().save(path)
-        back = PipelineModel.load(path)
-        a = r.model.transform(test).select("customerID", vector_to_array("probability")[1].alias("p1"))
-        b = back.transform(test).select("customerID", vector_to_array("probability")[1].alias("p2"))
-        d = a.join(b, "customerID").agg(F.max(F.abs(F.col("p1") - F.col("p2")))).first()[0]
-        rows.append((name, len(back.stages), float(d)))
-    return spark.createDataFrame(rows, "model string, n_stages int, max_abs_diff double")
+    from ..sources.results import load_model
+
+    def table(r):
+        back = load_model(saved_pipeline(spark, sf, r))
+        a = r.model.transform(split_rows(spark, sf)).select("customerID", vector_to_array("probability")[1].alias("p1"))
+        b = back.transform(clean(spark, sf)).select("customerID", vector_to_array("probability")[1].alias("p2"))
+        return a.join(b, "customerID").agg(F.lit(len(back.stages)).alias("n_stages"), F.count("*").alias("n_rows"), F.max(F.abs(F.col("p1") - F.col("p2"))).alias("max_abs_diff"))
+
+    return by_model(trained(spark, sf), table)
 
 
 @query("src_model")
 def q_src_model(spark, sf):
-    """Load a saved model (absent path -> no model) and score with it."""
+    """Load every saved pipeline (absent path -> no model) and score the
+    whole table with it."""
     from ..sources.results import load_model
 
-    models, _, _, test, _ = trained(spark, sf)
-    path = shared_path(spark, "models", "lr")
-    models["Logistic Regression"].model.write().overwrite().save(path)
-    model = load_model(path)
-    missing = load_model(shared_path(spark, "models", "absent"))
-    assert missing is None
-    return model.transform(test).select("customerID", "prediction")
+    if load_model(shared_path(spark, "models", "absent")) is not None:
+        raise RuntimeError("a model was loaded where none is saved")
+    return by_model(trained(spark, sf), lambda r: load_model(saved_pipeline(spark, sf, r)).transform(clean(spark, sf)).select("customerID", "prediction"))
 
 
 @query("src_app", with_base("SELECT * FROM snap"))
@@ -810,18 +881,15 @@ def q_score_stream(spark, sf):
     scored rows are read from the files that the stream wrote."""
     import uuid
 
-    from ..operators.features import fit_feature_params
+    from ..sources.results import load_model
     from ..streaming.score_stream import score_stream, stream_path
     from .q_prep import snapshot_risk_rules
 
-    models, train = trained(spark, sf)[:2]
-    comp = M.comparison(model_predictions(spark, sf))
-    best = M.best_model(comp, "f1_score", list(models)).first()["model"]
-    spec = fit_feature_params(train, SPEC)
+    model = load_model(saved_pipeline(spark, sf, best_fitted(spark, sf)))
     src = shared_path(spark, "stream-in")
-    split_rows(spark, sf).select(*S.SNAPSHOT_COLUMNS).write.mode("overwrite").parquet(src)
+    clean(spark, sf).write.mode("overwrite").parquet(src)
     schema = spark.read.parquet(src).schema
     name = f"attrix_scores_{uuid.uuid4().hex[:12]}"
-    q = score_stream(spark, models[best].model, src, schema, spec, query_name=name, rules=snapshot_risk_rules())
+    q = score_stream(spark, model, src, schema, query_name=name, rules=snapshot_risk_rules())
     q.awaitTermination()
     return spark.read.parquet(f"{stream_path(spark, name)}/out").withColumn("risk_factors", F.concat_ws("; ", "risk_factors"))

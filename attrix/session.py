@@ -4,10 +4,11 @@ shared folder that cluster jobs write intermediate tables to."""
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
@@ -67,3 +68,23 @@ def default_parallelism(spark: SparkSession) -> int:
         return max(1, int(spark.sparkContext.defaultParallelism))
     except Exception:  # Spark Connect has no SparkContext
         return int(os.environ.get("ATTRIX_PARALLELISM", "8"))
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors, as ``--py-files`` would, once
+    per application: functions inside tasks import it."""
+    sc = spark.sparkContext
+    if getattr(sc, "_attrix_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    folder = tempfile.mkdtemp(prefix="attrix-py-")
+    sc.addPyFile(shutil.make_archive(os.path.join(folder, "attrix"), "zip", os.path.dirname(root), os.path.basename(root)))
+    sc._attrix_shipped = True
+
+
+def saved(df: DataFrame, *name: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: what follows
+    neither recomputes it nor depends on the executors that made it."""
+    path = shared_path(df.sparkSession, *name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -10,70 +10,36 @@ from attrix.models import train as T
 from attrix.plans import q_models as Q
 
 
-class Rows:
-    def where(self, _):
-        return self
+def test_searches_are_whole_by_default():
+    whole = {name: {n: p.default for n, p in inspect.signature(getattr(T, name)).parameters.items()} for name in ("search_lr", "search_rf", "search_gbt")}
+    assert whole["search_lr"]["c_grid"] == K.LR_C_GRID and len(K.LR_C_GRID) == 6
+    assert whole["search_rf"]["n_iter"] == 20 and whole["search_rf"]["space"] == K.RF_SPACE
+    assert whole["search_gbt"]["n_iter"] == 50 and whole["search_gbt"]["space"] == K.GBT_SPACE
+    assert all(w["folds"] == K.CV_FOLDS == 5 for w in whole.values())
+    assert set(K.GBT_SPACE) == {"n_estimators", "max_depth", "learning_rate", "subsample", "colsample_bytree", "min_child_weight", "gamma", "reg_alpha", "reg_lambda"}
 
 
-def test_registered_searches_are_whole(spark, monkeypatch):
-    seen = {}
-    kept = {"Logistic Regression": "lr"}
-
-    def search(name):
-        whole = {n: p.default for n, p in inspect.signature(getattr(T, name)).parameters.items()}
-
-        def fit(*args, **given):
-            seen[name] = {n: given.get(n, whole[n]) for n in ("n_iter", "folds", "space")}
-
-        return fit
+def test_registered_queries_ask_for_the_defaults(spark, monkeypatch):
+    asked = {}
 
-    class Data(Rows):
-        def withColumn(self, *_):  # noqa: N802
+    class Rows:
+        def where(self, _):
             return self
 
-        def select(self, *_):
-            return self
+    def search(name):
+        return lambda *args, **given: asked.update({name: given})
 
-    for name in ("train_rf", "train_gbt"):
+    for name in ("search_lr", "search_rf", "search_gbt"):
         monkeypatch.setattr(T, name, search(name))
-    monkeypatch.setattr(T.E, "fit_encoding", lambda *a, **k: None)
-    monkeypatch.setattr(T.E, "encode", lambda df, enc: df)
-    monkeypatch.setattr(T, "prepare", lambda *a, folds=K.CV_FOLDS, **k: seen.update(prepared=folds) or Data())
-    monkeypatch.setattr(T, "scale_pos_weight", lambda data: {0: 1.0, 1: 1.0})
-    monkeypatch.setattr(Q, "split_rows", lambda *a: Data())
-    monkeypatch.setattr(Q, "model_roles", lambda df: Q.E.Roles([], [], "id"))
-    monkeypatch.setattr(Q, "trained_lr", lambda *a: kept["Logistic Regression"])
+    monkeypatch.setattr(T, "folded", lambda rows, roles, **given: asked.update(folded=given) or rows)
+    monkeypatch.setattr(Q, "split_rows", lambda *a: Rows())
+    monkeypatch.setattr(Q, "model_roles", lambda df: None)
     monkeypatch.setattr(Q, "_once", lambda _spark, _key, make: make())
-    Q.trained(spark, "nowhere")
-    assert seen["prepared"] == K.CV_FOLDS == 5
-    assert seen["train_rf"] == {"n_iter": 20, "folds": 5, "space": K.RF_SPACE}
-    assert seen["train_gbt"] == {"n_iter": 50, "folds": 5, "space": K.GBT_SPACE}
+    for fit in (Q.trained_lr, Q.trained_rf, Q.trained_gbt):
+        fit(spark, "nowhere")
+    assert asked == {"folded": {}, "search_lr": {}, "search_rf": {}, "search_gbt": {}}
 
 
 def test_command_line_has_no_small_search():
     with pytest.raises(SystemExit):
         main(["run", "--sf-dir", "nowhere", "--quick"])
-
-
-def test_equal_points_share_a_fit(monkeypatch):
-    class P:
-        name = "numTrees"
-
-    class Fitted:
-        bestModel, avgMetrics = "model", [0.5, 0.7]  # noqa: N815
-
-    asked = {}
-
-    class CV:
-        def __init__(self, **given):
-            asked.update(given)
-
-        def fit(self, data):
-            return Fitted
-
-    monkeypatch.setattr(T, "CrossValidator", CV)
-    monkeypatch.setattr(T, "f1_evaluator", lambda: None)
-    p = P()
-    model, params, best, table = T._search(None, [{p: 1}, {p: 1}, {p: 2}], None, 5, 1, 0)
-    assert asked["estimatorParamMaps"] == [{p: 1}, {p: 2}]
-    assert (model, params, best) == ("model", {"numTrees": 2}, 0.7) and [m for _, m in table] == [0.5, 0.5, 0.7]

@@ -17,7 +17,7 @@ SF = "/root/testdata/sf0.001"
 def test_stream_scoring_matches_batch(spark):
     from pyspark.ml import PipelineModel
 
-    from attrix.models.score import score
+    from attrix.models.score import artefact, score
     from attrix.operators.features import add_features
 
     base = snapshot_cached(spark, SF)
@@ -34,7 +34,7 @@ def test_stream_scoring_matches_batch(spark):
     name = "scored_" + os.path.basename(src)
 
     def scored():
-        score_stream(spark, model, src + "/in", raw.schema, spec, query_name=name).awaitTermination()
+        score_stream(spark, artefact(model, spec), src + "/in", raw.schema, query_name=name).awaitTermination()
         return spark.read.parquet(stream_path(spark, name) + "/out")
 
     streamed = scored()
