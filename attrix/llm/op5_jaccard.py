@@ -44,6 +44,7 @@ from .common import keyed, saved
 from .graph import components
 
 HOT_ELEMENTS = 1 << 18  # most elements of the broadcast order (12 bytes each)
+COUNTED = 1 << 20  # elements that a task counts at once
 LIGHT_MOST = 16  # sizes considered for the boundary
 BROADCAST_KEYS = 1 << 20  # most document keys (8 bytes each) sent to the scan in place of a shuffle of the texts
 BRIDGES = 8  # shuffled orders of a list, in which neighbours are compared
@@ -82,32 +83,39 @@ def set_block(raw, offsets, size):
 
 
 def frequent(docs: DataFrame, size: int, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Counts of the elements that repeat inside a batch, and the cost
-    figures of small sets, both added up over all documents."""
+    """Counts of the elements that repeat among some ``COUNTED`` elements of
+    a task, and the cost figures of small sets, both added up over all
+    documents."""
+
+    def counted(values: list[np.ndarray], sizes: list[np.ndarray]) -> pa.RecordBatch:
+        value, n = np.concatenate(values), np.concatenate(sizes)
+        every, at, count = np.unique(value, return_inverse=True, return_counts=True)
+        often = count > 1
+        small = np.flatnonzero((n > 0) & (n <= LIGHT_MOST))
+        ends = np.cumsum(n)
+        scan = {}
+        for i in small:
+            own = np.sort(count[at[ends[i] - n[i] : ends[i]]])
+            look = int(prefixes(n[i], percent)[0])
+            scan.setdefault(int(n[i]), []).append(int(own[:look].sum()))
+        out_id = np.concatenate([every[often].view(np.int64), np.array(list(scan), np.int64)])
+        out_n = np.concatenate([count[often], np.array([sum(x) for x in scan.values()], np.int64)])
+        sets = np.concatenate([np.zeros(often.sum(), np.int64), np.array([len(x) for x in scan.values()], np.int64)])
+        return pa.RecordBatch.from_arrays([pa.array(out_id), pa.array(out_n.astype(np.int64)), pa.array(sets)], names=["id", "n", "sets"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        values, sizes, held = [], [], 0
         for batch in batches:
-            values, sizes = [], []
             for _, _, raw, offsets in K.text_blocks(batch.column(0)):
                 _, value, n, _ = set_block(raw, offsets, size)
                 values.append(value)
                 sizes.append(n)
-            if not values:
-                continue
-            value, n = np.concatenate(values), np.concatenate(sizes)
-            every, at, count = np.unique(value, return_inverse=True, return_counts=True)
-            often = count > 1
-            small = np.flatnonzero((n > 0) & (n <= LIGHT_MOST))
-            ends = np.cumsum(n)
-            scan = {}
-            for i in small:
-                own = np.sort(count[at[ends[i] - n[i] : ends[i]]])
-                look = int(prefixes(n[i], percent)[0])
-                scan.setdefault(int(n[i]), []).append(int(own[:look].sum()))
-            out_id = np.concatenate([every[often].view(np.int64), np.array(list(scan), np.int64)])
-            out_n = np.concatenate([count[often], np.array([sum(x) for x in scan.values()], np.int64)])
-            sets = np.concatenate([np.zeros(often.sum(), np.int64), np.array([len(x) for x in scan.values()], np.int64)])
-            yield pa.RecordBatch.from_arrays([pa.array(out_id), pa.array(out_n.astype(np.int64)), pa.array(sets)], names=["id", "n", "sets"])
+                held += len(value)
+                if held >= COUNTED:
+                    yield counted(values, sizes)
+                    values, sizes, held = [], [], 0
+        if values:
+            yield counted(values, sizes)
 
     found = docs.select("text").mapInArrow(run, "id long, n long, sets long")
     summed = saved(found.groupBy("id", (F.col("sets") > 0).alias("cost")).agg(F.sum("n").alias("n"), F.sum("sets").alias("sets")), "frequent")
