@@ -16,10 +16,11 @@ def col_(c: str | Column) -> Column:
 
 
 def to_number(c: str | Column, to: str = "double") -> Column:
-    """Blank-tolerant numeric conversion: ' ' and unparsable text become
-    NULL (ANSI ``cast`` would raise, ``try_cast`` does not)."""
+    """Blank-tolerant numeric conversion: ' ', unparsable text and NaN
+    become NULL (ANSI ``cast`` would raise, ``try_cast`` does not)."""
     c = col_(c)
-    return F.when(F.trim(c.cast("string")) == "", F.lit(None)).otherwise(c).try_cast(to)
+    number = F.when(F.trim(c.cast("string")) == "", F.lit(None)).otherwise(c).try_cast(to)
+    return F.when(~F.isnan(number.cast("double")), number)
 
 
 def map_score(c: str | Column, mapping: Mapping[str, int], default: int = K.UNMAPPED_RISK) -> Column:
@@ -168,21 +169,22 @@ def rounding_rule(name: str) -> str:
     if any(w in n for w in _RATE_WORDS):
         return "2dp"
     if any(w in n for w in _P_WORDS):
-        return "keep"  # scientific strings are display; keep the number
+        return "p"
     if any(w in n for w in _STAT_WORDS):
         return "2dp"
     return "magnitude"
 
 
 def round_by_rule(name: str, c: Column | None = None) -> Column:
-    """Rate/pct 2 dp; p-values untouched; chi2/F/V/MI 2 dp; other numbers
-    2 dp below 1000 in magnitude, else 1 dp."""
+    """Rate/pct 2 dp; p-values 4 dp, below 0.0001 five significant digits
+    (the number that the scientific notation shows); chi2/F/V/MI 2 dp; other
+    numbers 2 dp below 1000 in magnitude, else 1 dp."""
     c = F.col(name) if c is None else c
     rule = rounding_rule(name)
     if rule == "2dp":
         return F.round(c, 2)
-    if rule == "keep":
-        return c
+    if rule == "p":
+        return F.when(c < 0.0001, F.format_string("%.4e", c).cast("double")).otherwise(F.round(c, 4))
     return F.when(F.abs(c) < 1000, F.round(c, 2)).otherwise(F.round(c, 1))
 
 

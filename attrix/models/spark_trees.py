@@ -56,14 +56,14 @@ def load(nodes: DataFrame, kind: str, width: int, max_depth: int = 30):
     n_trees = nodes.agg(F.max("tree")).first()[0] + 1
     whole, one = _STAGE[kind]
 
-    def metadata(name: str, **more) -> str:
+    def metadata(name: str, given: dict | None = None, **more) -> str:
         params = {"maxDepth": min(max_depth, 30), "impurity": "gini" if kind == "forest" else "variance", "featuresCol": "features", "labelCol": "label", "predictionCol": "prediction"}
         if "classification" in name:
             params |= {"probabilityCol": "probability", "rawPredictionCol": "rawPrediction"}
-        return json.dumps({"class": name, "timestamp": 0, "sparkVersion": spark.version, "uid": f"{kind}_{uuid.uuid4().hex[:12]}", "paramMap": {}, "defaultParamMap": params, **more})
+        return json.dumps({"class": name, "timestamp": 0, "sparkVersion": spark.version, "uid": f"{kind}_{uuid.uuid4().hex[:12]}", "paramMap": given or {}, "defaultParamMap": params, **more})
 
     extra = {"numFeatures": width, "numTrees": n_trees, **({"numClasses": 2} if kind == "forest" else {})}
-    spark.createDataFrame([(metadata(whole, **extra),)], "value string").coalesce(1).write.text(f"{path}/metadata")
+    spark.createDataFrame([(metadata(whole, {"numTrees" if kind == "forest" else "maxIter": n_trees}, **extra),)], "value string").coalesce(1).write.text(f"{path}/metadata")
     trees = [(t, metadata(one, numFeatures=width, numClasses=2) if kind == "forest" else metadata(one, numFeatures=width), tree_weight) for t in range(n_trees)]
     spark.createDataFrame(trees, "_1 int, _2 string, _3 double").coalesce(1).write.parquet(f"{path}/treesMetadata")
     return (RandomForestClassificationModel if kind == "forest" else GBTClassificationModel).load(path)

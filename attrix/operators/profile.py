@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -23,17 +23,17 @@ def numeric_long(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -
 
 
 def overview(df: DataFrame) -> DataFrame:
-    """Rows, columns, duplicate rows (all columns), missing cells."""
+    """Rows, columns, duplicate rows (all columns), missing cells. Rows are
+    compared by 128-bit digests, so that no whole row is shuffled."""
+    digest = F.md5(F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns])))
     facts = df.agg(
         F.count(F.lit(1)).alias("n"),
-        F.sum(sum(F.col(c).isNull().cast("long") for c in df.columns)).alias("nulls"),
+        F.count_distinct(digest).alias("different"),
+        F.sum(sum(F.col(f"`{c}`").isNull().cast("long") for c in df.columns)).alias("nulls"),
     ).first()
-    n, nulls = facts["n"], facts["nulls"] or 0
-    distinct = df.distinct().count()  # duplicates: one full-row aggregate
-    spark = df.sparkSession
-    return spark.createDataFrame(
-        [("Total Rows", n), ("Total Columns", len(df.columns)), ("Duplicate Rows", n - distinct),
-         ("Missing Values (Total)", int(nulls))],
+    return df.sparkSession.createDataFrame(
+        [("Total Rows", facts["n"]), ("Total Columns", len(df.columns)), ("Duplicate Rows", facts["n"] - facts["different"]),
+         ("Missing Values (Total)", int(facts["nulls"] or 0))],
         "Metric string, Value long",
     )
 
@@ -60,39 +60,23 @@ def blank_counts(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
 
 
 def types_report(df: DataFrame, sample: int = 3) -> DataFrame:
-    """Per column: type, distinct count and its ``sample`` smallest values.
-    Distinct counts come from one unpivoted groupBy (two-phase, no single
-    task). The smallest values come from ``sample`` global-min passes over
-    all columns at once (each pass: the minimum above the previous one), so
-    no column is shuffled for them."""
-    cols = df.columns
-    arr = F.array(*[F.struct(F.lit(c).alias("Column"), F.col(c).cast("string").alias("v")) for c in cols])
-    distinct = df.select(F.inline(arr)).where(F.col("v").isNotNull()).groupBy("Column").agg(
-        F.count_distinct("v").alias("Unique_Values")
-    )
-    picked: dict[str, list] = {c: [] for c in cols}
-    for _ in range(sample):
-        aggs = []
-        for i, c in enumerate(cols):
-            prev = picked[c][-1] if picked[c] else None
-            x = F.col(c) if prev is None else F.when(F.col(c) > F.lit(prev), F.col(c))
-            aggs.append(F.min(x).alias(f"m{i}"))
-        row = df.agg(*aggs).first()
-        for i, c in enumerate(cols):
-            if row[f"m{i}"] is not None and (not picked[c] or row[f"m{i}"] != picked[c][-1]):
-                picked[c].append(row[f"m{i}"])
-    spark = df.sparkSession
-    # the values are rendered by Spark's casts; one row per column
-    rows = []
-    for i, c in enumerate(cols):
-        lits = [F.lit(v).cast(df.schema[c].dataType).cast("string") for v in picked[c]]
-        rows.append(F.struct(F.lit(c).alias("Column"), F.lit(df.schema[c].dataType.simpleString()).alias("Data_Type"),
-                             F.array_join(F.array(*lits), ", ").alias("Sample_Values") if lits
-                             else F.lit(None).cast("string").alias("Sample_Values")))
-    info = spark.range(1).select(F.inline(F.array(*rows)))
+    """Per column: type, distinct count and its ``sample`` smallest values,
+    both from the distinct (column, value) pairs of one unpivoted pass.
+    Every task keeps a column's smallest values only, so none is gathered."""
+    fields = df.schema.fields
+    numeric = {f.name for f in fields if isinstance(f.dataType, T.NumericType)}
+    arr = F.array(*[F.struct(
+        F.lit(f.name).alias("Column"), F.col(f"`{f.name}`").cast("string").alias("v"),
+        (F.col(f"`{f.name}`").cast("double") if f.name in numeric else F.lit(None).cast("double")).alias("x")) for f in fields])
+    pairs = df.select(F.inline(arr)).where(F.col("v").isNotNull()).distinct()
+    counts = pairs.groupBy("Column").agg(F.count(F.lit(1)).alias("Unique_Values"))
+    nth = F.row_number().over(Window.partitionBy("Column").orderBy(F.col("x").asc_nulls_first(), "v"))
+    least = pairs.withColumn("nth", nth).where(F.col("nth") <= sample).groupBy("Column").agg(F.array_sort(F.collect_list(F.struct("nth", "v"))).alias("s"))
+    least = least.select("Column", F.array_join(F.col("s.v"), ", ").alias("Sample_Values"))
+    info = df.sparkSession.createDataFrame([(f.name, f.dataType.simpleString()) for f in fields], "Column string, Data_Type string")
     # left: a column without any value keeps its row
     unique = F.coalesce("Unique_Values", F.lit(0)).cast("long").alias("Unique_Values")
-    return info.join(distinct, "Column", "left").select("Column", "Data_Type", unique, "Sample_Values")
+    return info.join(counts, "Column", "left").join(least, "Column", "left").select("Column", "Data_Type", unique, "Sample_Values")
 
 
 def describe(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -124,8 +108,9 @@ def outliers_iqr(df: DataFrame, cols: Sequence[str], k: float = 1.5) -> DataFram
         (F.col("q1") - k * (F.col("q3") - F.col("q1"))).alias("Lower_Bound"),
         (F.col("q3") + k * (F.col("q3") - F.col("q1"))).alias("Upper_Bound"),
     )
-    # bounds: one row per column -> size-bounded broadcast
-    counted = long.join(F.broadcast(bounds), "Feature").groupBy("Feature", "Lower_Bound", "Upper_Bound").agg(
+    # a row per column, also for those without any value
+    every = df.sparkSession.createDataFrame([(c,) for c in cols], "Feature string").join(bounds, "Feature", "left")
+    counted = long.join(F.broadcast(every), "Feature").groupBy("Feature", "Lower_Bound", "Upper_Bound").agg(
         F.count_if((F.col("x") < F.col("Lower_Bound")) | (F.col("x") > F.col("Upper_Bound"))).alias("Outlier_Count"),
         F.count(F.lit(1)).alias("_n"),
         F.min("x").alias("Min_Value"),

@@ -27,6 +27,8 @@ from pyspark.sql import functions as F
 
 MAX_BUCKETS = 1000  # of a group; the sketch behind the edges has a fixed size
 SKETCH_ACCURACY = 10_000
+MAX_GROUPS = 200  # whose edges are broadcast
+BLOCK = 32  # edges compared at once
 
 
 def _same(left: DataFrame, right: DataFrame, cols: Sequence[str]) -> list[Column]:
@@ -46,14 +48,23 @@ def with_bucket(df: DataFrame, order_col: str, by: Sequence[str], buckets: int)
         return df.withColumn("_bucket", F.lit(0))
     sketch = F.percentile_approx(finite, probs, SKETCH_ACCURACY)
     if by:
-        edges = _renamed(df.groupBy(*by).agg(sketch.alias("_edges")), by)
+        edges = df.groupBy(*by).agg(sketch.alias("_edges"))
+        few = edges.limit(MAX_GROUPS + 1).collect()
+        if len(few) <= MAX_GROUPS:  # at most MAX_GROUPS * MAX_BUCKETS numbers; else the rows go to their group's edges
+            edges = F.broadcast(df.sparkSession.createDataFrame(few, edges.schema))
+        edges = _renamed(edges, by)
         df_e = df.join(edges, _same(df, edges, by)).drop(*["_r_" + c for c in by])
     else:
         found = df.agg(sketch.alias("e")).first()["e"]  # at most MAX_BUCKETS numbers
         df_e = df.withColumn("_edges", F.lit(found or []).cast("array<double>"))
-    inside = F.coalesce(F.size(F.filter("_edges", lambda e: e <= x)), F.lit(0))
+    # the block of edges first, then the place in it
+    last = F.transform(F.sequence(F.lit(BLOCK), F.size("_edges"), F.lit(BLOCK)), lambda i: F.element_at("_edges", i.cast("int")))
+    last = F.when(F.size("_edges") >= BLOCK, last).otherwise(F.array().cast("array<double>"))
+    df_e = df_e.withColumn("_last", last)
+    block = F.size(F.filter("_last", lambda e: e <= x)) * BLOCK
+    inside = F.coalesce(block + F.size(F.filter(F.slice("_edges", block + 1, F.lit(BLOCK)), lambda e: e <= x)), F.lit(0))
     bucket = F.when(x.isNull(), F.lit(-1)).when(F.isnan(x), F.lit(buckets)).otherwise(inside)
-    return df_e.withColumn("_bucket", bucket).drop("_edges")
+    return df_e.withColumn("_bucket", bucket).drop("_edges", "_last")
 
 
 def running_sum(

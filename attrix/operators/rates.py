@@ -268,9 +268,10 @@ def nonlinear_bins(df: DataFrame, label: str, cols: Sequence[str], n_edges: int
     ext = df.agg(*[F.min(c).alias(f"lo_{i}") for i, c in enumerate(cols)],
                  *[F.max(c).alias(f"hi_{i}") for i, c in enumerate(cols)]).first()
     spark = df.sparkSession
+    # a column without any value keeps its bins, without edges
     edges = {
-        c: linspace(float(ext[f"lo_{i}"]), float(ext[f"hi_{i}"]), n_edges)
-        for i, c in enumerate(cols) if ext[f"lo_{i}"] is not None
+        c: linspace(float(ext[f"lo_{i}"]), float(ext[f"hi_{i}"]), n_edges) if ext[f"lo_{i}"] is not None else [None] * n_edges
+        for i, c in enumerate(cols)
     }
     # one row per (column, bin): the output grid, size-bounded
     grid = spark.createDataFrame(

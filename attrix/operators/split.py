@@ -1,8 +1,7 @@
 """Repeatable stratified splits and seeded samples.
 
-Rows are ordered inside each label by a seeded integer hash of the key
-(a two-round multiplicative mix modulo the prime 2^31-1, exact in 64-bit
-integers, so SQL engines reproduce it). Each label then sends its first
+Rows are ordered inside each label by a seeded hash of the key (digits of
+an md5, which SQL engines reproduce). Each label then sends its first
 ceil(test%) rows to test, the next share to validation, the rest to
 train: exact per-class shares, as a stratified shuffle split gives.
 
@@ -18,25 +17,16 @@ from pyspark.sql import functions as F
 from ..functions import constants as K
 from .ranking import running_sum
 
-PRIME = 2147483647  # 2^31 - 1
-MUL1, ADD1 = 48271, 11
-MUL2, ADD2 = 69621, 17
-
-
 def seeded_hash(key: str | Column, seed: int = K.SEED) -> Column:
-    """Integral keys go straight into the mix (reproducible in SQL); other
-    keys (e.g. text ids) are first mapped to 64 bits with ``xxhash64``."""
+    """The first 52 bits of md5('seed:key') as a long: keys of any type,
+    another order for every seed, the same in any SQL engine."""
     k = F.col(key) if isinstance(key, str) else key
-    as_long = k.try_cast("long")
-    k = F.pmod(F.coalesce(as_long, F.xxhash64(k)), F.lit(PRIME))
-    h1 = F.pmod((k + F.lit(seed)) * F.lit(MUL1) + F.lit(ADD1), F.lit(PRIME))
-    return F.pmod(h1 * F.lit(MUL2) + F.lit(ADD2 + seed), F.lit(PRIME))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(k.cast("string"), F.lit(""))))
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("long")
 
 
 def seeded_hash_sql(key: str, seed: int = K.SEED) -> str:
-    k = f"(({key} % {PRIME}) + {PRIME}) % {PRIME}"
-    h1 = f"((({k}) + {seed}) * {MUL1} + {ADD1}) % {PRIME}"
-    return f"((({h1}) * {MUL2} + {ADD2 + seed}) % {PRIME})"
+    return f"CAST(('0x' || md5('{seed}:' || CAST({key} AS VARCHAR))[1:13]) AS BIGINT)"
 
 
 def stratified_split(

@@ -28,3 +28,5 @@ def query(name: str, sql: str | None = None):
 def load_all() -> None:
     # importing the modules registers their queries
     from . import q_eda, q_models, q_prep, q_stats  # noqa: F401
+
+    ORACLE.setdefault("run_eda", q_eda.run_eda_sql(ORACLE))

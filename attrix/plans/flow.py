@@ -25,7 +25,7 @@ from ..operators import metrics as M
 from ..operators import split as SP
 from ..operators import stats as ST
 from ..sources.results import write_results
-from .eda import run_eda
+from .eda import SNAPSHOT, EdaColumns, run_eda
 
 
 def predictions(models: dict, data: DataFrame, key: str, label: str, positive="Yes") -> DataFrame:
@@ -59,14 +59,13 @@ def run(
     key: str = "customerID",
     label: str = "Churn",
     searches: dict | None = None,
-    eda_sf_dir: str | None = None,
+    eda: EdaColumns | None = None,
 ) -> dict:
     """Run everything on ``raw`` (a customer table with text totals) and
     write the result tables to ``out``. Returns a small summary dict."""
     spec = spec or FE.FeatureSpec()
     summary: dict = {}
-    if eda_sf_dir:
-        write_results({f"eda_{k}": v for k, v in run_eda(spark, eda_sf_dir, label).items()}, out)
+    write_results({f"eda_{k}": v for k, v in run_eda(raw, eda or EdaColumns(label=label, key=key)).items()}, out)
 
     cleaned = CL.clean_table(raw, id_col=None).cache()
     split = SP.stratified_split(cleaned, label, key, test_pct=20, val_pct=20).cache()
@@ -157,7 +156,7 @@ def snapshot_run(spark: SparkSession, sf_dir: str, out: str, searches: dict | No
     """``run`` on the TPC-H-derived snapshot with its parameters."""
     from ..sources.snapshot import customer_snapshot
 
-    return run(spark, customer_snapshot(spark, sf_dir), out, FE.snapshot_spec(), searches=searches, eda_sf_dir=sf_dir)
+    return run(spark, customer_snapshot(spark, sf_dir), out, FE.snapshot_spec(), searches=searches, eda=SNAPSHOT)
 
 
 def csv_run(spark: SparkSession, path: str, out: str, searches: dict | None = None) -> dict:

@@ -496,38 +496,53 @@ def q_eda_summary(spark, sf):
     return eda_summary(raw(spark, sf), "Churn", "TotalCharges")
 
 
-def _run_eda_sql() -> str:
-    nulls = " + ".join(
-        f"(CASE WHEN count(*) FILTER (WHERE {c} IS NULL) > 0 THEN 1 ELSE 0 END)" for c in S.SNAPSHOT_COLUMNS
-    )
-    text_cols = ["Region", "Contract", "PaymentMethod", "InternetService", *K.SUPPORT_SERVICES]
-    parts = {
-        "overview": "4",
-        "missing": f"(SELECT {nulls} FROM clean0)",
-        "types": str(len(S.SNAPSHOT_COLUMNS)),
-        "churn_distribution": "(SELECT count(DISTINCT Churn) FROM snap)",
-        "numerical_stats": str(len(NUMS)),
-        "outliers": str(len(NUMS)),
-        "correlations": str((len(NUMS) + 1) ** 2),
-        "categorical_distributions": f"(SELECT count(*) FROM (SELECT DISTINCT Feature, Category FROM ({unpivot_sql('clean0', CATS)}) WHERE Category IS NOT NULL))",
-        "churn_rates": "(SELECT count(*) FROM rates)",
-        "hypotheses": "4",
-        "distribution_comparison": str(len(NUMS)),
-        "feature_interactions": "(SELECT count(*) FROM inter)",
-        "riskiest_profiles": "(SELECT least(20, count(*)) FROM pg)",
-        "bivariate_analysis": "(SELECT count(*) FROM bfull)",
-        "nonlinear_relationships": str(len(NUMS) * 9),
-        "preliminary_importance": str(len(NUMS) + len(text_cols)),
-        "summary": "9",
-    }
-    return " UNION ALL ".join(f"SELECT '{k}' AS table, CAST({v} AS BIGINT) AS n_rows" for k, v in parts.items())
-
-
-@query("run_eda", with_base(_run_eda_sql(), ",".join([RATES_CTE, INTER_CTE, PROFILE_CTE, BIV_CTE])))
+#: of each exploratory table: the query whose rows it has, the columns that
+#: name a row, and those that hold numbers
+EDA_TABLES = {
+    "overview": ("profile_summary", ["Metric"], ["Value"]),
+    "missing": ("profile_missing", ["Column"], ["Missing_Count", "Missing_Percentage"]),
+    "types": ("profile_types", ["Column", "Data_Type", "Sample_Values"], ["Unique_Values"]),
+    "churn_distribution": ("target_dist", ["Churn_Status"], ["Count", "Percentage"]),
+    "numerical_stats": ("describe", ["Feature"], ["count", "mean", "std", "min", "q25", "q50", "q75", "max"]),
+    "outliers": ("outliers_iqr", ["Feature"], ["Lower_Bound", "Upper_Bound", "Outlier_Count", "Outlier_Percentage", "Min_Value", "Max_Value"]),
+    "correlations": ("corr_matrix", ["Feature_1", "Feature_2"], ["Correlation"]),
+    "categorical_distributions": ("cat_dist", ["Feature", "Category"], ["Count", "Percentage"]),
+    "churn_rates": ("rate_by_category", ["Feature", "Category"], ["Total_Count", "Churn_Count", "Churn_Rate_Percentage"]),
+    "hypothesis_1": ("h1_chi2", [], ["Group_A_Rate", "Group_B_Rate", "Chi2_Statistic"]),
+    "hypothesis_4": ("h4_chi2", [], ["Group_A_Rate", "Group_B_Rate", "Chi2_Statistic"]),
+    "distribution_comparison": ("dist_by_label", ["Feature"], ["Churn_Mean", "No_Churn_Mean", "Churn_Median", "No_Churn_Median", "Churn_Q1", "Churn_Q3", "No_Churn_Q1", "No_Churn_Q3", "KS_Statistic", "MannWhitney_U"]),
+    "feature_interactions": ("interactions", ["Interaction", "Category_1", "Category_2"], ["Sample_Size", "Churn_Rate", "Churn_Count"]),
+    "riskiest_profiles": ("risky_profiles", ["Rank", "Contract", "PaymentMethod", "Risk_Level"], ["Total_Customers", "Churn_Count", "Churn_Rate"]),
+    "bivariate_analysis": ("bivariate", ["Feature_1", "Feature_2", "Category_1", "Category_2"], ["Churn_Rate", "Sample_Size", "Chi2_Statistic", "dof", "Cramers_V"]),
+    "nonlinear_relationships": ("nonlinear_bins", ["Feature", "bin"], ["Bin_Low", "Bin_High", "Bin_Center", "Churn_Rate"]),
+    "preliminary_importance": ("importance_rank", ["Rank", "Feature", "Type"], ["Importance_Score"]),
+    "summary": ("eda_summary", ["Metric"], ["Value"]),
+}
+
+
+def run_eda_sql(oracle: dict[str, str]) -> str:
+    parts = []
+    for table, (name, keys, numbers) in EDA_TABLES.items():
+        row = " || ' | ' || ".join(f"coalesce(CAST(\"{k}\" AS VARCHAR), '')" for k in keys) or "''"
+        values = ", ".join(f"{{'column': '{c}', 'value': round(CAST(\"{c}\" AS DOUBLE), 4)}}" for c in numbers)
+        parts.append(f"SELECT '{table}' AS \"table\", r AS row, v.column AS column, v.value AS value FROM (SELECT {row} AS r, unnest([{values}]) AS v FROM ({oracle[name]}))")
+    return " UNION ALL ".join(parts)
+
+
+@query("run_eda")
 def q_run_eda(spark, sf):
-    """Every exploratory table, built lazily, reported as (table, rows)."""
-    from .eda import run_eda
+    """The contents of all exploratory tables in one long frame."""
+    from .catalog import QUERIES
+    from .eda import SNAPSHOT, long_form, run_eda
+
+    tables = run_eda(raw(spark, sf), SNAPSHOT)
+    out = None
+    for table, (name, keys, numbers) in EDA_TABLES.items():
+        # the library's table, where its query shows it whole and as it is
+        df = tables[table] if table in PLAIN_TABLES else QUERIES[name](spark, sf)
+        part = long_form(table, df, numbers, keys)
+        out = part if out is None else out.unionByName(part)
+    return out
+
 
-    tables = run_eda(spark, sf)
-    rows = [(name, df.count()) for name, df in tables.items()]
-    return spark.createDataFrame(rows, "table string, n_rows long")
+PLAIN_TABLES = {"overview", "missing", "types", "churn_distribution", "numerical_stats", "outliers", "correlations", "feature_interactions", "riskiest_profiles", "summary"}

@@ -649,9 +649,7 @@ def q_defaults(spark, sf):
 def q_home_kpis(spark, sf):
     """Total customers (overview table) and the accuracy of the first row
     of the model comparison (F1 order)."""
-    from ..operators.profile import overview
-
-    total = overview(raw(spark, sf)).where(F.col("Metric") == "Total Rows").select(F.col("Value").alias("total_customers"))
+    total = raw(spark, sf).agg(F.count(F.lit(1)).alias("total_customers"))
     best = M.best_model(M.comparison(formula_long(spark, sf)), "f1_score", MODEL_ORDER).select(F.round("accuracy", 6).alias("best_accuracy"))
     from ..operators.combine import one_row
 
@@ -761,17 +759,24 @@ def _round_sql() -> str:
     def mag(e):
         return f"CASE WHEN abs({e}) < 1000 THEN round({e}, 2) ELSE round({e}, 1) END"
 
+    def p(e):
+        return f"CASE WHEN {e} < 0.0001 THEN CAST(printf('%.4e', {e}) AS DOUBLE) ELSE round({e}, 4) END"
+
     return f"""SELECT Contract, round(avg(CASE WHEN Churn = 'Yes' THEN 1.0 ELSE 0.0 END) * 100, 2) AS churn_rate_pct,
-  {mag('avg(TotalCharges)')} AS avg_total, {mag('avg(tenure)')} AS avg_tenure FROM clean GROUP BY Contract"""
+  {mag('avg(TotalCharges)')} AS avg_total, {mag('avg(tenure)')} AS avg_tenure,
+  {p('avg(MonthlyCharges) / 1e8')} AS small_p_value, {p('1.0 / count(*)')} AS large_p_value FROM clean GROUP BY Contract"""
 
 
 @query("round_table", with_base(_round_sql()))
 def q_round_table(spark, sf):
-    """The table formatter: rate 2 dp; other numbers 2 dp below 1000, else 1 dp."""
+    """The table formatter: rate 2 dp; p-values 4 dp or five significant
+    digits; other numbers 2 dp below 1000, else 1 dp."""
     df = clean(spark, sf).groupBy("Contract").agg(
         (F.avg(is_positive("Churn")) * 100).alias("churn_rate_pct"),
         F.avg("TotalCharges").alias("avg_total"),
         F.avg("tenure").alias("avg_tenure"),
+        (F.avg("MonthlyCharges") / 1e8).alias("small_p_value"),
+        (1 / F.count(F.lit(1))).alias("large_p_value"),
     )
     return C.round_table(df)
 
