@@ -33,6 +33,7 @@ from .common import saved
 SAMPLE = 20_000  # vectors the tree is fitted on
 BRANCH = 8  # children of a node
 LEAF_SAMPLE = 100  # sampled vectors of a leaf, at most
+HUGE = 1e100  # components beyond it are scaled before squaring
 BIN_ROWS = 4096  # indexed rows, and queries, of one search group
 CALIBRATION = 128  # queries answered exactly to set the visits
 RECALL = 0.98  # of their neighbours, to be found by the visits chosen
@@ -59,6 +60,7 @@ def kmeans(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = 12) ->
 
 
 def nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    x = np.clip(x, -HUGE, HUGE)
     return ((centres * centres).sum(axis=1) - 2 * x @ centres.T).argmin(axis=1)
 
 
@@ -67,6 +69,7 @@ class Tree:
 
     def __init__(self, sample: np.ndarray, seed: int = 42):
         rng = np.random.default_rng(seed)
+        sample = np.clip(sample, -HUGE, HUGE)  # places only; distances are those of the vectors
         self.children: list[list[int]] = [[]]
         self.centre: list[np.ndarray] = [sample.mean(axis=0) if len(sample) else np.zeros(sample.shape[1])]
         todo = [(0, sample)]
@@ -102,6 +105,7 @@ class Tree:
 
     def visits(self, q: np.ndarray) -> Iterator[int]:
         """Leaves, best bin first."""
+        q = np.clip(q, -HUGE, HUGE)
         queue = [(0.0, 0)]
         while queue:
             _, n = heapq.heappop(queue)
@@ -119,21 +123,24 @@ def matrix(column) -> np.ndarray:
 
 
 def closest(q_ids: np.ndarray, q: np.ndarray, ids: np.ndarray, x: np.ndarray, k: int):
-    """(query, id, distance) of each query's k nearest rows, ties to the smaller id."""
+    """(query, id, distance) of each query's k nearest rows, ties to the
+    smaller id. Huge components are scaled by a power of two first, so that
+    no square overflows; a distance beyond the doubles is infinite."""
     order = np.argsort(ids, kind="stable")
     ids, x = ids[order], x[order]
+    most = max(np.abs(x).max(initial=0.0), np.abs(q).max(initial=0.0))
+    scale = 2.0 ** np.floor(np.log2(most)) if most > HUGE else 1.0
+    x, q = x / scale, q / scale
     out = []
     for qi, v in zip(q_ids, q):
         d = np.sqrt(((x - v) ** 2).sum(axis=1))
-        d[ids == qi] = np.inf
-        if len(d) > k:
-            edge = np.partition(d, k - 1)[k - 1]
-            near = np.flatnonzero(d <= edge)
-        else:
-            near = np.arange(len(d))
-        near = near[np.isfinite(d[near])]
-        near = near[np.argsort(d[near], kind="stable")][:k]
-        out.append((np.full(len(near), qi), ids[near], d[near]))
+        others = np.flatnonzero(ids != qi)
+        if len(others) > k:
+            edge = np.partition(d[others], k - 1)[k - 1]
+            others = others[d[others] <= edge]
+        near = others[np.argsort(d[others], kind="stable")][:k]
+        with np.errstate(over="ignore"):
+            out.append((np.full(len(near), qi), ids[near], d[near] * scale))
     return [np.concatenate(c) for c in zip(*out)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
 
 
