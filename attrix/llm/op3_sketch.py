@@ -27,6 +27,7 @@ from .common import keyed
 
 K_SMALLEST = 128
 SHINGLE = 5
+RANGE_BYTES = 64 << 20  # of text in a range of documents, about
 
 
 def block_sketches(raw: np.ndarray, offsets: np.ndarray, k: int, size: int) -> list[np.ndarray]:
@@ -110,9 +111,10 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     follow each other by text."""
     spark = docs.sparkSession
     docs, _ = keyed(docs, id_col, text_col)
-    ranges = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cuts = sorted(set(docs.approxQuantile("key", [i / ranges for i in range(1, ranges)], 0.2 / ranges)))
-    splits = [-float("inf"), *cuts, float("inf")]
+    held = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    ranges = max(2 * int(spark.conf.get("spark.sql.shuffle.partitions")), -(-held // RANGE_BYTES))
+    cuts = sorted(set(docs.approxQuantile("key", [i / ranges for i in range(1, ranges)], max(0.2 / ranges, 1e-5))))
+    splits = [-float("inf"), *(cuts or [0.0]), float("inf")]  # an empty table has no quantiles
     ranged = Bucketizer(splits=splits, inputCol="at", outputCol="range").transform(docs.withColumn("at", F.col("key").cast("double")))
     ranged = ranged.select("key", "id", "text", F.col("range").cast("int").alias("range"))
     heads = [(r["key"], r["range"]) for r in ranged.groupBy("range").agg(F.min("key").alias("key")).orderBy("key").collect()]
