@@ -8,11 +8,16 @@ no state is kept between blocks.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 
+try:
+    _LIBC = ctypes.CDLL(None)
+except OSError:
+    _LIBC = None
 U64 = np.uint64
 BLOCK_BYTES = 1 << 21  # bytes of text handled at once; a longer text forms its own block
 _M1, _M2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
@@ -35,6 +40,14 @@ def pair_name(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return mix(a * _C1 + (b ^ (b >> U64(29))) * _C2 + _C3)
 
 
+def give_back() -> None:
+    """Return freed memory to the system: workers live on between tasks, and
+    what one task has freed would add to what the next one takes."""
+    trim = getattr(_LIBC, "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def text_blocks(column, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, row offsets) of consecutive rows of an
     Arrow string column; null texts are empty."""
@@ -55,6 +68,7 @@ def text_blocks(column, max_bytes: int = BLOCK_BYTES) -> Iterator[tuple[int, int
             yield base + i, base + j, raw[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i]
             i = j
         base += n
+    give_back()
 
 
 def names(raw: np.ndarray, length: int) -> np.ndarray:

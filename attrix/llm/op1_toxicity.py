@@ -12,7 +12,8 @@ kept. The models are fitted on at most ``most_labelled`` labelled
 documents (by a hash of the id); every document is scored.
 
 Null and empty texts have no word features and are scored like any other
-text. Documents without an id are scored but can't be labelled. Repeated
+text. Documents without an id are scored but can't be labelled; of several
+texts with one id the smallest is fitted, all are scored. Repeated
 label rows count once (the greatest label), null labels not at all; a
 category without two classes has its share of positives as probability.
 """
@@ -37,6 +38,7 @@ FOLDS = 5
 MOST_FEATURES = 1024  # of each category
 LEAST_DOCUMENTS = 5  # labelled documents that a feature must be in
 PENALTY = 1e-4
+BLOCK_BYTES = 1 << 19  # of text whose features are made at once
 PREFIXES = (4, 5, 6)
 
 _LETTER = np.zeros(256, bool)
@@ -175,7 +177,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, raw, offsets in K.text_blocks(batch.column(1)):
+            for i, j, raw, offsets in K.text_blocks(batch.column(1), BLOCK_BYTES):
                 row, value = block_features(raw, offsets)
                 by = np.lexsort((value, row))
                 row, value = row[by], value[by]
@@ -188,7 +190,7 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
 
     # the sample is bounded, so it may be broadcast to the scan of the texts
     ids = known.select("id")
-    rows = texts.join(F.broadcast(ids), "id").dropDuplicates(["id"]).mapInArrow(features, "id long, features array<int>")
+    rows = texts.join(F.broadcast(ids), "id").groupBy("id").agg(F.min("text").alias("text")).mapInArrow(features, "id long, features array<int>")
     rows = saved(rows.join(F.broadcast(known), "id").withColumn("fold", F.pmod(F.xxhash64("id", F.lit(7)), F.lit(folds)).cast("int")), "labelled")
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,7 +280,7 @@ def scored(docs: DataFrame, chain: Chain, text_col: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, j, raw, offsets in K.text_blocks(batch.column(len(kept))):
+            for i, j, raw, offsets in K.text_blocks(batch.column(len(kept)), BLOCK_BYTES):
                 p = shared.value.probabilities(*block_features(raw, offsets), j - i)
                 columns = [batch.column(c).slice(i, j - i) for c in range(len(kept))]
                 columns += [pa.array(p[:, c]) for c in range(p.shape[1])]
