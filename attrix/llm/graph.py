@@ -8,11 +8,20 @@ from pyspark.sql import functions as F
 from .common import saved
 
 
-def stars(e: DataFrame) -> DataFrame:
-    """One large-star and one small-star step on edges (u > v)."""
+EDGES_A_FILE = 500_000  # edges are written in as many files as this asks for
+
+
+def in_files(e: DataFrame, edges: int) -> DataFrame:
+    """Write and reread a round's edges, which are no more than ``edges``."""
+    parts = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return saved(e.coalesce(max(1, min(parts, -(-edges // EDGES_A_FILE)))), "edges")
+
+
+def stars(e: DataFrame, n: int) -> DataFrame:
+    """One large-star and one small-star step on ``n`` edges (u > v)."""
     both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
     low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    large = saved(e.select(F.col("v").alias("u"), F.col("u").alias("v")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "edges")
+    large = in_files(e.select(F.col("v").alias("u"), F.col("u").alias("v")).join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), n)
     low = large.groupBy("u").agg(F.min("v").alias("m"))
     # each smaller neighbour v links to the smallest m, and so does u itself
     pairs = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))
@@ -30,12 +39,12 @@ def components(edges: DataFrame) -> DataFrame:
     written to the shared folder."""
     e = edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     e = saved(e, "edges")
-    before = None
+    n, before = e.count(), None
     while True:
-        e = saved(stars(e), "edges")
+        e = in_files(stars(e, n), 2 * n)
         state = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
-        before = state
+        before, n = state, state[0]
     roots = e.select(F.col("v").alias("u")).distinct().join(e.select("u"), "u", "left_anti")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots.select(F.col("u").alias("node"), F.col("u").alias("component")))
