@@ -267,7 +267,28 @@ def linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs``."""
-    docs, _ = keyed(docs, id_col, text_col)
+    rows, _ = keyed(docs, id_col, text_col)
+    sized = rows.select("key", "id").join(key_components(rows, size, percent), "key")
+    names = rows.select(F.col("key").alias("component"), F.col("id").alias("component_id")).distinct()
+    return sized.join(names, "component").select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, percent: int = 75) -> DataFrame:
+    """``docs`` with one row of each component: the smallest id's (null
+    first), of equal ids that of the smaller text, and of rows that equal it
+    in both the first by the other columns in order."""
+    rows, unique = keyed(docs, id_col, text_col, carry=True)
+    kept = key_components(rows, size, percent).where("key = component").select("key")
+    rows = rows.join(kept, "key", "left_semi")
+    if not unique:
+        first = Window.partitionBy("key").orderBy("row")
+        rows = rows.withColumn("nth", F.row_number().over(first)).where("nth = 1")
+    return rows.select(*[F.col("text").alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
+
+
+def key_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(key, n, component), all distinct, of ``keyed`` rows: set size and the
+    smallest key reachable."""
     counts, costs = frequent(docs, size, percent)
     boundary = boundary_of(costs, percent)
     rows = saved(signatures(docs, order_of(counts), boundary, size, percent), "signatures")
@@ -344,9 +365,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ids = rows.where("n > 0").select("key", "n", "one", "two").join(classes, ["n", "one", "two"]).select("key", "rep")
     label = found.select(F.col("node").alias("rep"), "component")
     top = ids.join(label, "rep", "left").select("key", F.coalesce("component", "rep").alias("component")).distinct()
-    sized = docs.select("key", "id").join(rows.select("key", "n").distinct(), "key").join(top, "key", "left").withColumn("component", F.coalesce("component", "key"))
-    names = docs.select(F.col("key").alias("component"), F.col("id").alias("component_id")).distinct()
-    return sized.join(names, "component").select(F.col("id").alias(id_col), F.col("n").cast("long").alias("n_shingles"), "component_id")
+    return rows.select("key", "n").distinct().join(top, "key", "left").withColumn("component", F.coalesce("component", "key"))
 
 
 #: DuckDB SQL of the same rows.

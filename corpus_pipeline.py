@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrix.llm import op1_toxicity, op2_substrings, op5_jaccard, op6_mix, op7_pieces
-from attrix.llm.common import free_name, saved, ship, table
+from attrix.llm.common import saved, ship, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -26,20 +26,19 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each component of links stays;
-    of repeated rows of it, one."""
+    of rows that share it, the one with the smallest text; of rows equal in
+    both, one."""
     ship(spark)
-    groups = op5_jaccard.jaccard_components(docs)
-    kept = groups.where("doc_id <=> component_id").select("doc_id").distinct()
-    kept = kept.withColumnRenamed("doc_id", free_name(docs, "kept"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept[kept.columns[0]]), "left_semi").dropDuplicates(["doc_id", "text"])
+    return op5_jaccard.one_of_each(docs)
 
 
 def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the bytes that an earlier 100-byte string covers;
-    characters cut in half go, and documents of which nothing is left."""
+    characters cut in half go, and documents that lose all their bytes.
+    Documents that had no text stay."""
     ship(spark)
-    kept = op2_substrings.with_kept_text(docs, length=100).where("text <> ''")
-    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+    kept = op2_substrings.with_kept_text(docs, length=100)
+    return kept.withColumn("n_chars", F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -174,6 +174,16 @@ def test_neighbours_of_few_vectors(spark):
     assert neighbours.neighbours(df.limit(0)).count() == 0
 
 
+def test_neighbours_of_huge_vectors(spark):
+    rows = [(100, [1e200, 0.0]), (1, [-1e200, 0.0]), (2, [1e200, 5e199]), (3, [1.7e308, 1.7e308]), (200, [-1e308, 0.0]), (4, [1.0, 1.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in neighbours.neighbours(df).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert [i for i, _ in got[100]][:3] == [2, 4, 1] and got[100][0][1] == pytest.approx(5e199) and got[100][2][1] == pytest.approx(2e200)
+    assert len(got[100]) == len(got[200]) == 5 and got[200][-1][0] == 3 and got[200][-1][1] == float("inf")
+
+
 def test_urls(spark):
     rng = random.Random(3)
     hosts = ["example.com", "WWW.example.com", "a.www.example.com", "notexample.com", "x.net", "net", "com", "", "user@x.com:80", "é.net"]
@@ -224,3 +234,27 @@ def test_pipeline(spark):
     sizes = {r.doc_id: r.copies for r in mix.mixed(kept[3]).collect()}
     assert sorted(ids[4]) == sorted(i for i, c in sizes.items() for _ in range(c))
     assert sorted(ids[5]) == sorted(ids[4]) and pipeline.ORACLE_SQL is None
+
+
+def test_pipeline_keeps_texts_it_does_not_change(spark):
+    """Null and empty texts pass every stage that doesn't judge them; rows
+    that share an id or have none are told apart."""
+    import corpus_pipeline as pipeline
+
+    long = " ".join(f"word{i}" for i in range(40))
+    other = " ".join(f"term{i}" for i in range(40))
+    rows = [(1, None, "a"), (2, "", "a"), (3, " ", "b"), (4, long, "b"), (5, long, "c"), (6, other, "a"), (6, long, "a"), (6, other, "b"), (None, long + " more", "b"), (None, other + " else here", "c"), (None, None, "c"), (7, "x" * 250, "a")]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t or "")) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars int")
+    some = lambda df: sorted(((r.doc_id is not None, r.doc_id or 0), r.text or "", r.text is None, r.source) for r in df.collect())
+    one = pipeline.drop_near_copies(spark, docs, SF)
+    # null ids come first: of each group the first row of the first id stays
+    want = [(None, long + " more", "b"), (None, other + " else here", "c"), (None, None, "c"), (1, None, "a"), (2, "", "a"), (3, " ", "b"), (7, "x" * 250, "a")]
+    assert some(one) == sorted(((i is not None, i or 0), t or "", t is None, s) for i, t, s in want)
+    left = pipeline.drop_repeated_passages(spark, docs, SF)
+    kept = {(r.doc_id, r.source): r for r in left.where("doc_id <= 3").collect()}
+    assert kept[1, "a"].text is None and kept[2, "a"].text == "" and kept[3, "b"].text == " " and kept[1, "a"].n_chars == 0
+    assert left.where("doc_id = 7").first().text == "x" and left.where("doc_id = 5").count() == 0
+    for stage in (one, left):
+        assert stage.columns == docs.columns
+    for name, stage in pipeline.STAGES:
+        assert stage(spark, docs.limit(0), SF).count() == 0, name

@@ -182,6 +182,15 @@ def test_fingerprints(spark, rows):
     assert len(got) == len(rows) and all(len(v) == 1 for v in by_text.values())
 
 
+def test_fingerprints_of_odd_rows(spark):
+    df = spark.createDataFrame([(None, "a b"), (None, "a b"), (1, None), (1, "x y z"), (2, "q" * 9)], "doc_id long, text string")
+    got = sketch.digests(sketch.with_next(df)).collect()
+    assert sorted(r.n_chars for r in got) == [0, 3, 3, 5, 9] and len({r.fingerprint for r in got if r.doc_id is None}) == 1
+    assert sketch.digests(sketch.with_next(df.limit(0))).count() == 0
+    (alone,) = sketch.with_next(spark.createDataFrame([(5, "abcd")], "doc_id long, text string")).collect()
+    assert alone.edited == "abab"
+
+
 def test_sketches_merge(spark):
     texts = [" ".join(str((i * 31 + j) % 500) for j in range(400)) for i in range(6)]
     parts = sketch.with_sketch(spark.createDataFrame([(i % 2, t) for i, t in enumerate(texts)], "g int, text string"))
