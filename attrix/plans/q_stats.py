@@ -118,10 +118,42 @@ def q_h3(spark, sf):
     return _t_query(spark, sf, "tenure", False)
 
 
-@query("hypotheses")
+def _hypotheses_sql() -> str:
+    """Unrounded statistics of the four tests; tails by Simpson's rule."""
+    rows = "(SELECT *, CASE WHEN Churn = 'Yes' THEN 1 ELSE 0 END AS y FROM clean0)"
+
+    def chi2(name, test, rate_a, rate_b, cond):
+        head = f"SELECT '{name}' AS h, 'chi2' AS t, avg(CASE WHEN {rate_a} THEN y END) AS ra, avg(CASE WHEN {rate_b} THEN y END) AS rb, (SELECT chi2 FROM stat) AS s, 0 AS dof FROM {rows}"
+        return with_base(head, _chi2_2x2_sql(cond, test))
+
+    def t(name, col, high_first):
+        a, b = (">", "<=") if high_first else ("<=", ">")
+        facts = ", ".join(f"{f}(y) FILTER (WHERE {col} {side} med) AS {n}{i}" for i, side in ((1, a), (2, b)) for f, n in (("count", "n"), ("avg", "m"), ("var_samp", "v")))
+        return with_base(f"""SELECT '{name}', 't', m1, m2, (m1 - m2) / sqrt((((n1 - 1) * v1 + (n2 - 1) * v2) / (n1 + n2 - 2)) * (1.0 / n1 + 1.0 / n2)), n1 + n2 - 2
+FROM (SELECT {facts} FROM {rows}, (SELECT quantile_cont({col}, 0.5) AS med FROM clean0))""")
+
+    parts = [chi2(f"H1: {SHORT_CONTRACT} contracts → Higher churn", "h1", f"Contract = '{SHORT_CONTRACT}'", f"Contract != '{SHORT_CONTRACT}'", f"Contract = '{SHORT_CONTRACT}'"),
+             t("H2: High MonthlyCharges → Higher churn", "MonthlyCharges", True), t("H3: Low tenure → Higher churn", "tenure", False),
+             chi2("H4: Missing support services → Higher churn", "h4", "TechSupport = 'No'", "TechSupport = 'Yes'", "TechSupport IN ('Yes')")]
+    tests = " UNION ALL ".join(f"SELECT * FROM ({p})" for p in parts)
+    steps = 4000
+    weight = f"CASE WHEN i = 0 OR i = {steps} THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END"
+    x = f"(z * i / {steps}.0{D})"
+    density = f"CASE WHEN t = 'chi2' THEN exp(-{x} * {x} / 2) / sqrt(2 * pi()) ELSE exp(lgamma((dof + 1) / 2.0{D}) - lgamma(dof / 2.0{D})) / sqrt(dof * pi()) * power(1 + {x} * {x} / dof, -(dof + 1) / 2.0{D}) END"
+    return f"""WITH tests AS ({tests}),
+tails AS (SELECT h, any_value(t) AS t, any_value(ra) * 100 AS ra, any_value(rb) * 100 AS rb, any_value(s) AS s,
+            1 - 2 * any_value(z) / {steps} / 3 * sum({weight} * ({density})) AS p
+          FROM (SELECT *, CASE WHEN t = 'chi2' THEN sqrt(s) ELSE abs(s) END AS z FROM tests), generate_series(0, {steps}) g(i) GROUP BY h)
+SELECT h AS Hypothesis, t AS Test, round(ra, 4) AS Group_A_Rate, round(rb, 4) AS Group_B_Rate, round(ra - rb, 4) AS Difference, round(s, 4) AS Statistic,
+  round(p, 6) AS P_Value, CASE WHEN p < 0.05 AND ra > rb THEN 'Supported' ELSE 'Not Supported' END AS Result FROM tails"""
+
+
+@query("hypotheses", _hypotheses_sql())
 def q_hypotheses(spark, sf):
-    """H1-H4 with p-values and verdicts (p-values: JVM special functions)."""
-    return ST.hypotheses(eda_frame(spark, sf), "Churn", short_contract=SHORT_CONTRACT, support_no=("No",))
+    """H1-H4 with group rates, statistics, p-values and verdicts."""
+    out = ST.hypotheses(eda_frame(spark, sf), "Churn", short_contract=SHORT_CONTRACT, support_no=("No",))
+    rounded = [F.round(c, 4).alias(c) for c in ("Group_A_Rate", "Group_B_Rate", "Difference", "Statistic")]
+    return out.select("Hypothesis", "Test", *rounded, F.round("P_Value", 6).alias("P_Value"), "Result")
 
 
 @query(
