@@ -99,4 +99,4 @@ def test_round_by_rule(spark):
     df = spark.createDataFrame([(12.3456, 0.123456, 1234.56, 5.4321, 3.14159)],
                                "churn_rate double, p_value double, total double, small double, chi2_stat double")
     r = C.round_table(df).first()
-    assert (r.churn_rate, r.p_value, r.total, r.small, r.chi2_stat) == (12.35, 0.123456, 1234.6, 5.43, 3.14)
+    assert (r.churn_rate, r.p_value, r.total, r.small, r.chi2_stat) == (12.35, 0.1235, 1234.6, 5.43, 3.14)
