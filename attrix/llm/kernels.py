@@ -19,7 +19,7 @@ try:
 except OSError:
     _LIBC = None
 U64 = np.uint64
-BLOCK_BYTES = 1 << 21  # bytes of text handled at once; a longer text forms its own block
+BLOCK_BYTES = 1 << 20  # bytes of text handled at once; a longer text forms its own block
 _M1, _M2 = U64(0xFF51AFD7ED558CCD), U64(0xC4CEB9FE1A85EC53)
 _C1, _C2, _C3 = U64(0x9E3779B97F4A7C15), U64(0xD6E8FEB86659FD93), U64(0xA0761D6478BD642F)
 _WHITE = np.zeros(256, bool)

@@ -26,10 +26,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import BLOCK_BYTES
+from .kernels import BLOCK_BYTES, give_back
 
 SPACE = "▁"
-MEMO = 200_000  # entries of a generation; a memo holds at most two
+MEMO = 100_000  # entries of a generation; a memo holds at most two
 MEMO_CHARS = 48  # longer words are not remembered
 
 
@@ -190,6 +190,7 @@ def encode_decode(df: DataFrame, model_file: str, text_col: str = "text", keep:
                     own = [batch.column(i).slice(begin, len(ids)) for i in range(len(names))]
                     yield pa.RecordBatch.from_arrays([*own, lists, pa.array(back, pa.string())], names=[*names, "ids", "decoded"])
                     begin, held, ids, back = k + 1, 0, [], []
+        give_back()
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1])
     return rows.mapInArrow(run, f"{fields + ', ' if fields else ''}ids array<int>, decoded string")
