@@ -2,26 +2,10 @@
 
 from __future__ import annotations
 
-import os
-import shutil
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..session import shared_path
-
-
-def ship(spark: SparkSession) -> None:
-    """Send this package to the executors, as ``--py-files`` would, once
-    per application: the functions inside tasks import it."""
-    sc = spark.sparkContext
-    if getattr(sc, "_attrix_shipped", False):
-        return
-    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-    folder = tempfile.mkdtemp(prefix="attrix-py-")
-    sc.addPyFile(shutil.make_archive(os.path.join(folder, "attrix"), "zip", os.path.dirname(root), os.path.basename(root)))
-    sc._attrix_shipped = True
+from ..session import shared_path, ship  # noqa: F401
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

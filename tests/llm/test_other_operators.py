@@ -258,3 +258,62 @@ def test_pipeline_keeps_texts_it_does_not_change(spark):
         assert stage.columns == docs.columns
     for name, stage in pipeline.STAGES:
         assert stage(spark, docs.limit(0), SF).count() == 0, name
+
+
+def plain_chain(rows, labels, folds, categories):
+    """The chain fitted by one process on sets of feature names."""
+    have = {}
+    for i, t in rows:
+        raw = np.frombuffer((t or "").encode(), np.uint8)
+        have[i] = sorted(set(toxicity.block_features(raw, np.array([0, len(raw)]))[1].tolist()))
+    known = sorted(i for i in labels if i in have)
+    y = np.array([labels[i] for i in known], float)
+    n = len(known)
+    count = {}
+    for i, own in zip(known, y):
+        for f in have[i]:
+            c = count.setdefault(f, [0, *[0] * len(categories)])
+            c[0] += 1
+            for k, v in enumerate(own):
+                c[1 + k] += v
+    count = {f: c for f, c in count.items() if c[0] >= toxicity.LEAST_DOCUMENTS}
+    fold = np.array([folds[i] for i in known])
+    earlier, seen = np.zeros((n, 0)), np.zeros((len(rows), 0))
+    for k in range(len(categories)):
+        share = y[:, k].mean()
+        far = lambda f: abs(count[f][1 + k] - count[f][0] * share) / np.sqrt(count[f][0] * share * (1 - share) + 1)  # noqa: B023, E731
+        signed = lambda f: np.uint32(f).view(np.int32)
+        names = sorted(sorted(count, key=lambda f: (-far(f), signed(f)))[: toxicity.MOST_FEATURES])
+        place = {f: c for c, f in enumerate(names)}
+
+        def pairs(ids):
+            return tuple(np.array([(r, place[f]) for r, i in enumerate(ids) for f in have[i] if f in place], np.int64).reshape(-1, 2).T)  # noqa: B023
+
+        def fit(train):
+            return toxicity.fit_linear(*pairs([known[r] for r in train]), len(names), earlier[train], y[train, k])  # noqa: B023
+
+        def says(w, ids, before):
+            r, c = pairs(ids)
+            return toxicity.sigmoid(np.bincount(r, weights=w[c], minlength=len(ids)) + before @ w[len(names) : len(names) + before.shape[1]] + w[-1])  # noqa: B023
+
+        final, out = fit(np.arange(n)), np.zeros(n)
+        for m in set(fold):
+            held = np.flatnonzero(fold == m)
+            out[held] = says(fit(np.flatnonzero(fold != m)), [known[r] for r in held], earlier[held])
+        seen = np.column_stack([seen, says(final, [i for i, _ in rows], seen)])
+        earlier = np.column_stack([earlier, out])
+    return seen
+
+
+def test_toxicity_equals_a_plain_chain(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").limit(150).cache()
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    known = {r.doc_id: (r.low_quality, r.toxic) for r in toxicity.chain_labels(labels).collect()}
+    chain = toxicity.fit_chain(docs, toxicity.chain_labels(labels), toxicity.CATEGORIES)
+    got = {r.doc_id: r for r in toxicity.scored(docs, chain).collect()}
+    rows = sorted((r.doc_id, r.text) for r in docs.collect())
+    folds = {r.doc_id: r.f for r in docs.select("doc_id", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(toxicity.FOLDS)).cast("int").alias("f")).collect()}
+    want = plain_chain(rows, known, folds, toxicity.CATEGORIES)
+    assert sum(i in known for i, _ in rows) > 30
+    for (i, _), p in zip(rows, want):
+        assert got[i].p_low_quality == pytest.approx(p[0], abs=2e-3) and got[i].p_toxic == pytest.approx(p[1], abs=2e-3)
