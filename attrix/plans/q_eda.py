@@ -154,7 +154,7 @@ def q_revenue_at_risk(spark, sf):
   ('Total Rows', (SELECT count(*) FROM snap)),
   ('Total Columns', {len(S.SNAPSHOT_COLUMNS)}),
   ('Duplicate Rows', (SELECT count(*) FROM snap) - (SELECT count(*) FROM (SELECT DISTINCT * FROM snap))),
-  ('Missing Values (Total)', 0)) t(Metric, Value)"""
+  ('Missing Values (Total)', (SELECT {" + ".join(f"count(*) FILTER (WHERE {c} IS NULL)" for c in S.SNAPSHOT_COLUMNS)} FROM snap))) t(Metric, Value)"""
     ),
 )
 def q_profile_summary(spark, sf):
@@ -165,9 +165,10 @@ def q_profile_summary(spark, sf):
 @query(
     "profile_missing",
     with_base(
-        "SELECT 'TotalCharges' AS Column, count(*) FILTER (WHERE TotalCharges IS NULL) AS Missing_Count, "
-        f"round(count(*) FILTER (WHERE TotalCharges IS NULL) * 100.0{D} / count(*), 2) AS Missing_Percentage "
-        "FROM clean0 HAVING count(*) FILTER (WHERE TotalCharges IS NULL) > 0"
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS Column, count(*) FILTER (WHERE {c} IS NULL) AS Missing_Count, "
+            f"round(count(*) FILTER (WHERE {c} IS NULL) * 100.0{D} / count(*), 2) AS Missing_Percentage "
+            f"FROM clean0 HAVING count(*) FILTER (WHERE {c} IS NULL) > 0" for c in S.SNAPSHOT_COLUMNS)
     ),
 )
 def q_profile_missing(spark, sf):
