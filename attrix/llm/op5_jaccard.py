@@ -40,10 +40,12 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import keyed, saved
+from .common import keyed
+from .common import saved as written
 from .graph import components
 
 HOT_ELEMENTS = 1 << 18  # most elements of the broadcast order (12 bytes each)
+DOCS_A_FILE = 5000  # documents for each of which tables get a file
 COUNTED = 1 << 20  # elements that a task counts at once
 LIGHT_MOST = 16  # sizes considered for the boundary
 BROADCAST_KEYS = 1 << 20  # most document keys (8 bytes each) sent to the scan in place of a shuffle of the texts
@@ -52,6 +54,15 @@ ROUNDS = 2  # of bridging, at most
 LONG_LIST = 16  # members from which a list is bridged
 
 
+def saved(df: DataFrame, name: str, docs: int | None = None) -> DataFrame:
+    """Write and reread a table about so many documents, in no more files
+    than they ask for (fewer than the shuffle's partitions where these are
+    many and hold little)."""
+    if docs is not None:
+        df = df.coalesce(max(df.sparkSession.sparkContext.defaultParallelism, -(-docs // DOCS_A_FILE)))
+    return written(df, name)
+
+
 def overlap_needed(a, b, percent: int):
     """Smallest intersection of linked sets of a and b elements."""
     return -(-percent * (a + b) // (100 + percent))
@@ -236,7 +247,7 @@ def bitmap_passes(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.select("a", "b", "na", "nb", "bits_a", "bits_b").mapInArrow(run, "a long, b long, na int, nb int")
 
 
-def linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+def linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int, n: int) -> DataFrame:
     """Pairs (a, b) that link, counted on the full sets. The texts of the
     documents in question are joined once; few enough keys go to the scan."""
 
@@ -255,11 +266,11 @@ def linked(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFr
                 keep[k] = 100 * common >= percent * (len(x) + len(y) - common)
             yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep)) for c in (0, 1)], names=["a", "b"])
 
-    nodes = saved(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "nodes")
+    nodes = saved(pairs.select(F.col("a").alias("key")).unionByName(pairs.select(F.col("b").alias("key"))).distinct(), "nodes", n)
     if nodes.count() <= BROADCAST_KEYS:
         nodes = F.broadcast(nodes)
     texts = docs.select("key", "text").join(nodes, "key", "left_semi").dropDuplicates(["key"])
-    table = saved(texts.mapInArrow(sets, "key long, elements binary"), "sets")
+    table = saved(texts.mapInArrow(sets, "key long, elements binary"), "sets", n)
     left, right = (table.select(F.col("key").alias(c), F.col("elements").alias(f"set_{c}")) for c in "ab")
     both = pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "set_a", "set_b")
     return both.mapInArrow(count, "a long, b long")
@@ -293,7 +304,8 @@ def key_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     boundary = boundary_of(costs, percent)
     rows = saved(signatures(docs, order_of(counts), boundary, size, percent), "signatures")
 
-    classes = saved(rows.where("n > 0").groupBy("n", "one", "two").agg(F.min("key").alias("rep")), "classes")
+    n_docs = rows.count()
+    classes = saved(rows.where("n > 0").groupBy("n", "one", "two").agg(F.min("key").alias("rep")), "classes", n_docs)
     first = rows.where("n > 0").join(classes.select(F.col("rep").alias("key")), "key", "left_semi").dropDuplicates(["key"])
     entry = first.select("key", "n", F.explode(F.arrays_zip("lists", "places")).alias("e")).select(
         F.col("e.lists").alias("list"), (F.col("n").cast("long") * 2**32 + F.col("e.places")).alias("at"), "key")
@@ -303,7 +315,7 @@ def key_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     ahead = by_size.rowsBetween(Window.unboundedPreceding, -1)
     lists = entry.withColumns({"p": F.lag("key").over(by_size), "q": F.lead("key").over(by_size)}).where("p is not null or q is not null")
     lists = lists.select("list", "at", "key", F.first(indexed, True).over(ahead).alias("c"), F.last(indexed, True).over(ahead).alias("l"))
-    lists = saved(lists, "lists")
+    lists = saved(lists, "lists", n_docs)
 
     def candidates(pairs: DataFrame) -> DataFrame:
         """Distinct pairs of (at, key) structs x (smaller) and y that size and position allow."""
@@ -318,21 +330,21 @@ def key_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     sides = [bits.select(F.col("key").alias(c), F.col("n").alias(f"n{c}"), F.col("bits").alias(f"bits_{c}")) for c in "ab"]
 
     def verified(pairs: DataFrame, name: str) -> DataFrame:
-        close = saved(bitmap_passes(pairs.join(sides[0], "a").join(sides[1], "b"), percent), f"{name}-close")
-        return saved(linked(close, docs, size, percent), f"{name}-links")
+        close = saved(bitmap_passes(pairs.join(sides[0], "a").join(sides[1], "b"), percent), f"{name}-close", n_docs)
+        return saved(linked(close, docs, size, percent, n_docs), f"{name}-links", n_docs)
 
     y = F.struct("at", "key").alias("y")
     star = lists.select(F.col("c").alias("x"), y).unionByName(lists.select(F.col("l").alias("x"), y)).where("x is not null")
-    tried = saved(candidates(star), "tried")
+    tried = saved(candidates(star), "tried", n_docs)
     links = verified(tried, "star")
     found = components(links)
 
     # members of one list that are still apart
     def open_lists() -> DataFrame:
         label = found.select(F.col("node").alias("key"), "component")
-        marked = saved(lists.select("list", "at", "key").join(label, "key", "left").withColumn("component", F.coalesce("component", "key")), "marked")
+        marked = saved(lists.select("list", "at", "key").join(label, "key", "left").withColumn("component", F.coalesce("component", "key")), "marked", n_docs)
         apart = marked.groupBy("list").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("n")).where("lo <> hi").select("list", "n")
-        return saved(marked.join(apart, "list"), "open")
+        return saved(marked.join(apart, "list"), "open", n_docs)
 
     # long lists: neighbours in shuffled orders first, so that large groups close
     # without comparing all their members
@@ -346,8 +358,8 @@ def key_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         own = F.struct("at", "key", "component")
         step = long.withColumn("salt", salts).select(own.alias("x"), F.lag(own).over(order).alias("y")).where("y is not null and x.component <> y.component")
         step = step.select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).where("x.at % 2 = 1")
-        more = saved(candidates(step).join(tried, ["a", "b"], "left_anti"), "bridges")
-        tried = saved(tried.unionByName(more), "tried")
+        more = saved(candidates(step).join(tried, ["a", "b"], "left_anti"), "bridges", n_docs)
+        tried = saved(tried.unionByName(more), "tried", n_docs)
         new = verified(more, "bridge")
         if not new.limit(1).count():
             break
@@ -359,7 +371,7 @@ def key_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
     z = open_.select("list", F.struct("at", "key").alias("y"), F.col("component").alias("cy"))
     cross = x.join(z, "list").where("cx <> cy and shiftright(x.at, 32) <= shiftright(y.at, 32)")
     more = candidates(cross).join(tried, ["a", "b"], "left_anti")
-    more_links = verified(saved(more, "more"), "cross")
+    more_links = verified(saved(more, "more", n_docs), "cross")
     found = components(more_links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     ids = rows.where("n > 0").select("key", "n", "one", "two").join(classes, ["n", "one", "two"]).select("key", "rep")
