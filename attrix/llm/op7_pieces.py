@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .kernels import BLOCK_BYTES, give_back
 
 SPACE = "▁"
-MEMO = 100_000  # entries of a generation; a memo holds at most two
+MEMO = 150_000  # entries of a generation; a memo holds at most two
 MEMO_CHARS = 48  # longer words are not remembered
 
 
