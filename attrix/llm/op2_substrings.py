@@ -274,18 +274,18 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return removed(with_places(repeats, "left"), length).withColumnRenamed("id", id_col)
 
 
-def with_kept_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100) -> DataFrame:
+def with_kept_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = 100, keep_null: bool = False) -> DataFrame:
     """``docs`` with the remaining text in place of the text, without the
     documents of which nothing remains. A character of which some bytes went
-    is left out; a text that nothing was removed from stays as it was, null
-    and empty ones included."""
+    is left out; a text that nothing was removed from stays as it was, empty
+    ones included. A null text becomes empty, or stays null (``keep_null``)."""
     marked = docs.withColumn(null_col := free_name(docs, "was_null"), F.col(f"`{text_col}`").isNull())
     found = repeated_substrings(marked, id_col, text_col, length, carry=True)
     # bytes that are no full character decode to U+FFFD only where a cut is
     text = F.when(F.is_valid_utf8(F.col("kept").cast("string")), F.col("kept").cast("string"))
     text = F.coalesce(text, F.regexp_replace(F.make_valid_utf8(F.col("kept").cast("string")), "\uFFFD", ""))
     found = found.withColumn("left", text).where((F.size("spans") == 0) | (F.col("left") != ""))
-    text = F.when(~F.col(f"row.`{null_col}`"), F.col("left"))
+    text = F.when(~F.col(f"row.`{null_col}`"), F.col("left")) if keep_null else F.col("left")
     return found.select(*[text.alias(c) if c == text_col else F.col(f"row.`{c}`") for c in docs.columns])
 
 

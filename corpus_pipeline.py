@@ -37,7 +37,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     characters cut in half go, and documents that lose all their bytes.
     Documents that had no text stay."""
     ship(spark)
-    kept = op2_substrings.with_kept_text(docs, length=100)
+    kept = op2_substrings.with_kept_text(docs, length=100, keep_null=True)
     return kept.withColumn("n_chars", F.coalesce(F.char_length("text").cast(docs.schema["n_chars"].dataType), "n_chars"))
 
 

@@ -100,6 +100,12 @@ def test_kept_text_has_whole_characters(spark):
     assert got[2] == ("x", "b") and got[3] == ("", "c") and set(got[1][0]) <= {"é"}
 
 
+@pytest.mark.parametrize("keep, text", [(False, ""), (True, None)])
+def test_kept_text_of_null(spark, keep, text):
+    docs = spark.createDataFrame([(1, None), (2, "")], "doc_id long, text string")
+    assert {r.doc_id: r.text for r in substrings.with_kept_text(docs, keep_null=keep).collect()} == {1: text, 2: ""}
+
+
 def components_by_force(rows, percent=75):
     sets = {i: shingles(t) for i, t in rows}
     parent = {i: i for i in sets}
