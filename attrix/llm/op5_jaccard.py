@@ -18,10 +18,11 @@ Within a list nobody is paired with everybody: each member is compared to
 the list's first member and to the one before it, links are closed into
 components, members of long lists that are still apart are compared to
 their neighbours in a few shuffled orders, and only members of one list
-that are in different components after that are compared each. Candidates lose first on the bound that parity
-bitmaps give (their Hamming distance never exceeds the symmetric
-difference), then the rest are counted exactly. Components need no other
-links, so none that matters is lost.
+that are in different components after that are compared each, of which
+those that a parity bitmap of ``MARK_BITS`` bits rules out are no rows of
+the join. Candidates lose first on the bound that parity bitmaps give (their
+Hamming distance never exceeds the symmetric difference), then the rest are
+counted exactly. Components need no other links, so none that matters is lost.
 
 Null, empty and blank texts have no shingles and link with nothing; a text
 of fewer words than the shingle size has its whole sequence as the one
@@ -52,6 +53,7 @@ BROADCAST_KEYS = 1 << 20  # most document keys (8 bytes each) sent to the scan i
 BRIDGES = 8  # shuffled orders of a list, in which neighbours are compared
 ROUNDS = 2  # of bridging, at most
 LONG_LIST = 16  # members from which a list is bridged
+MARK_BITS = 256  # of the bitmap that members of a list which are apart carry
 
 
 def saved(df: DataFrame, name: str, docs: int | None = None) -> DataFrame:
@@ -162,8 +164,9 @@ def boundary_of(costs: DataFrame, percent: int) -> int:
 
 
 def signatures(docs: DataFrame, order, boundary: int, size: int, percent: int) -> DataFrame:
-    """Per document: key, n, set name (two longs), parity bitmap, and the
-    entries of its lists: list key and position * 2 + (1 if indexed)."""
+    """Per document: key, n, set name (two longs), parity bitmap, the same
+    in ``MARK_BITS`` bits as longs, and the entries of its lists: list key and
+    position * 2 + (1 if indexed)."""
     spark = docs.sparkSession
     hot = spark.sparkContext.broadcast(order)
     light_from = -(-percent * (boundary + 1) // 100)  # lights that a heavy set can link with enter the lists too
@@ -203,6 +206,8 @@ def signatures(docs: DataFrame, order, boundary: int, size: int, percent: int) -
                 sums = [np.concatenate([np.zeros(1, np.uint64), np.cumsum(x, dtype=np.uint64)]) for x in (name, K.mix(name + K._C2))]
                 one, two = (K.mix(s[at[1:]] - s[at[:-1]] + n.astype(np.uint64)) for s in sums)
                 maps, keys, places = [], [], []
+                odd = np.bincount(row * MARK_BITS + (name % np.uint64(MARK_BITS)).astype(np.int64), minlength=(j - i) * MARK_BITS).astype(np.uint8) & 1
+                marks = np.packbits(odd, bitorder="little").view(np.int64)
                 for r in range(j - i):
                     own = slice(at[r], at[r + 1])
                     if n[r]:
@@ -219,11 +224,12 @@ def signatures(docs: DataFrame, order, boundary: int, size: int, percent: int) -
                 np.cumsum([len(k) for k in keys], out=ends[1:])
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(i, j - i), pa.array(n.astype(np.int32)), pa.array(one.view(np.int64)), pa.array(two.view(np.int64)), pa.array(maps, pa.binary()),
+                    pa.ListArray.from_arrays(pa.array(np.arange(j - i + 1, dtype=np.int32) * (MARK_BITS // 64)), pa.array(marks)),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys).view(np.int64))),
                     pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(places).astype(np.int32))),
-                ], names=["key", "n", "one", "two", "bits", "lists", "places"])
+                ], names=["key", "n", "one", "two", "bits", "marks", "lists", "places"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, n int, one long, two long, bits binary, lists array<long>, places array<int>")
+    return docs.select("key", "text").mapInArrow(run, "key long, n int, one long, two long, bits binary, marks array<long>, lists array<long>, places array<int>")
 
 
 def bitmap_passes(pairs: DataFrame, percent: int) -> DataFrame:
@@ -367,9 +373,14 @@ def key_components(docs: DataFrame, size: int, percent: int) -> DataFrame:
         found = components(new.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
 
     open_ = open_lists()
-    x = open_.where("at % 2 = 1").select("list", F.struct("at", "key").alias("x"), F.col("component").alias("cx"))
-    z = open_.select("list", F.struct("at", "key").alias("y"), F.col("component").alias("cy"))
+    longs = range(MARK_BITS // 64)
+    open_ = open_.join(first.select("key", *[F.get("marks", F.lit(i)).alias(f"m{i}") for i in longs]), "key")
+    x = open_.where("at % 2 = 1").select("list", F.struct("at", "key").alias("x"), F.col("component").alias("cx"), *[F.col(f"m{i}").alias(f"mx{i}") for i in longs])
+    z = open_.select("list", F.struct("at", "key").alias("y"), F.col("component").alias("cy"), *[F.col(f"m{i}").alias(f"my{i}") for i in longs])
     cross = x.join(z, "list").where("cx <> cy and shiftright(x.at, 32) <= shiftright(y.at, 32)")
+    both = F.shiftright("x.at", 32) + F.shiftright("y.at", 32)
+    differ = sum((F.bit_count(F.col(f"mx{i}").bitwiseXOR(F.col(f"my{i}"))) for i in longs[1:]), F.bit_count(F.col("mx0").bitwiseXOR(F.col("my0"))))
+    cross = cross.where(differ <= both - 2 * F.ceil(percent * both / (100.0 + percent) - 1e-9))
     more = candidates(cross).join(tried, ["a", "b"], "left_anti")
     more_links = verified(saved(more, "more", n_docs), "cross")
     found = components(more_links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b"))))
