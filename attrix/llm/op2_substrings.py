@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernels as K
-from .common import free_name, keyed, saved
+from .common import free_name, keyed, release, saved
 
 STEP = 8  # windows of a row in round 1
 ROW = "core long, full long, key long, place long"
@@ -254,7 +254,9 @@ def repeated_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     every, unique = keyed(docs, id_col, text_col, carry)
     every = every.where("key is not null")  # always so; said here, it is the same in every use of the exchange
     once = every if unique else every.dropDuplicates(["key"])
+    release(spark)
     marks = saved(ranked(first_round(once, length)), "substrings")
+    release(spark)  # the rows of the first round, the largest exchange
 
     # one exchange of the texts; Spark reuses it in each join below
     by_key = every.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "key")
