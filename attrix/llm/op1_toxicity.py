@@ -24,7 +24,6 @@ from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,7 +37,7 @@ FOLDS = 5
 MOST_FEATURES = 1024  # of each category
 LEAST_DOCUMENTS = 5  # labelled documents that a feature must be in
 PENALTY = 1e-4
-BLOCK_BYTES = 1 << 19  # of text whose features are made at once
+BLOCK_BYTES = 1 << 18  # of text whose features are made at once
 PREFIXES = (4, 5, 6)
 
 _LETTER = np.zeros(256, bool)
@@ -201,6 +200,8 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
             each, at = np.unique(value, return_inverse=True)
             sums = [np.bincount(at, weights=w, minlength=len(each)).astype(np.int64) for w in (np.ones(len(at)), *(batch.column(1 + c).to_numpy()[row] for c in range(len(categories))))]
             yield pa.RecordBatch.from_arrays([pa.array(each), *map(pa.array, sums)], names=["f", "n", *categories])
+            del value, row, each, at, sums
+            K.give_back()
 
     counted = rows.select("features", *categories).mapInArrow(counts, "f int, n long" + "".join(f", `{c}` long" for c in categories))
     counted = counted.groupBy("f").agg(F.sum("n").alias("n"), *[F.sum(c).alias(c) for c in categories])
@@ -230,6 +231,8 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
             ends = np.searchsorted(row[hit], np.arange(len(lists) + 1)).astype(np.int32)
             own = pa.ListArray.from_arrays(pa.array(ends), pa.array(spot[hit].astype(np.int32)))
             yield pa.RecordBatch.from_arrays([own, *batch.columns[1:]], names=["features", *batch.schema.names[1:]])
+            del value, row, spot, hit, ends, own
+            K.give_back()
 
     types = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name != "features")
     rows = saved(rows.select("features", *[x for x in rows.columns if x != "features"]).mapInArrow(chosen, f"features array<int>, {types}"), "chosen")
@@ -240,25 +243,30 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: Sequence[str], id_
         place = np.full(len(every) + 1, -1)  # of the chain's features among this model's
         place[np.searchsorted(every, names)] = np.arange(len(names))
 
-        def fit(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
-            model = key[0]
-            lists = part["features"].to_numpy()
-            col = place[np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int64)]
-            row = np.repeat(np.arange(len(part)), [len(x) for x in lists])
+        def fit(key: tuple, part: pa.Table) -> pa.Table:
+            model, part = key[0].as_py(), part.combine_chunks()
+            column = lambda name: part.column(name).to_numpy()
+            lists = part.column("features").combine_chunks()
+            col = place[lists.flatten().to_numpy()]
+            row = np.repeat(np.arange(len(part)), np.diff(lists.offsets.to_numpy()))
             row, col = row[col >= 0], col[col >= 0]
-            p = part[before].to_numpy(float).reshape(len(part), len(before))
-            y = part["__y"].to_numpy(float)
-            train = (part["fold"] != model).to_numpy()
+            p = np.stack([column(c) for c in before], axis=1) if before else np.zeros((len(part), 0))
+            y = column("__y").astype(float)
+            train = column("fold") != model
             spot = np.cumsum(train) - 1
             own = train[row]
             w = fit_linear(spot[row[own]], col[own], len(names), p[train], y[train])
             if model < 0:
-                return pd.DataFrame({"id": [None], "p": [0.0], "w": [w.tolist()]})
-            z = np.bincount(row, weights=w[col], minlength=len(part)) + p @ w[len(names) : len(names) + len(before)] + w[-1]
-            return pd.DataFrame({"id": part["id"][~train], "p": sigmoid(z)[~train], "w": None})
+                out = [pa.array([None], pa.int64()), pa.array([0.0]), pa.array([w.tolist()], pa.list_(pa.float64()))]
+            else:
+                z = np.bincount(row, weights=w[col], minlength=len(part)) + p @ w[len(names) : len(names) + len(before)] + w[-1]
+                out = [pa.array(column("id")[~train]), pa.array(sigmoid(z)[~train]), pa.nulls(int((~train).sum()), pa.list_(pa.float64()))]
+            del lists, row, col, own
+            K.give_back()
+            return pa.Table.from_arrays(out, names=["id", "p", "w"])
 
         models = rows.withColumn("__y", F.col(c)).withColumn("model", F.explode(F.array(*[F.lit(m) for m in range(-1, folds)])))
-        fitted = models.groupBy("model").applyInPandas(fit, "id long, p double, w array<double>")
+        fitted = models.groupBy("model").applyInArrow(fit, "id long, p double, w array<double>")
         fitted = saved(fitted, "fits")
         final = fitted.where("id is null").first()
         chain.weights.append(np.array(final["w"]) if final else np.array([*np.zeros(len(names) + len(before)), -13.8]))

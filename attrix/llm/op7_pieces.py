@@ -16,6 +16,7 @@ encoded whole; repeated rows give repeated results.
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Iterator
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .kernels import BLOCK_BYTES, give_back
+from .kernels import BLOCK_BYTES, KEPT, give_back
 
 SPACE = "▁"
 MEMO = 150_000  # entries of a generation; a memo holds at most two
@@ -161,10 +162,21 @@ class PieceEncoder:
 
 @lru_cache(maxsize=2)
 def encoder(model_file: str) -> PieceEncoder:
-    """One encoder per worker process and model."""
+    """One encoder per worker process and model, until a task of another
+    operator comes: its memo would add to what that one takes."""
     return PieceEncoder(model_file)
 
 
+def forget() -> None:
+    if encoder.cache_info().currsize:
+        encoder.cache_clear()
+        gc.collect()
+        give_back()
+
+
+KEPT.append(forget)
+
+
 def encode_decode(df: DataFrame, model_file: str, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """``keep`` columns of ``df`` with ``ids`` (array of int) and
     ``decoded`` (string) of the text column. No shuffle."""
