@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 from ..functions import constants as K
 from ..functions import pvalues as P
 from ..functions.exact import with_exact_p
+from ..session import saved
 from .combine import one_row
 from .rates import bivariate_cells, is_positive
 from .ranking import exact_quantiles, running_sum
@@ -62,7 +63,7 @@ def chi2_table(cells: DataFrame, group: Sequence[str], a: str, b: str, n: str =
 def bivariate_table(df: DataFrame, label: str, pairs, positive="Yes", with_p: bool = True) -> DataFrame:
     """Per pair: every cell's churn rate and size, plus the pair's chi2
     (a x b counts), p-value and Cramer's V repeated on each row."""
-    cells = bivariate_cells(df, label, pairs, positive)
+    cells = saved(bivariate_cells(df, label, pairs, positive), "stats", "cells")  # read by every sum of the table
     stats = chi2_table(
         cells.select("Feature_1", "Feature_2", "Category_1", "Category_2", F.col("Sample_Size").alias("n")),
         ["Feature_1", "Feature_2"], "Category_1", "Category_2",
@@ -89,7 +90,7 @@ def label_association(df: DataFrame, label: str, cols: Sequence[str]) -> DataFra
         .groupBy("Feature", "Category", "_y")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return chi2_table(cells, ["Feature"], "Category", "_y")
+    return chi2_table(saved(cells, "stats", "cells"), ["Feature"], "Category", "_y")
 
 
 # --- two-group comparisons -------------------------------------------------------
@@ -204,7 +205,7 @@ def rank_tests(df: DataFrame, cols: Sequence[str], label: str, positive="Yes", *
     p-values are exact where sizes allow them (``exact.with_exact_p``), else
     those of the Kolmogorov limit and of the tie-corrected normal with
     continuity."""
-    vc = label_value_counts(df, cols, label, positive).withColumn("cnt", F.col("c1") + F.col("c0"))
+    vc = saved(label_value_counts(df, cols, label, positive).withColumn("cnt", F.col("c1") + F.col("c0")), "stats", "values")  # read four times
     cum = running_sum(vc, "x", ["c1", "c0", "cnt"], by=["Feature"], **ranking_kw)
     tot = vc.groupBy("Feature").agg(F.sum("c1").alias("n1"), F.sum("c0").alias("n0"))
     j = cum.join(tot, "Feature")
@@ -311,7 +312,8 @@ def mutual_info(df: DataFrame, cols: Sequence[str], label: str, positive="Yes",
     digits = F.conv(F.substring(F.md5(F.concat("Feature", F.lit(":"), F.col("_row"))), 1, 8), 16, 10).cast("double") / float(1 << 32)
     x = (F.col("v") + F.col("amp") * digits).alias("x")
     points = long.join(F.broadcast(scale), "Feature").select("Feature", "_y", x, F.lit(1).cast("long").alias("one"))  # a row per column
-    ranked = running_sum(points.withColumn("_tie", F.monotonically_increasing_id()), "x", ["one"], by=["Feature", "_y"], tiebreak=["_tie"], with_total=True)
+    points = saved(points.withColumn("_tie", F.monotonically_increasing_id()), "stats", "points")
+    ranked = running_sum(points, "x", ["one"], by=["Feature", "_y"], tiebreak=["_tie"], with_total=True)
     ranked = ranked.where("tot_one > 1").select("Feature", "_y", "x", (F.col("cum_one") - 1).alias("r"), F.col("tot_one").alias("n_y"), F.least(F.lit(k), F.col("tot_one") - 1).cast("int").alias("k"))
     block, inside = F.floor(F.col("r") / BLOCK_RANKS), F.pmod("r", F.lit(BLOCK_RANKS))
     homes = F.array_compact(F.array(block, F.when(inside < k, block - 1), F.when(inside >= BLOCK_RANKS - k, block + 1)))
@@ -330,6 +332,7 @@ def mutual_info(df: DataFrame, cols: Sequence[str], label: str, positive="Yes",
         F.struct(F.col("x").alias("at"), F.lit(1).alias("kind"), F.lit(1).cast("long").alias("one"), F.lit(0).alias("sign")),
         F.struct(low.alias("at"), F.when(same, 0).otherwise(2).alias("kind"), F.lit(0).cast("long").alias("one"), F.lit(-1).alias("sign")),
         F.struct(high.alias("at"), F.when(same, 2).otherwise(0).alias("kind"), F.lit(0).cast("long").alias("one"), F.lit(1).alias("sign")))
+    found = saved(found, "stats", "intervals")
     events = found.select("Feature", "_y", "r", "k", "n_y", F.inline(events))
     # an order column per kind would split equal places: ends come before or after points by the tiebreak
     counted = running_sum(events, "at", ["one"], by=["Feature"], tiebreak=["kind", "_y", "r"])
