@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .kernels import BLOCK_BYTES, KEPT, give_back
 
 SPACE = "▁"
-MEMO = 150_000  # entries of a generation; a memo holds at most two
+MEMO = 250_000  # entries of a generation; a memo holds at most two
 MEMO_CHARS = 48  # longer words are not remembered
 
 
@@ -75,8 +75,9 @@ class PieceEncoder:
             raise ValueError("a piece has a character without a piece, or a letter before a space mark")
         self.chars = chars
         self.automaton = ahocorasick.Automaton()
+        self.ids = sp.get_piece_size()
         for p, i in self.id.items():
-            self.automaton.add_word(p, (len(p), i))
+            self.automaton.add_word(p, (len(p), i, i * self.ids))
         self.automaton.make_automaton()
         self.history = {i: self.merges(p) for i, p in self.piece.items()}
         self.compatible = Memo(self.pair_keeps)
@@ -97,11 +98,11 @@ class PieceEncoder:
             out.append((best[0], parts[0], parts[-1]))
 
     def pair_keeps(self, pair: int) -> bool:
-        """Whether no merge joins two tokens (left * 2**32 + right) side by
+        """Whether no merge joins two tokens (left * ids + right) side by
         side: both merge in best-first order, and a merge across their
         border comes first if it scores better than the left one's next
         merge and no worse than the right one's."""
-        left, right = self.history[pair >> 32], self.history[pair & 0xFFFFFFFF]
+        left, right = (self.history[i] for i in divmod(pair, self.ids))
         i = j = 0
         while True:
             across = self.score.get(left[i][2] + right[j][1])
@@ -118,18 +119,20 @@ class PieceEncoder:
 
     def known(self, text: str) -> list[int]:
         """Ids of a string whose characters all have pieces."""
-        n = len(text)
-        last, size = [0] * (n + 1), [0] * (n + 1)
-        compatible = self.compatible
-        for end, (length, token) in self.automaton.iter(text):
-            start = end + 1 - length
-            if not size[end + 1] and (not start or size[start] and compatible[last[start] << 32 | token]):
-                last[end + 1], size[end + 1] = token, length
-        out, at = [], n
-        while at:
-            out.append(last[at])
-            at -= size[at]
-        return out[::-1]
+        last: list = [None] * len(text)  # of the prefix that ends there; every prefix has one
+        compatible, done = self.compatible, -1
+        for end, piece in self.automaton.iter(text):
+            if end != done:
+                before = end - piece[0]
+                if before < 0 or compatible[last[before][2] + piece[1]]:
+                    last[end], done = piece, end
+        out, at = [], len(text) - 1
+        while at >= 0:
+            length, token, _ = last[at]
+            out.append(token)
+            at -= length
+        out.reverse()
+        return out
 
     def word_ids(self, word: str) -> list[int]:
         word = word.replace(" ", SPACE)
