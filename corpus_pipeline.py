@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from attrix.llm import op1_toxicity, op2_substrings, op5_jaccard, op6_mix, op7_pieces
-from attrix.llm.common import saved, ship, table
+from attrix.llm.common import release, saved, ship, table
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,6 +44,7 @@ def drop_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in training order, once per copy that the mix starts."""
     ship(spark)
+    release(spark)  # the stage before leaves its shuffles
     return op6_mix.in_training_order(docs)
 
 

@@ -1,6 +1,10 @@
 """op2 lets go of its first, largest exchange before the next ones."""
 
+import time
+from pathlib import Path
+
 from attrix.llm import op2_substrings as S
+from attrix.llm.common import release, saved
 
 
 def test_first_round_is_released_before_the_next(spark, monkeypatch):
@@ -11,3 +15,21 @@ def test_first_round_is_released_before_the_next(spark, monkeypatch):
     found = {r["doc_id"]: r["spans"] for r in S.repeated_substrings(spark.createDataFrame(rows, "doc_id long, text string"), length=50).collect()}
     assert done[-3:] == ["release", "substrings", "release"]
     assert found[1] and [(s["start"], s["end"]) for s in found[2]] == [(1, 81)] and found[3] == []
+
+
+def shuffle_files(spark) -> set[str]:
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {str(f) for folder in blocks.localDirs() for f in Path(folder.getPath()).rglob("shuffle_*")}
+
+
+def test_release_leaves_no_finished_shuffle(spark):
+    before = shuffle_files(spark)
+    saved(spark.range(10_000).repartition(4, "id"), "released")
+    assert shuffle_files(spark) - before
+    release(spark)
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left
