@@ -4,6 +4,7 @@ import time
 from pathlib import Path
 
 from attrix.llm import op2_substrings as S
+from attrix.llm import op8_chains as chains
 from attrix.llm.common import release, saved
 
 
@@ -33,3 +34,16 @@ def test_release_leaves_no_finished_shuffle(spark):
             break
         time.sleep(0.1)
     assert not left
+
+
+def test_passages_release_every_step(spark, monkeypatch):
+    done, write, let_go = [], chains.saved, chains.release
+    monkeypatch.setattr(chains, "saved", lambda df, name: done.append(name) or write(df, name))
+    monkeypatch.setattr(chains, "release", lambda spark: done.append("release") or let_go(spark))
+    passage = " ".join(f"w{i}" for i in range(60))
+    rows = [(1, "a b c " + passage), (2, passage + " d e f"), (3, None)]
+    found = chains.passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert [(r["doc_id"], r["start_word"], r["end_word"], r["source_id"], r["source_start"]) for r in found] == [(2, 0, 60, 1, 3)]
+    steps = [name for name in done if name != "release"]
+    assert {"live", "chains", "slices", "near", "pairs", "far"} <= set(steps)
+    assert done == [x for name in steps for x in (name, "release")]
